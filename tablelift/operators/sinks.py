@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tablelift.operators.layout import (
@@ -18,7 +19,7 @@ from tablelift.operators.layout import (
 from tablelift.functions.names import slice_target
 from tablelift.operators.slices import SLICE_COLUMN, Slice, with_slice_number
 from tablelift.operators.textform import text_lines, text_options, to_text
-from tablelift.operators.zstd_text import ZstdTextSource
+from tablelift.operators import zstd_text
 from tablelift.options import ExportOptions
 from tablelift.session import fresh_dir
 from tablelift.storage import Store
@@ -258,7 +259,9 @@ def _writer(df: DataFrame, options: ExportOptions, cap: int | None, mode: str):
 
 
 def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> int:
-    df.sparkSession.dataSource.register(ZstdTextSource)
+    # The writer travels with the job, so executors need not have this package.
+    cloudpickle.register_pickle_by_value(zstd_text)
+    df.sparkSession.dataSource.register(zstd_text.ZstdTextSource)
     seen = Observation()
     lines, header = text_lines(df, options.format)
     lines = lines.observe(seen, F.count(F.lit(1)).alias("rows"))
