@@ -22,7 +22,7 @@ SIZE_MARGIN = 0.9
 def surely_fits(df: DataFrame, target_bytes: int) -> bool:
     """True if the optimizer's size of ``df`` leaves no doubt that one file holds it."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) * WIDEST_GROWTH <= target_bytes
+    return int(str(size)) * WIDEST_GROWTH <= target_bytes
 
 
 def rows_for_size(bytes_per_row: float, target_bytes: int) -> int:

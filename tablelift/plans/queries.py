@@ -415,14 +415,13 @@ def overwrite_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     export_frame(orders, target, many)
     out = export_frame(orders.where("o_orderstatus = 'F'"), target, ExportOptions(target=target))
     back = read_export(spark, target, "parquet", orders.schema)
-    files = file_stats(spark, target).agg(
-        (F.count(F.lit(1)) == out.files).alias("files_match"),
-        (F.sum("bytes") == out.bytes).alias("bytes_match"),
-    )
-    counts = back.agg(
-        F.count(F.lit(1)).alias("row_count"), F.min("o_orderstatus").alias("lowest_status")
+    found = file_stats(spark, target).agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    return back.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.max("o_orderstatus").alias("highest_status"),
+        F.lit(found[0] == out.files).alias("files_match"),
+        F.lit(found[1] == out.bytes).alias("bytes_match"),
     )
-    return counts.join(files, how="cross")
 
 
 def append_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,8 +451,8 @@ def dry_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = lake(spark, sf_dir)
     tasks = database_tasks(source, ExportOptions(target="/lake/{schema}/{table}"))
     counts = _counts(source, tasks.select("table_schema", "table_name"))
-    rows = counts.agg(F.sum("row_count").alias("source_rows"))
-    return dry_run(tasks).join(rows, how="cross")
+    rows = counts.agg(F.sum("row_count")).first()[0]
+    return dry_run(tasks).withColumn("source_rows", F.lit(rows).cast("long"))
 
 
 def export_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -595,9 +594,9 @@ def resume_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resume_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, manifest = _resumed_orders(spark, sf_dir)
-    illegal = illegal_moves(manifest.records()).agg(F.count(F.lit(1)).alias("illegal_moves"))
+    illegal = illegal_moves(manifest.records()).count()
     last = latest(manifest.records()).select("partition_id", "status", "attempt", "row_count")
-    return last.join(illegal, how="cross")
+    return last.withColumn("illegal_moves", F.lit(illegal).cast("long"))
 
 
 # Consistency and increments
