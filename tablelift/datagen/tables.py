@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tablelift.datagen.draws import Draws, anchor, zero_padded
 
 ROWS_PER_PARTITION = 1_000_000
+LEAST_ROWS_PER_PARTITION = 25_000
 DAY = 86_400
 
 # Full-size row counts and the values the test tables draw from.
@@ -134,7 +135,10 @@ DEVICE_TYPES = (
 
 
 def row_ids(spark: SparkSession, rows: int) -> DataFrame:
-    return spark.range(1, rows + 1, numPartitions=max(1, math.ceil(rows / ROWS_PER_PARTITION)))
+    fewest = math.ceil(rows / ROWS_PER_PARTITION)
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(1, fewest, min(cores, math.ceil(rows / LEAST_ROWS_PER_PARTITION)))
+    return spark.range(1, rows + 1, numPartitions=parts)
 
 
 def _table(ids: DataFrame, **columns: Column) -> DataFrame:

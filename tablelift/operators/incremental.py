@@ -41,7 +41,7 @@ def export_new_rows(
     manifest.start([item])
     folder = f"{target.rstrip('/')}/increment-{number:05d}"
     try:
-        out = export_frame(fresh, folder, replace(options, mode="overwrite"))
+        out = export_frame(fresh, folder, replace(options, mode="overwrite"), df)
     except Exception as error:
         manifest.append([manifest.failed(item, str(error))])
         raise
@@ -67,24 +67,22 @@ def late_rows(
     """Source rows at or below the watermark, or without a value, whose key was
     never exported.
 
-    The missing keys come from one row per key on both sides. Only they, few as
-    a rule, are repeated per salt to spread the rows of a key with very many.
+    The missing keys come from one row per key on both sides, where a struct key
+    counts NULL parts as equal. Only the missing ones, few as a rule, are repeated
+    per salt to spread the rows of a key with very many.
     """
-    names = [f"`{k}`" for k in keys]
+    key = F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__key")
     bound = F.lit(watermark).cast(source.schema[column].dataType)
     below = source.where((F.col(f"`{column}`") <= bound) | F.col(f"`{column}`").isNull())
-    wanted = below.select(*names).distinct()
-    known = exported.select(*names).distinct()
-    missing = _null_safe_join(wanted, known, keys, "left_anti")
+    wanted = below.select(key).distinct()
+    known = exported.select(key).distinct()
     numbers = F.array(*[F.lit(i).cast("long") for i in range(salts)])
-    missing = missing.select("*", F.explode(numbers).alias("__salt"))
-    salted = below.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
-    return _null_safe_join(salted, missing, [*keys, "__salt"], "left_semi").drop("__salt")
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    renamed = right.select(*[F.col(f"`{k}`").alias(f"__other_{i}") for i, k in enumerate(keys)])
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & left[f"`{k}`"].eqNullSafe(F.col(f"__other_{i}"))
-    return left.join(renamed, same, how)
+    missing = wanted.join(known, "__key", "left_anti").select(
+        "__key", F.explode(numbers).alias("__salt")
+    )
+    salted = below.withColumn("__key", key).withColumn(
+        "__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    )
+    return salted.join(missing, ["__key", "__salt"], "left_semi").select(
+        *[f"`{c}`" for c in source.columns]
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,24 +26,38 @@ def surely_fits(df: DataFrame, target_bytes: int) -> bool:
     return int(str(size)) * WIDEST_GROWTH <= target_bytes
 
 
+def first_rows(table: DataFrame, rows: int) -> DataFrame:
+    """The first rows of one file of a scan.
+
+    A limit starts every partition of its input, so the input is cut to a file
+    first. A table without Parquet files hands a fixed number of rows over.
+    """
+    spark = table.sparkSession
+    files = table._jdf.inputFiles()
+    first = unquote(files[0]) if len(files) else ""
+    if first.endswith(".parquet"):
+        one = spark.read.parquet(first)
+        if set(table.columns) <= set(one.columns):
+            return one.select(*[f"`{c}`" for c in table.columns]).limit(rows)
+    return spark.createDataFrame(table.take(rows), table.schema).coalesce(1)
+
+
 def rows_for_size(bytes_per_row: float, target_bytes: int) -> int:
     return max(1, int(SIZE_MARGIN * target_bytes / max(bytes_per_row, 1e-6)))
 
 
-def spread_slices(df: DataFrame, slice_rows: dict[int, int], cap: int) -> DataFrame:
+def spread_slices(df: DataFrame, slice_rows: list[int], cap: int) -> DataFrame:
     """Bring each slice's rows together, a large slice over as many tasks as files.
 
     The salt counts rows off one by one, so neither a slice that holds most rows
     nor equal rows in any number end up in one task.
     """
-    files = {no: max(1, math.ceil(rows / cap)) for no, rows in slice_rows.items() if rows}
-    if not files:
-        return df
-    per_slice = F.create_map(*[F.lit(v) for pair in files.items() for v in pair])
-    salt = F.pmod(F.monotonically_increasing_id(), per_slice[F.col(SLICE_COLUMN)])
+    files = [max(1, math.ceil(rows / max(1, cap))) for rows in slice_rows]
+    per_slice = F.get(F.array(*map(F.lit, files)), F.col(SLICE_COLUMN))
+    salt = F.pmod(F.monotonically_increasing_id(), per_slice)
     return (
         df.withColumn(SALT_COLUMN, salt)
-        .repartition(sum(files.values()), SLICE_COLUMN, SALT_COLUMN)
+        .repartition(sum(files), SLICE_COLUMN, SALT_COLUMN)
         .drop(SALT_COLUMN)
     )
 

@@ -79,7 +79,8 @@ def next_attempts(todo: DataFrame, records: DataFrame) -> DataFrame:
         F.col("status").alias("last_status"),
         F.col("error").alias("last_error"),
     )
-    return skip_committed(todo, records).join(last, "stable_id", "left").select(
+    still_open = F.col("last_status").isNull() | (F.col("last_status") != COMMITTED)
+    return todo.join(last, "stable_id", "left").where(still_open).select(
         *[F.col(f"`{c}`") for c in todo.columns],
         (F.coalesce("last_attempt", F.lit(0)) + 1).alias("attempt"),
         "last_status",

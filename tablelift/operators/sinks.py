@@ -6,24 +6,28 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tablelift.operators.layout import (
     SAMPLE_ROWS,
     SIZE_TOLERANCE,
     fill_files,
+    first_rows,
     rows_for_size,
     spread_slices,
     surely_fits,
 )
 from tablelift.functions.names import slice_target
-from tablelift.operators.slices import SLICE_COLUMN, Slice, with_slice_number
+from tablelift.operators.slices import SLICE_COLUMN, Slice, count_slices, with_slice_number
 from tablelift.operators.textform import text_lines, text_options, to_text
 from tablelift.operators import zstd_text
 from tablelift.options import ExportOptions
 from tablelift.session import fresh_dir
+from tablelift.sources.readback import read_export
 from tablelift.storage import Store
 
+# A file without rows holds no more than a schema or a header.
+EMPTY_FILE_BYTES = 64 * 1024
 NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
@@ -39,19 +43,21 @@ class Published:
 
 
 def export_frame(
-    df: DataFrame, target: str, options: ExportOptions, whole_scan: bool = False
+    df: DataFrame, target: str, options: ExportOptions, table: DataFrame | None = None
 ) -> Published:
     """Write ``df`` to the folder ``target``.
 
-    ``whole_scan`` says that ``df`` is a table as it lies: its rows are then
-    counted beforehand, which file footers answer, and fill whole files.
+    ``table`` is the plain scan ``df`` comes from: few of its rows show how large a
+    row is. If it is ``df`` itself, its rows are counted, which file footers
+    answer, and fill whole files. Without it nothing runs before the write, as it
+    could run a long query twice; files that come out too large are split after.
     """
     options = options.checked()
     spark = df.sparkSession
     store = Store(spark, target)
     _refuse_existing(store, target, options)
-    cap = rows_per_file(df, options)
-    if cap and (whole_scan or options.even_files):
+    cap = rows_per_file(table, options)
+    if cap and (df is table or options.even_files):
         df = fill_files(df, df.count(), cap, options)
     with _Staging(store, target) as staging:
         if _is_zstd_text(options):
@@ -61,7 +67,7 @@ def export_frame(
             return _written_in_place(store, "single", target, rows)
         else:
             rows = _stage(df, staging.data, options, cap, [None])[0]
-            _split_oversized(spark, store, staging.data, options, min(cap or rows, rows))
+            _tidy(spark, store, staging.data, options, cap or rows, df.schema)
         return publish(store, staging.data, "single", target, rows, options)
 
 
@@ -70,6 +76,7 @@ def export_slices(
     slices: list[Slice],
     target: str,
     options: ExportOptions,
+    table: DataFrame | None = None,
     numbered: DataFrame | None = None,
 ) -> list[Published]:
     """Write several slices of ``df``, each to its own folder, from one scan.
@@ -84,52 +91,51 @@ def export_slices(
         done = []
         for s in slices:
             part = df if s.predicate is None else df.where(s.predicate)
-            out = export_frame(part, slice_target(target, s.id), options)
+            out = export_frame(part, slice_target(target, s.id), options, table)
             done.append(Published(s.id, out.target, out.rows, out.bytes, out.files))
         return done
     targets = [slice_target(target, s.id) for s in slices]
     for folder in targets:
         _refuse_existing(store, folder, options)
-    cap = rows_per_file(df, options)
+    cap = rows_per_file(table, options)
     if numbered is None:
-        numbered = with_slice_number(df, slices)
-        counts = {r[0]: r[1] for r in numbered.groupBy(SLICE_COLUMN).count().collect()}
-        numbered = spread_slices(numbered, counts, cap or max(counts.values(), default=1))
+        counts, disjoint = count_slices(df, slices)
+        numbered = with_slice_number(df, slices, disjoint)
+        numbered = spread_slices(numbered, counts, cap or max(counts, default=1))
     done = []
     with _Staging(store, targets[0]) as staging:
         rows = _stage(numbered, staging.data, options, cap, list(range(len(slices))))
         for i, s in enumerate(slices):
             folder = f"{staging.data}/{SLICE_COLUMN}={i}"
-            _split_oversized(spark, store, folder, options, min(cap or rows[i], rows[i]))
+            _tidy(spark, store, folder, options, cap or rows[i], df.schema)
             done.append(publish(store, folder, s.id, targets[i], rows[i], options))
     return done
 
 
-def rows_per_file(df: DataFrame, options: ExportOptions) -> int | None:
+def rows_per_file(table: DataFrame | None, options: ExportOptions) -> int | None:
     """Row limit of a file: the given one, or what the size target allows.
 
-    Rows from the first partitions, a fixed number, are written in the wanted
-    format; the growth from a quarter of them to all is what a row takes. What
-    the sample misjudges, :func:`_split_oversized` puts right.
+    Rows from one file, a fixed number, are written in the wanted format; the
+    growth from a quarter of them to all is what a row takes. What
+    the sample misjudges, :func:`_tidy` puts right.
     """
     limits = [options.max_rows_per_file] if options.max_rows_per_file else []
     target = options.target_file_bytes
-    if target and not _is_zstd_text(options) and not surely_fits(df, target):
-        sample = df.take(SAMPLE_ROWS)
-        if sample:
-            few = max(1, len(sample) // 4)
-            some, all_of = (_sample_bytes(df, rows, options) for rows in (sample[:few], sample))
-            per_row = (all_of - some) / (len(sample) - few) if len(sample) > few else all_of
-            limits.append(rows_for_size(per_row, target))
+    sampled = table is not None and target and not _is_zstd_text(options)
+    if sampled and not surely_fits(table, target):
+        sample = first_rows(table, SAMPLE_ROWS)
+        rows = sample.count()
+        few = rows // 4
+        if few:
+            growth = _sample_bytes(sample, options) - _sample_bytes(sample.limit(few), options)
+            limits.append(rows_for_size(growth / (rows - few), target))
     return min(limits) if limits else None
 
 
-def _sample_bytes(df: DataFrame, rows: list, options: ExportOptions) -> int:
-    spark = df.sparkSession
-    frame = spark.createDataFrame(rows, df.schema).coalesce(1)
-    folder = fresh_dir(spark, "sample")
-    _writer(frame, options, None, "overwrite").save(folder)
-    store = Store(spark, folder)
+def _sample_bytes(sample: DataFrame, options: ExportOptions) -> int:
+    folder = fresh_dir(sample.sparkSession, "sample")
+    _writer(sample, options, None, "overwrite").save(folder)
+    store = Store(sample.sparkSession, folder)
     size, _ = store.usage(folder)
     store.delete(folder)
     return size
@@ -259,54 +265,84 @@ def _writer(df: DataFrame, options: ExportOptions, cap: int | None, mode: str):
 
 
 def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> int:
+    """Write the files and keep those of successful tasks; returns their rows.
+
+    What comes back to the driver is one short row per file.
+    """
     # The writer travels with the job, so executors need not have this package.
     cloudpickle.register_pickle_by_value(zstd_text)
-    df.sparkSession.dataSource.register(zstd_text.ZstdTextSource)
-    seen = Observation()
     lines, header = text_lines(df, options.format)
-    lines = lines.observe(seen, F.count(F.lit(1)).alias("rows"))
-    (
-        lines.write.format("zstd_text")
-        .mode("append")
-        .options(
-            header=header,
-            suffix="." + options.file_name(0).split(".", 1)[1],
-            level=options.zstd_level,
-            maxrows=options.max_rows_per_file or 0,
-            maxbytes=options.target_file_bytes or 0,
-        )
-        .save(folder.rsplit("/", 1)[0])
+    attempts = folder + "-attempts"
+    plan = zstd_text.ZstdFiles(
+        folder=attempts,
+        header=header,
+        suffix="." + options.file_name(0).split(".", 1)[1],
+        level=options.zstd_level,
+        max_rows=options.max_rows_per_file,
+        max_bytes=options.target_file_bytes,
     )
-    return int(seen.get.get("rows") or 0)
-
-
-def _split_oversized(
-    spark: SparkSession, store: Store, folder: str, options: ExportOptions, cap: int
+    written = lines.mapInArrow(zstd_text.batch_writer(plan), zstd_text.WRITTEN_SCHEMA).collect()
+    store = Store(df.sparkSession, folder)
+    store.mkdirs(folder)
+    pairs = [(f"{attempts}/{r.file_name}", f"{folder}/{r.file_name}") for r in written]
+    store.rename_all(pairs, options.io_concurrency)
+    return sum(r.row_count for r in written)
+
+
+def _tidy(
+    spark: SparkSession,
+    store: Store,
+    folder: str,
+    options: ExportOptions,
+    cap: int,
+    schema: T.StructType,
 ) -> None:
-    """Write files that came out above the size target again, with fewer rows each.
-
-    Only these files are read. Text is passed on as it stands.
-    """
+    """Drop the empty file of an empty first task, and split files above the target."""
+    sizes = store.files(folder)
+    first = next(iter(sizes), None)
+    if len(sizes) > 1 and sizes[first] <= EMPTY_FILE_BYTES:
+        if read_export(spark, f"{folder}/{first}", options.format, schema).isEmpty():
+            store.delete(f"{folder}/{first}")
+            del sizes[first]
     target = options.target_file_bytes
     while target and cap > 1:
-        big = {n: s for n, s in store.files(folder).items() if s > SIZE_TOLERANCE * target}
+        big = {n: s for n, s in sizes.items() if s > SIZE_TOLERANCE * target}
         if not big:
             return
-        cap = min(cap - 1, rows_for_size(max(big.values()) / cap, target))
-        again = f"{folder}/_again-{uuid.uuid4().hex}"
-        paths = [f"{folder}/{n}" for n in big]
-        if options.format == "parquet":
-            _writer(spark.read.parquet(*paths), options, cap, "overwrite").save(again)
-        elif options.format == "json":
-            lines = spark.read.text(paths).write.options(**NO_MARKER, maxRecordsPerFile=cap)
-            lines.text(again, compression=options.compression)
-        else:
-            extra = text_options(options.format, 2)
-            raw = spark.read.options(**extra, header=True, multiLine=True, inferSchema=False)
-            _writer(raw.csv(paths), options, cap, "overwrite").save(again)
-        for name in big:
-            store.delete(f"{folder}/{name}")
-        prefix = min(big)[: len("part-00000")]
-        moves = [(f"{again}/{n}", f"{folder}/{prefix}-{n}") for n in store.files(again)]
-        store.rename_all(moves, options.io_concurrency)
-        store.delete(again)
+        cap = _split_files(spark, store, folder, big, options, cap)
+        sizes = store.files(folder)
+
+
+def _split_files(
+    spark: SparkSession,
+    store: Store,
+    folder: str,
+    big: dict[str, int],
+    options: ExportOptions,
+    cap: int,
+) -> int:
+    """Write the given files again with fewer rows each; only they are read, and text
+    is passed on as it stands. Returns the row limit used."""
+    paths = [f"{folder}/{n}" for n in big]
+    if options.format == "parquet":
+        raw = spark.read.parquet(*paths)
+    elif options.format == "json":
+        raw = spark.read.text(paths)
+    else:
+        texts = spark.read.options(**text_options(options.format, 2), header=True, multiLine=True)
+        raw = texts.csv(paths)
+    rows = raw.count()
+    cap = min(cap - 1, rows_for_size(sum(big.values()) / max(1, rows), options.target_file_bytes))
+    again = f"{folder}/_again-{uuid.uuid4().hex}"
+    if options.format == "json":
+        lines = raw.write.options(**NO_MARKER, maxRecordsPerFile=cap)
+        lines.text(again, compression=options.compression)
+    else:
+        _writer(raw, options, cap, "overwrite").save(again)
+    for name in big:
+        store.delete(f"{folder}/{name}")
+    prefix = min(big)[: len("part-00000")]
+    moves = [(f"{again}/{n}", f"{folder}/{prefix}-{n}") for n in store.files(again)]
+    store.rename_all(moves, options.io_concurrency)
+    store.delete(again)
+    return cap

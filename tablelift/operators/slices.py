@@ -136,27 +136,44 @@ def _literal(kind: T.DataType, value) -> str:
     return str(value)
 
 
+def _conditions(slices: list[Slice]) -> list[Column]:
+    return [F.lit(True) if s.predicate is None else F.expr(s.predicate) for s in slices]
+
+
+def _any(conditions: list[Column]) -> Column:
+    kept = F.lit(False)
+    for condition in conditions:
+        kept = kept | condition
+    return kept
+
+
 def slice_numbers(slices: list[Slice]) -> Column:
     """Numbers of all slices a row belongs to, as an array."""
-    numbers = [
-        F.when(F.lit(True) if s.predicate is None else F.expr(s.predicate), F.lit(i))
-        for i, s in enumerate(slices)
-    ]
-    return F.array_compact(F.array(*numbers))
+    return F.array_compact(
+        F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(_conditions(slices))])
+    )
+
+
+def count_slices(df: DataFrame, slices: list[Slice]) -> tuple[list[int], bool]:
+    """Rows of every slice, and whether no row is in two. One pass over the columns
+    the predicates name, without a shuffle of rows."""
+    conditions = _conditions(slices)
+    counts = df.agg(F.count_if(_any(conditions)), *map(F.count_if, conditions)).first()
+    return list(counts[1:]), sum(counts[1:]) == counts[0]
 
 
-def with_slice_number(df: DataFrame, slices: list[Slice]) -> DataFrame:
+def with_slice_number(df: DataFrame, slices: list[Slice], disjoint: bool = False) -> DataFrame:
     """Rows of all given slices from one scan, each with its slice number.
 
     A row that several predicates keep comes once per slice, as it would from
     separate reads. The disjunction of the predicates reaches the scan.
     """
-    if all(s.predicate is not None for s in slices):
-        kept = F.lit(False)
-        for s in slices:
-            kept = kept | F.expr(s.predicate)
-        df = df.where(kept)
-    return df.select("*", F.explode(slice_numbers(slices)).alias(SLICE_COLUMN))
+    conditions = _conditions(slices)
+    kept = df.where(_any(conditions))
+    if disjoint:
+        number = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(conditions)])
+        return kept.select("*", number.alias(SLICE_COLUMN))
+    return kept.select("*", F.explode(slice_numbers(slices)).alias(SLICE_COLUMN))
 
 
 def slice_report(df: DataFrame, slices: list[Slice], key: str) -> DataFrame:

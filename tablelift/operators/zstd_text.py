@@ -1,113 +1,103 @@
 """Zstandard-compressed text files, which Spark's own text writer does not offer.
 
-Spark renders every row to a line; the writer only compresses the bytes of each
-Arrow batch and starts a new file at a limit, so no row passes through Python
-objects.
+Spark renders every row to a line; a task only compresses the bytes of each Arrow
+batch and starts a new file at a limit, so no row becomes a Python object.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 LINE_COLUMN = "line"
+WRITTEN_SCHEMA = "file_name string, row_count long"
 FRAME_BYTES = 4 * 1024 * 1024
 SMALL_FRAME_BYTES = 16 * 1024
 
 
-@dataclass
-class FilesWritten(WriterCommitMessage):
-    files: list[str]
+@dataclass(frozen=True)
+class ZstdFiles:
+    """Where and how a task writes its files."""
 
+    folder: str
+    header: str
+    suffix: str
+    level: int
+    max_rows: int | None
+    max_bytes: int | None
 
-class ZstdTextSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "zstd_text"
+    def frame_bytes(self) -> int:
+        if not self.max_bytes:
+            return FRAME_BYTES
+        return max(SMALL_FRAME_BYTES, min(FRAME_BYTES, self.max_bytes // 8))
 
-    def schema(self) -> str:
-        return f"{LINE_COLUMN} string"
 
-    def writer(self, schema, overwrite: bool) -> ZstdTextWriter:
-        return ZstdTextWriter(dict(self.options))
+def filesystem_of(folder: str) -> tuple[pafs.FileSystem, str]:
+    uri = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+    return pafs.FileSystem.from_uri(uri)
 
 
-class ZstdTextWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict[str, str]):
-        self.folder = options["path"].rstrip("/")
-        self.header = options.get("header", "")
-        self.suffix = options["suffix"]
-        self.level = int(options["level"])
-        self.max_rows = int(options.get("maxrows") or 0)
-        self.max_bytes = int(options.get("maxbytes") or 0)
-        self.frame_bytes = FRAME_BYTES
-        if self.max_bytes:
-            self.frame_bytes = max(SMALL_FRAME_BYTES, min(FRAME_BYTES, self.max_bytes // 8))
+def batch_writer(
+    plan: ZstdFiles,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A ``mapInArrow`` function that writes lines and returns what it wrote.
 
-    def _filesystem(self) -> tuple[pafs.FileSystem, str]:
-        uri = self.folder if "://" in self.folder else f"file://{self.folder.removeprefix('file:')}"
-        return pafs.FileSystem.from_uri(uri)
+    Names are unique per attempt. The driver keeps the files that successful
+    tasks report; those of lost or repeated attempts go with the staging folder.
+    """
 
-    def write(self, iterator) -> FilesWritten:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        filesystem, root = self._filesystem()
-        context = TaskContext.get()
-        stem = f"part-{context.partitionId():05d}-{uuid.uuid4().hex}"
-        done: list[str] = []
+        filesystem, root = filesystem_of(plan.folder)
+        filesystem.create_dir(root)
+        stem = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
+        names: list[str] = []
+        counts: list[int] = []
         out = None
-        rows = 0
-        for batch in iterator:
+        for batch in batches:
             lines = batch.column(0)
             start = 0
             while start < len(lines):
                 if out is None:
-                    name = f"{stem}-{len(done):05d}{self.suffix}"
-                    filesystem.create_dir(f"{root}/attempts")
-                    out = _CountedZstd(filesystem, f"{root}/attempts/{name}", self.level, self.frame_bytes)
-                    out.write(self.header.encode())
-                    done.append(name)
-                    rows = 0
-                count = self._chunk(lines, start, out, rows)
+                    names.append(f"{stem}-{len(names):05d}{plan.suffix}")
+                    counts.append(0)
+                    out = _CountedZstd(filesystem, f"{root}/{names[-1]}", plan)
+                    out.write(plan.header.encode())
+                count = _next_chunk(lines, start, out.written(), counts[-1], plan)
                 out.write(_bytes_of(lines.slice(start, count)))
                 start += count
-                rows += count
-                if (self.max_rows and rows >= self.max_rows) or (
-                    self.max_bytes and out.written() >= self.max_bytes
+                counts[-1] += count
+                if (plan.max_rows and counts[-1] >= plan.max_rows) or (
+                    plan.max_bytes and out.written() >= plan.max_bytes
                 ):
                     out.close()
                     out = None
         if out is not None:
             out.close()
-        return FilesWritten(done)
-
-    def _chunk(self, lines: pa.Array, start: int, out: _CountedZstd, rows: int) -> int:
-        """Lines to add before looking at the limits again."""
-        count = len(lines) - start
-        if self.max_rows:
-            count = min(count, self.max_rows - rows)
-        if self.max_bytes:
-            # Even incompressible text must not run far past the limit.
-            room = max(1, self.max_bytes - out.written())
-            average = max(1, lines.slice(start).nbytes // (len(lines) - start))
-            count = min(count, max(1, room // average))
-        return count
-
-    def commit(self, messages: list[FilesWritten | None]) -> None:
-        """Keep the files of successful attempts only."""
-        filesystem, root = self._filesystem()
-        filesystem.create_dir(f"{root}/data")
-        for message in messages:
-            for name in message.files if message else []:
-                filesystem.move(f"{root}/attempts/{name}", f"{root}/data/{name}")
-
-    def abort(self, messages) -> None:
-        filesystem, root = self._filesystem()
-        filesystem.delete_dir_contents(f"{root}/attempts", missing_dir_ok=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(counts, pa.int64())],
+            names=["file_name", "row_count"],
+        )
+
+    return write
+
+
+def _next_chunk(lines: pa.Array, start: int, written: int, rows: int, plan: ZstdFiles) -> int:
+    """Lines to add before the limits are looked at again."""
+    count = len(lines) - start
+    if plan.max_rows:
+        count = min(count, plan.max_rows - rows)
+    if plan.max_bytes:
+        # Even text that does not shrink must not run far past the limit.
+        room = max(1, plan.max_bytes - written)
+        average = max(1, lines.slice(start).nbytes // (len(lines) - start))
+        count = min(count, max(1, room // average))
+    return count
 
 
 class _CountedZstd:
@@ -117,10 +107,10 @@ class _CountedZstd:
     only part with a known size.
     """
 
-    def __init__(self, filesystem: pafs.FileSystem, path: str, level: int, frame_bytes: int):
+    def __init__(self, filesystem: pafs.FileSystem, path: str, plan: ZstdFiles):
         self._raw = filesystem.open_output_stream(path, compression=None)
-        self._codec = pa.Codec("zstd", compression_level=level)
-        self._frame_bytes = frame_bytes
+        self._codec = pa.Codec("zstd", compression_level=plan.level)
+        self._frame_bytes = plan.frame_bytes()
         self._pending: list[bytes] = []
         self._pending_bytes = 0
 

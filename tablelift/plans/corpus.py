@@ -31,7 +31,7 @@ QUERY_TEXTS = {
         FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)
     """,
     "query_cube": """
-        SELECT c_mktsegment, c_nationkey, count(*) AS customer_count
+        SELECT c_mktsegment, coalesce(c_nationkey, -1) AS nation_key, count(*) AS customer_count
         FROM customer GROUP BY CUBE (c_mktsegment, c_nationkey)
     """,
     "query_window": """

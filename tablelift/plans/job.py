@@ -82,7 +82,7 @@ def _run_task(
     spark = source.spark
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", task.task_id)
     try:
-        frame = _task_frame(source, task, options, job_id)
+        table, frame = _task_frames(source, task, options, job_id)
         slices = slicer(task, frame) if slicer else single_slice()
     except Exception as error:
         return [_failure(task, None, error)]
@@ -106,7 +106,7 @@ def _run_task(
         try:
             if manifest:
                 manifest.start(list(items.values()))
-            done = _write(source, task, frame, part, options)
+            done = _write(source, task, table, frame, part, options)
             if manifest:
                 manifest.append(
                     [row for out in done for row in _closing(manifest, items[out.slice_id], out)]
@@ -129,13 +129,16 @@ def _run_task(
     return rows
 
 
-def _task_frame(source, task: Row, options: ExportOptions, job_id: str) -> DataFrame:
+def _task_frames(
+    source, task: Row, options: ExportOptions, job_id: str
+) -> tuple[DataFrame | None, DataFrame]:
+    """(plain scan, rows to export) of a task; a query has no plain scan."""
     if task.kind != TABLE:
-        return source.query(task.sql)
-    frame = source.frame(task.table_schema, task.table_name)
+        return None, source.query(task.sql)
+    table = source.frame(task.table_schema, task.table_name)
     if options.consistency == "database_snapshot" and options.manifest_dir and hasattr(source, "root"):
-        frame = _pinned(source.spark, frame, task, options, job_id)
-    return frame if task.predicate is None else frame.where(task.predicate)
+        table = _pinned(source.spark, table, task, options, job_id)
+    return table, table if task.predicate is None else table.where(task.predicate)
 
 
 def _pinned(
@@ -150,17 +153,21 @@ def _pinned(
 
 
 def _write(
-    source, task: Row, frame: DataFrame, part: list[Slice], options: ExportOptions
+    source,
+    task: Row,
+    table: DataFrame | None,
+    frame: DataFrame,
+    part: list[Slice],
+    options: ExportOptions,
 ) -> list[Published]:
     if len(part) == 1 and part[0].predicate is None:
-        whole = task.kind == TABLE and task.predicate is None
-        out = export_frame(frame, task.target_prefix, options, whole_scan=whole)
+        out = export_frame(frame, task.target_prefix, options, table)
         return [Published(part[0].id, out.target, out.rows, out.bytes, out.files)]
     numbered = None
     if task.kind == TABLE and hasattr(source, "sliced"):
         rows = source.sliced(task.table_schema, task.table_name, part)
         numbered = rows.withColumn(SLICE_COLUMN, F.spark_partition_id())
-    return export_slices(frame, part, task.target_prefix, options, numbered)
+    return export_slices(frame, part, task.target_prefix, options, table, numbered)
 
 
 def _slice_key(task: Row, part: Slice, job_id: str) -> dict:

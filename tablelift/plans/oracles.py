@@ -179,8 +179,8 @@ def oracle_texts() -> dict[str, str]:
         "slice_template": _template_slices(),
         "slice_coverage": "SELECT 1 AS slices_hit, count(*) AS row_count FROM lineitem",
         "schema_from_catalog": """
-            SELECT CAST(l_orderkey AS INT) AS l_orderkey, l_partkey,
-                   CAST(l_suppkey AS INT) AS l_suppkey, CAST(l_linenumber AS SMALLINT) AS l_linenumber,
+            SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(l_partkey AS DOUBLE) AS l_partkey,
+                   CAST(l_suppkey AS DOUBLE) AS l_suppkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
                    CAST(CAST(l_quantity AS DECIMAL(15,2)) AS DOUBLE) AS l_quantity,
                    CAST(CAST(l_extendedprice AS DECIMAL(19,4)) AS DOUBLE) AS l_extendedprice,
                    CAST(CAST(l_discount AS FLOAT) AS DOUBLE) AS l_discount, l_tax,
@@ -188,10 +188,11 @@ def oracle_texts() -> dict[str, str]:
             FROM lineitem
         """,
         "conform_columns": """
-            SELECT TRY_CAST(o_orderkey AS INT) AS o_orderkey, TRY_CAST(o_custkey AS SMALLINT) AS o_custkey,
-                   o_orderstatus, CAST(TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS DOUBLE) AS o_totalprice,
+            SELECT CAST(TRY_CAST(o_orderkey AS INT) AS DOUBLE) AS o_orderkey,
+                   CAST(TRY_CAST(o_custkey AS SMALLINT) AS DOUBLE) AS o_custkey, o_orderstatus,
+                   CAST(TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS DOUBLE) AS o_totalprice,
                    CAST(o_orderdate AS DATE) AS o_orderdate,
-                   TRY_CAST(o_orderpriority AS INT) AS o_orderpriority
+                   CAST(TRY_CAST(o_orderpriority AS INT) AS DOUBLE) AS o_orderpriority
             FROM orders
         """,
         "column_order": "SELECT p_retailprice, p_size, p_type, p_brand, p_name, p_partkey FROM part",

@@ -72,19 +72,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return lake(spark, sf_dir).frame("dbo", name)
 
 
-def exported(df: DataFrame, whole_scan: bool = False, **options) -> DataFrame:
+def exported(df: DataFrame, table: DataFrame | None = None, **options) -> DataFrame:
     """Export a frame to a new folder and read it back."""
     target = fresh_dir(df.sparkSession, "export")
     wanted = ExportOptions(target=target, **options)
-    export_frame(df, target, wanted, whole_scan=whole_scan)
+    export_frame(df, target, wanted, table)
     return read_export(df.sparkSession, target, wanted.format, df.schema)
 
 
+def exported_table(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
+    whole = table(spark, sf_dir, name)
+    return exported(whole, whole, **options)
+
+
 # Scans
 
 
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exported(table(spark, sf_dir, "lineitem"), whole_scan=True)
+    return exported_table(spark, sf_dir, "lineitem")
 
 
 def table_where(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +103,8 @@ def table_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def column_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["c_mktsegment", "c_custkey", "c_name"]
-    return exported(scan(table(spark, sf_dir, "customer"), columns, "c_acctbal > 0"))
+    customers = table(spark, sf_dir, "customer")
+    return exported(scan(customers, columns, "c_acctbal > 0"), scan(customers, columns))
 
 
 def exported_query(name: str, sql: str):
@@ -276,11 +282,11 @@ ORDERS_DECLARED = T.StructType(
 )
 
 
-def _decimals_as_double(df: DataFrame) -> DataFrame:
+def _numbers_as_double(df: DataFrame) -> DataFrame:
     return df.select(
         *[
             F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, (T.DecimalType, T.FloatType))
+            if isinstance(f.dataType, T.NumericType)
             else F.col(f.name)
             for f in df.schema.fields
         ]
@@ -294,12 +300,12 @@ def schema_from_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, (name, kind, nullable, precision, scale) in enumerate(LINEITEM_DECLARED, start=1)
     ]
     schema = schema_from_columns(spark.createDataFrame(rows, COLUMNS_SCHEMA))
-    return _decimals_as_double(exported(conform(lines, schema)))
+    return _numbers_as_double(exported(conform(lines, schema)))
 
 
 def conform_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return _decimals_as_double(exported(conform(orders, ORDERS_DECLARED)))
+    return _numbers_as_double(exported(conform(orders, ORDERS_DECLARED)))
 
 
 def column_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,32 +329,32 @@ def cast_loss_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exported(table(spark, sf_dir, "documents"), True, format="csv", compression="none")
+    return exported_table(spark, sf_dir, "documents", format="csv", compression="none")
 
 
 def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exported(table(spark, sf_dir, "pages"), True, format="tsv", compression="none")
+    return exported_table(spark, sf_dir, "pages", format="tsv", compression="none")
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exported(table(spark, sf_dir, "conversations"), True, format="json", compression="none")
+    return exported_table(spark, sf_dir, "conversations", format="json", compression="none")
 
 
 def gzip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snappy is not offered with text, so this comes out as gzip."""
-    return exported(table(spark, sf_dir, "events"), True, format="csv", compression="snappy")
+    return exported_table(spark, sf_dir, "events", format="csv", compression="snappy")
 
 
 def zstd_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exported(table(spark, sf_dir, "documents"), True, format="csv", compression="zstd")
+    return exported_table(spark, sf_dir, "documents", format="csv", compression="zstd")
 
 
 def zstd_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exported(table(spark, sf_dir, "lineitem"), True, format="json", compression="zstd")
+    return exported_table(spark, sf_dir, "lineitem", format="json", compression="zstd")
 
 
 def zstd_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exported(table(spark, sf_dir, "orders"), True, compression="zstd")
+    return exported_table(spark, sf_dir, "orders", compression="zstd")
 
 
 def nested_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,7 +377,7 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap = min(1_000_000, math.ceil(lines.count() / 8) or 1)
     target = fresh_dir(spark, "rows")
     options = ExportOptions(target=target, max_rows_per_file=cap)
-    export_frame(lines, target, options, whole_scan=True)
+    export_frame(lines, target, options, lines)
     per_file = (
         read_export(spark, target, "parquet", lines.schema)
         .groupBy(F.col("_metadata.file_name").alias("file_name"))
@@ -390,7 +396,7 @@ def split_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     goal = max(1, min(DEFAULT_FILE_BYTES, size // 6))
     target = fresh_dir(spark, "size")
     options = ExportOptions(target=target, target_file_bytes=goal)
-    out = export_frame(documents, target, options, whole_scan=True)
+    out = export_frame(documents, target, options, documents)
     return file_stats(spark, target).agg(
         (F.max("bytes") <= SIZE_TOLERANCE * goal).alias("sizes_hold"),
         (F.count(F.lit(1)) > 1).alias("was_split"),
@@ -412,7 +418,7 @@ def overwrite_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     target = fresh_dir(spark, "overwrite")
     many = ExportOptions(target=target, max_rows_per_file=max(1, orders.count() // 5))
-    export_frame(orders, target, many)
+    export_frame(orders, target, many, orders)
     out = export_frame(orders.where("o_orderstatus = 'F'"), target, ExportOptions(target=target))
     back = read_export(spark, target, "parquet", orders.schema)
     found = file_stats(spark, target).agg(F.count(F.lit(1)), F.sum("bytes")).first()

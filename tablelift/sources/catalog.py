@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tablelift.functions.names import glob_match
@@ -17,7 +19,11 @@ COLUMNS_SCHEMA = (
 
 
 class LakeSource:
-    """Parquet tables of one folder, ``<root>/<table>.parquet``, as one schema."""
+    """Parquet tables of one folder, ``<root>/<table>.parquet``, as one schema.
+
+    A table is listed once per source, so everything read through one source sees
+    one state of its files.
+    """
 
     def __init__(
         self,
@@ -35,6 +41,7 @@ class LakeSource:
             entries = Store(spark, self.root).files(self.root)
             names = [e[: -len(".parquet")] for e in entries if e.endswith(".parquet")]
         self.names = names
+        self._frames: dict[str, DataFrame] = {}
 
     def tables(self) -> DataFrame:
         rows = [(self.database, self.schema, name, "BASE TABLE") for name in self.names]
@@ -43,7 +50,9 @@ class LakeSource:
     def frame(self, schema: str, table: str) -> DataFrame:
         if schema.lower() != self.schema.lower() or table not in self.names:
             raise LookupError(f"no table {schema}.{table}")
-        return self.spark.read.parquet(f"{self.root}/{table}.parquet")
+        if table not in self._frames:
+            self._frames[table] = self.spark.read.parquet(f"{self.root}/{table}.parquet")
+        return self._frames[table]
 
     def columns(self, schema: str, table: str) -> DataFrame:
         return frame_columns(self.frame(schema, table), schema, table)
@@ -51,7 +60,8 @@ class LakeSource:
     def query(self, sql: str) -> DataFrame:
         """A query over the tables by their bare names."""
         for name in self.names:
-            self.frame(self.schema, name).createOrReplaceTempView(name)
+            if re.search(rf"\b{re.escape(name)}\b", sql, re.IGNORECASE):
+                self.frame(self.schema, name).createOrReplaceTempView(name)
         return self.spark.sql(sql)
 
 
