@@ -19,7 +19,7 @@ from tablelift.operators.layout import (
 )
 from tablelift.functions.names import slice_target
 from tablelift.operators.slices import SLICE_COLUMN, Slice, count_slices, with_slice_number
-from tablelift.operators.textform import text_lines, text_options, to_text
+from tablelift.operators.textform import read_options, text_lines, text_options, to_text
 from tablelift.operators import zstd_text
 from tablelift.options import ExportOptions
 from tablelift.session import fresh_dir
@@ -329,7 +329,7 @@ def _split_files(
     elif options.format == "json":
         raw = spark.read.text(paths)
     else:
-        texts = spark.read.options(**text_options(options.format, 2), header=True, multiLine=True)
+        texts = spark.read.options(**read_options(options.format, 2), header=True, multiLine=True)
         raw = texts.csv(paths)
     rows = raw.count()
     cap = min(cap - 1, rows_for_size(sum(big.values()) / max(1, rows), options.target_file_bytes))

@@ -14,10 +14,13 @@ SEPARATORS = {"csv": ",", "tsv": "\t"}
 NESTED = (T.ArrayType, T.MapType, T.StructType)
 # Stands for NULL where a lone empty field would be an empty, unreadable line.
 LONE_NULL = "\\N"
+# Only in readers: what an empty field without quotes is taken for, so that one
+# with quotes stays an empty text. No file holds it.
+NO_FIELD = "\u0000no field\u0000"
 
 
 def text_options(fmt: str, columns: int) -> dict[str, str]:
-    """Options shared by the writer and the reader of a text format."""
+    """Options of the writer of a text format."""
     if fmt == "json":
         return {**TIME_FORMATS, "ignoreNullFields": "true"}
     options = {
@@ -33,6 +36,13 @@ def text_options(fmt: str, columns: int) -> dict[str, str]:
     return options
 
 
+def read_options(fmt: str, columns: int) -> dict[str, str]:
+    options = text_options(fmt, columns)
+    if fmt != "json":
+        options.setdefault("nullValue", NO_FIELD)
+    return options
+
+
 def _written_as_text(kind: T.DataType, fmt: str) -> bool:
     return isinstance(kind, T.BinaryType) or (fmt != "json" and isinstance(kind, NESTED))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tablelift.functions.types import nullable_schema
-from tablelift.operators.textform import from_text, text_options, text_schema
+from tablelift.operators.textform import from_text, read_options, text_schema
 from tablelift.storage import Store
 
 
@@ -23,7 +23,7 @@ def read_export(
     if fmt == "parquet":
         return reader.schema(nullable_schema(schema)).parquet(path)
     reader = reader.schema(text_schema(schema, fmt)).options(
-        **text_options(fmt, len(schema.fields)), mode="FAILFAST"
+        **read_options(fmt, len(schema.fields)), mode="FAILFAST"
     )
     if fmt == "json":
         return from_text(reader.json(path), schema, fmt)
