@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
+from tablelift.operators.layout import steady_numbers
 from tablelift.operators.manifest import COMMITTED, Manifest, latest
 from tablelift.operators.sinks import Published, export_frame
 from tablelift.options import ExportOptions
@@ -80,8 +81,10 @@ def late_rows(
     missing = wanted.join(known, "__key", "left_anti").select(
         "__key", F.explode(numbers).alias("__salt")
     )
-    salted = below.withColumn("__key", key).withColumn(
-        "__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    salted = steady_numbers(below, "__salt").select(
+        *[f"`{c}`" for c in source.columns],
+        key,
+        F.pmod("__salt", F.lit(salts).cast("long")).alias("__salt"),
     )
     return salted.join(missing, ["__key", "__salt"], "left_semi").select(
         *[f"`{c}`" for c in source.columns]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tablelift.operators.slices import SLICE_COLUMN
 from tablelift.options import ExportOptions
@@ -14,6 +14,8 @@ SAMPLE_ROWS = 4_000
 # No format writes this many times the bytes a scan reads.
 WIDEST_GROWTH = 20
 SALT_COLUMN = "__salt"
+# Rows are shuffled together when they fill so many times fewer files than tasks.
+SPARSE_FACTOR = 4
 # A size target is met when no file is larger than this share of it.
 SIZE_TOLERANCE = 1.25
 # Rows are set a little below the estimate, as rows differ in size.
@@ -46,6 +48,26 @@ def rows_for_size(bytes_per_row: float, target_bytes: int) -> int:
     return max(1, int(SIZE_MARGIN * target_bytes / max(bytes_per_row, 1e-6)))
 
 
+def has_shuffle(df: DataFrame) -> bool:
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def steady_numbers(df: DataFrame, alias: str) -> DataFrame:
+    """Number the rows of every partition in a way that a repeated task repeats.
+
+    A scan gives its rows in one order. Rows that came through a shuffle may come
+    in another when a task runs again after a lost executor, so they are sorted
+    by their content first; equal rows may change places.
+    """
+    if has_shuffle(df):
+        content = [
+            F.to_json(f"`{f.name}`") if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+        df = df.sortWithinPartitions(F.xxhash64(*content), F.sha2(F.to_json(F.struct(*content)), 256))
+    return df.withColumn(alias, F.monotonically_increasing_id())
+
+
 def spread_slices(df: DataFrame, slice_rows: list[int], cap: int) -> DataFrame:
     """Bring each slice's rows together, a large slice over as many tasks as files.
 
@@ -54,16 +76,31 @@ def spread_slices(df: DataFrame, slice_rows: list[int], cap: int) -> DataFrame:
     """
     files = [max(1, math.ceil(rows / max(1, cap))) for rows in slice_rows]
     per_slice = F.get(F.array(*map(F.lit, files)), F.col(SLICE_COLUMN))
-    salt = F.pmod(F.monotonically_increasing_id(), per_slice)
+    numbered = steady_numbers(df, SALT_COLUMN)
     return (
-        df.withColumn(SALT_COLUMN, salt)
+        numbered.withColumn(SALT_COLUMN, F.pmod(SALT_COLUMN, per_slice))
         .repartition(sum(files), SLICE_COLUMN, SALT_COLUMN)
         .drop(SALT_COLUMN)
     )
 
 
-def fill_files(df: DataFrame, rows: int, cap: int, options: ExportOptions) -> DataFrame:
-    """Fewer and fuller files: scan partitions are merged without a shuffle, or
-    with ``even_files`` rows are dealt out evenly."""
-    wanted = max(1, math.ceil(rows / cap))
-    return df.repartition(wanted) if options.even_files else df.coalesce(wanted)
+def fill_files(
+    df: DataFrame, table: DataFrame | None, cap: int | None, options: ExportOptions
+) -> DataFrame:
+    """Fewer and fuller files, where the number of rows is cheap to know.
+
+    A whole table is counted from file footers, and its scan partitions are merged
+    without a shuffle. A filtered one is counted over the filter's columns, and
+    the few rows a selective filter leaves are shuffled together; merging its scan
+    partitions would leave the scan itself to few tasks. ``even_files`` deals the
+    rows out in any case. What a query gives is left as it comes.
+    """
+    if not cap or not (options.even_files or table is not None):
+        return df
+    wanted = max(1, math.ceil(df.count() / cap))
+    if options.even_files:
+        return df.repartition(wanted)
+    if df is table:
+        return df.coalesce(wanted)
+    sparse = wanted * SPARSE_FACTOR < df.rdd.getNumPartitions()
+    return df.repartition(wanted) if sparse else df

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tablelift.functions.names import path_safe_text
 from tablelift.operators.ordered import previous_by_key
 from tablelift.storage import Store
 
@@ -100,12 +101,16 @@ def illegal_moves(records: DataFrame) -> DataFrame:
 
 
 class Manifest:
-    """The log in one folder. Every append is a folder of its own, as appends may
-    run at the same time."""
+    """The log of one job, or with no job named, of all jobs in a folder.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    Every append is a folder of its own, as appends may run at the same time.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, job_id: str | None = None):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        if job_id is not None:
+            self.folder += f"/job-{path_safe_text(job_id)}"
 
     def records(self) -> DataFrame:
         if not Store(self.spark, self.folder).files(self.folder):

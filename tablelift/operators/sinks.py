@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -24,10 +25,15 @@ from tablelift.operators import zstd_text
 from tablelift.options import ExportOptions
 from tablelift.session import fresh_dir
 from tablelift.sources.readback import read_export
-from tablelift.storage import Store
+from tablelift.storage import Store, hadoop_uri
 
 # A file without rows holds no more than a schema or a header.
 EMPTY_FILE_BYTES = 64 * 1024
+# More files than this, on average below this part of the target, are merged, at
+# most so many by one task.
+MANY_FILES = 64
+SMALL_FILE_SHARE = 16
+MERGE_AT_MOST = 1_000
 NO_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
@@ -54,11 +60,11 @@ def export_frame(
     """
     options = options.checked()
     spark = df.sparkSession
+    target = hadoop_uri(target, options.azure_account)
     store = Store(spark, target)
     _refuse_existing(store, target, options)
     cap = rows_per_file(table, options)
-    if cap and (df is table or options.even_files):
-        df = fill_files(df, df.count(), cap, options)
+    df = fill_files(df, table, cap, options)
     with _Staging(store, target) as staging:
         if _is_zstd_text(options):
             rows = _stage_zstd(df, staging.data, options)
@@ -86,6 +92,7 @@ def export_slices(
     """
     options = options.checked()
     spark = df.sparkSession
+    target = hadoop_uri(target, options.azure_account)
     store = Store(spark, target)
     if len(slices) == 1 or _is_zstd_text(options) or not store.can_rename:
         done = []
@@ -273,8 +280,9 @@ def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> int:
     cloudpickle.register_pickle_by_value(zstd_text)
     lines, header = text_lines(df, options.format)
     attempts = folder + "-attempts"
+    store = Store(df.sparkSession, folder)
     plan = zstd_text.ZstdFiles(
-        folder=attempts,
+        folder=store.qualified(attempts),
         header=header,
         suffix="." + options.file_name(0).split(".", 1)[1],
         level=options.zstd_level,
@@ -282,7 +290,6 @@ def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> int:
         max_bytes=options.target_file_bytes,
     )
     written = lines.mapInArrow(zstd_text.batch_writer(plan), zstd_text.WRITTEN_SCHEMA).collect()
-    store = Store(df.sparkSession, folder)
     store.mkdirs(folder)
     pairs = [(f"{attempts}/{r.file_name}", f"{folder}/{r.file_name}") for r in written]
     store.rename_all(pairs, options.io_concurrency)
@@ -297,7 +304,8 @@ def _tidy(
     cap: int,
     schema: T.StructType,
 ) -> None:
-    """Drop the empty file of an empty first task, and split files above the target."""
+    """Make good what the write could not know: an empty file of an empty first task
+    goes, very many small files are merged, and files above the target are split."""
     sizes = store.files(folder)
     first = next(iter(sizes), None)
     if len(sizes) > 1 and sizes[first] <= EMPTY_FILE_BYTES:
@@ -305,44 +313,49 @@ def _tidy(
             store.delete(f"{folder}/{first}")
             del sizes[first]
     target = options.target_file_bytes
-    while target and cap > 1:
+    if not target:
+        return
+    total = sum(sizes.values())
+    if len(sizes) > MANY_FILES and total < len(sizes) * target / SMALL_FILE_SHARE:
+        parts = max(math.ceil(total / target), math.ceil(len(sizes) / MERGE_AT_MOST))
+        raw = _raw(spark, folder, list(sizes), options)
+        _put_again(store, folder, list(sizes), raw.coalesce(parts), options, cap)
+        sizes = store.files(folder)
+    while cap > 1:
         big = {n: s for n, s in sizes.items() if s > SIZE_TOLERANCE * target}
         if not big:
             return
-        cap = _split_files(spark, store, folder, big, options, cap)
+        raw = _raw(spark, folder, list(big), options)
+        per_row = sum(big.values()) / max(1, raw.count())
+        cap = min(cap - 1, rows_for_size(per_row, target))
+        _put_again(store, folder, list(big), raw, options, cap)
         sizes = store.files(folder)
 
 
-def _split_files(
-    spark: SparkSession,
-    store: Store,
-    folder: str,
-    big: dict[str, int],
-    options: ExportOptions,
-    cap: int,
-) -> int:
-    """Write the given files again with fewer rows each; only they are read, and text
-    is passed on as it stands. Returns the row limit used."""
-    paths = [f"{folder}/{n}" for n in big]
+def _raw(spark: SparkSession, folder: str, names: list[str], options: ExportOptions) -> DataFrame:
+    """Rows of staged files; text stays as it stands."""
+    paths = [f"{folder}/{n}" for n in names]
     if options.format == "parquet":
-        raw = spark.read.parquet(*paths)
-    elif options.format == "json":
-        raw = spark.read.text(paths)
-    else:
-        texts = spark.read.options(**read_options(options.format, 2), header=True, multiLine=True)
-        raw = texts.csv(paths)
-    rows = raw.count()
-    cap = min(cap - 1, rows_for_size(sum(big.values()) / max(1, rows), options.target_file_bytes))
+        return spark.read.parquet(*paths)
+    if options.format == "json":
+        return spark.read.text(paths)
+    texts = spark.read.options(**read_options(options.format, 2), header=True, multiLine=True)
+    return texts.csv(paths)
+
+
+def _put_again(
+    store: Store, folder: str, names: list[str], raw: DataFrame, options: ExportOptions, cap: int
+) -> None:
+    """Write rows of staged files again, in place of those files."""
     again = f"{folder}/_again-{uuid.uuid4().hex}"
     if options.format == "json":
         lines = raw.write.options(**NO_MARKER, maxRecordsPerFile=cap)
         lines.text(again, compression=options.compression)
     else:
         _writer(raw, options, cap, "overwrite").save(again)
-    for name in big:
+    for name in names:
         store.delete(f"{folder}/{name}")
-    prefix = min(big)[: len("part-00000")]
+    prefix = min(names)[: len("part-00000")]
     moves = [(f"{again}/{n}", f"{folder}/{prefix}-{n}") for n in store.files(again)]
     store.rename_all(moves, options.io_concurrency)
     store.delete(again)
-    return cap

@@ -37,8 +37,11 @@ class ZstdFiles:
 
 
 def filesystem_of(folder: str) -> tuple[pafs.FileSystem, str]:
-    uri = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
-    return pafs.FileSystem.from_uri(uri)
+    """Arrow's file system of a path with a scheme, and the path within it."""
+    scheme, _, path = folder.partition(":")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + path.lstrip("/")
+    return pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
 
 
 def batch_writer(

@@ -40,6 +40,8 @@ class ExportOptions:
     resume: bool = False
     # Slices of one table that share one scan; 1 gives every slice its own job.
     slices_per_pass: int = 32
+    # Names the storage account of az:// and abfs:// targets that do not.
+    azure_account: str | None = None
     # True numbers files part-00000 upwards, False leaves Spark's names. None: by file system.
     numbered_files: bool | None = None
     # Fill files by a shuffle instead of by merging scan partitions.

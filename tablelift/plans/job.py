@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from tablelift.operators.manifest import Manifest
+from tablelift.operators.manifest import KEY_FIELDS, Manifest
 from tablelift.operators.sinks import Published, export_frame, export_slices
 from tablelift.operators.slices import SLICE_COLUMN, Slice, single_slice
 from tablelift.options import ExportOptions
@@ -41,9 +42,11 @@ def run_job(
     options = options.checked()
     spark = source.spark
     job_id = job_id or uuid.uuid4().hex
+    job = _Job(source, options, slicer, job_id)
     with ThreadPoolExecutor(max_workers=options.table_concurrency) as pool:
-        done = pool.map(lambda t: _run_task(source, t, options, slicer, job_id), tasks.collect())
-        rows = [row for task_rows in done for row in task_rows]
+        planned = list(pool.map(job.plan, tasks.collect()))
+        job.look_up(planned)
+        rows = [row for done in pool.map(job.run, planned) for row in done]
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
@@ -76,57 +79,111 @@ def raise_on_failure(results: DataFrame) -> DataFrame:
     return results
 
 
-def _run_task(
-    source, task: Row, options: ExportOptions, slicer: Slicer | None, job_id: str
-) -> list[tuple]:
-    spark = source.spark
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", task.task_id)
-    try:
-        table, frame = _task_frames(source, task, options, job_id)
-        slices = slicer(task, frame) if slicer else single_slice()
-    except Exception as error:
-        return [_failure(task, None, error)]
-    manifest = Manifest(spark, options.manifest_dir) if options.manifest_dir else None
-    pending = {s.id: None for s in slices}
-    skipped: list[Slice] = []
-    if manifest:
-        keys = [_slice_key(task, s, job_id) for s in slices]
-        work = manifest.open_work(keys) if options.resume else [
-            {**k, "attempt": 1, "last_status": None} for k in keys
+@dataclass
+class _Planned:
+    """A task with its slices, or the reason it has none."""
+
+    task: Row
+    table: DataFrame | None = None
+    frame: DataFrame | None = None
+    slices: list[Slice] = field(default_factory=list)
+    error: Exception | None = None
+    # Manifest entry of each slice still to do.
+    open: dict[str, dict | None] = field(default_factory=dict)
+
+
+class _Job:
+    def __init__(self, source, options: ExportOptions, slicer: Slicer | None, job_id: str):
+        self.source = source
+        self.options = options
+        self.slicer = slicer
+        self.job_id = job_id
+        self.manifest = None
+        if options.manifest_dir:
+            self.manifest = Manifest(source.spark, options.manifest_dir, job_id)
+
+    def plan(self, task: Row) -> _Planned:
+        try:
+            table, frame = _task_frames(self.source, task, self.options, self.job_id)
+            slices = self.slicer(task, frame) if self.slicer else single_slice()
+            return _Planned(task, table, frame, slices)
+        except Exception as error:
+            return _Planned(task, error=error)
+
+    def look_up(self, planned: list[_Planned]) -> None:
+        """Find out what is left to do, for all tasks with one read of the manifest."""
+        for p in planned:
+            p.open = {s.id: None for s in p.slices}
+        if not self.manifest:
+            return
+        keys = [_slice_key(p.task, s, self.job_id) for p in planned for s in p.slices]
+        if self.options.resume and keys:
+            work = self.manifest.open_work(keys)
+        else:
+            work = [{**key, "attempt": 1, "last_status": None} for key in keys]
+        by_key = {_identity(item): item for item in work}
+        for p in planned:
+            items = {s.id: by_key.get(_identity(_slice_key(p.task, s, self.job_id))) for s in p.slices}
+            p.open = {slice_id: item for slice_id, item in items.items() if item}
+
+    def run(self, planned: _Planned) -> list[tuple]:
+        task = planned.task
+        if planned.error:
+            return [_failure(task, None, planned.error)]
+        todo = [s for s in planned.slices if s.id in planned.open]
+        width = self.options.slices_per_pass
+        passes = [todo[i : i + width] for i in range(0, len(todo), width)]
+        with ThreadPoolExecutor(max_workers=self.options.slice_concurrency) as pool:
+            done = pool.map(lambda part: self._run_pass(planned, part), passes)
+            rows = [row for part_rows in done for row in part_rows]
+        rows += [
+            (task.task_id, s.id, task.target_prefix, SKIPPED, 0, 0, 0, None)
+            for s in planned.slices
+            if s.id not in planned.open
         ]
-        pending = {item["partition_id"]: item for item in work}
-        skipped = [s for s in slices if s.id not in pending]
-    todo = [s for s in slices if s.id in pending]
-    width = options.slices_per_pass
-    passes = [todo[i : i + width] for i in range(0, len(todo), width)]
-
-    def run(part: list[Slice]) -> list[tuple]:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", task.task_id)
-        items = {s.id: pending[s.id] for s in part}
+        return rows
+
+    def _run_pass(self, planned: _Planned, part: list[Slice]) -> list[tuple]:
+        task, manifest = planned.task, self.manifest
+        self.source.spark.sparkContext.setLocalProperty("spark.scheduler.pool", task.task_id)
+        items = [planned.open[s.id] for s in part]
         try:
             if manifest:
-                manifest.start(list(items.values()))
-            done = _write(source, task, table, frame, part, options)
+                manifest.start(items)
+            done = self._write(planned, part)
             if manifest:
-                manifest.append(
-                    [row for out in done for row in _closing(manifest, items[out.slice_id], out)]
-                )
+                records = [
+                    manifest.finish(
+                        planned.open[out.slice_id],
+                        object_path=out.target,
+                        row_count=out.rows,
+                        bytes_compressed=out.bytes,
+                        bytes_uncompressed=out.bytes if self.options.compression == "none" else None,
+                    )
+                    for out in done
+                ]
+                manifest.append([row for pair in records for row in pair])
             return [
                 (task.task_id, o.slice_id, o.target, COMPLETED, o.rows, o.bytes, o.files, None)
                 for o in done
             ]
         except Exception as error:
             if manifest:
-                text = _message(error)
-                manifest.append([manifest.failed(item, text) for item in items.values()])
+                manifest.append([manifest.failed(item, _message(error)) for item in items])
             return [_failure(task, s.id, error) for s in part]
 
-    with ThreadPoolExecutor(max_workers=options.slice_concurrency) as pool:
-        rows = [row for part_rows in pool.map(run, passes) for row in part_rows]
-    rows += [
-        (task.task_id, s.id, task.target_prefix, SKIPPED, 0, 0, 0, None) for s in skipped
-    ]
-    return rows
+    def _write(self, planned: _Planned, part: list[Slice]) -> list[Published]:
+        task, options = planned.task, self.options
+        if len(part) == 1 and part[0].predicate is None:
+            out = export_frame(planned.frame, task.target_prefix, options, planned.table)
+            return [Published(part[0].id, out.target, out.rows, out.bytes, out.files)]
+        numbered = None
+        if task.kind == TABLE and hasattr(self.source, "sliced"):
+            rows = self.source.sliced(task.table_schema, task.table_name, part)
+            numbered = rows.withColumn(SLICE_COLUMN, F.spark_partition_id())
+        return export_slices(
+            planned.frame, part, task.target_prefix, options, planned.table, numbered
+        )
 
 
 def _task_frames(
@@ -152,24 +209,6 @@ def _pinned(
     return read_pinned(spark, pins, frame.schema)
 
 
-def _write(
-    source,
-    task: Row,
-    table: DataFrame | None,
-    frame: DataFrame,
-    part: list[Slice],
-    options: ExportOptions,
-) -> list[Published]:
-    if len(part) == 1 and part[0].predicate is None:
-        out = export_frame(frame, task.target_prefix, options, table)
-        return [Published(part[0].id, out.target, out.rows, out.bytes, out.files)]
-    numbered = None
-    if task.kind == TABLE and hasattr(source, "sliced"):
-        rows = source.sliced(task.table_schema, task.table_name, part)
-        numbered = rows.withColumn(SLICE_COLUMN, F.spark_partition_id())
-    return export_slices(frame, part, task.target_prefix, options, table, numbered)
-
-
 def _slice_key(task: Row, part: Slice, job_id: str) -> dict:
     return {
         "job_id": job_id,
@@ -182,10 +221,8 @@ def _slice_key(task: Row, part: Slice, job_id: str) -> dict:
     }
 
 
-def _closing(manifest: Manifest, item: dict, out: Published) -> list[dict]:
-    return manifest.finish(
-        item, object_path=out.target, row_count=out.rows, bytes_compressed=out.bytes
-    )
+def _identity(key: dict) -> tuple:
+    return tuple(key.get(name) for name in KEY_FIELDS)
 
 
 def _failure(task: Row, slice_id: str | None, error: Exception) -> tuple:

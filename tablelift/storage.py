@@ -44,6 +44,10 @@ class Store:
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
+    def qualified(self, path: str) -> str:
+        """The path with its scheme, for readers that know no default file system."""
+        return self._fs.makeQualified(self._path(path)).toString()
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 

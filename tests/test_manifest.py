@@ -70,9 +70,13 @@ def test_only_committed_work_is_skipped(spark, manifest, status):
         assert (work[0]["attempt"], work[0]["last_error"]) == (3, "lost")
 
 
-def test_other_jobs_do_not_count(manifest):
-    manifest.append([{**KEY, "status": "committed"}])
-    assert len(manifest.open_work([{**KEY, "job_id": "other"}])) == 1
+def test_other_jobs_do_not_count(spark, out):
+    one, other = Manifest(spark, out, "one"), Manifest(spark, out, "other")
+    one.append([{**KEY, "job_id": "one", "status": "committed"}])
+    assert len(other.open_work([{**KEY, "job_id": "other"}])) == 1
+    assert one.open_work([{**KEY, "job_id": "one"}]) == []
+    other.append([{**KEY, "job_id": "other", "status": "planned"}])
+    assert Manifest(spark, out).records().count() == 2
 
 
 def test_lifecycle_helpers_make_legal_moves(manifest):

@@ -134,6 +134,36 @@ def test_query_result_is_split_without_a_sample(spark, out):
     assert same_rows(read_export(spark, out, "parquet", df.schema), df)
 
 
+@pytest.mark.parametrize("fmt, codec", [("parquet", "snappy"), ("csv", "gzip"), ("json", "none")])
+def test_very_many_small_files_are_merged(spark, awkward, out, fmt, codec):
+    notes = F.get(F.array(*[F.lit(r.note) for r in awkward.collect()]), (F.col("id") % 20).cast("int"))
+    wide = spark.range(0, 5_000, numPartitions=70).withColumn("note", notes)
+    options = ExportOptions(target=out, format=fmt, compression=codec)
+    done = export_frame(wide, out, options)
+    assert (done.rows, done.files) == (5_000, 1)
+    assert same_rows(read_export(spark, out, fmt, wide.schema), wide)
+
+
+def test_rows_of_a_selective_filter_are_brought_together(spark, out):
+    source = out + "-source"
+    made = spark.range(0, 40_000, numPartitions=40).withColumn(
+        "x", F.sha2(F.col("id").cast("string"), 256)
+    )
+    made.write.parquet(source)
+    with_small_splits = {"spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in with_small_splits}
+    for k, v in with_small_splits.items():
+        spark.conf.set(k, v)
+    try:
+        table = spark.read.parquet(source)
+        goal = ExportOptions(target=out, target_file_bytes=1_000_000)
+        done = export_frame(table.where("id % 100 = 0"), out, goal, table)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert (done.rows, done.files) == (400, 1)
+
+
 def test_overwrite_replaces_and_append_adds(spark, out):
     many = ExportOptions(target=out, max_rows_per_file=10)
     export_frame(spark.range(100), out, many)
@@ -205,6 +235,14 @@ def test_a_slice_with_most_rows_is_spread(spark, out):
     assert done[0].files >= 8 and largest <= 1_000
 
 
+def test_slices_of_shuffled_rows_are_whole(spark, out):
+    df = spark.range(0, 6_000).select((F.col("id") % 40).alias("k"), F.lit("same").alias("t"))
+    shuffled = df.repartition(5, "k")
+    slices = predicate_slices(["k < 35", "k >= 35"])
+    export_slices(shuffled, slices, out, ExportOptions(target=out, max_rows_per_file=500))
+    assert same_rows(read_export(spark, out, "parquet", df.schema), df)
+
+
 def test_spark_file_names_can_be_kept(spark, out):
     export_frame(spark.range(3), out, ExportOptions(target=out, numbered_files=False))
     assert all("-c000" in n for n in os.listdir(out) if n.startswith("part"))
