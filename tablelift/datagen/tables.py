@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablelift.datagen.draws import Draws, anchor, zero_padded
+from tablelift.datagen.draws import Draws, anchor, scaled, zero_padded
 
 ROWS_PER_PARTITION = 1_000_000
 LEAST_ROWS_PER_PARTITION = 25_000
@@ -342,7 +342,6 @@ def transactions(ids: DataFrame, seed: int = 6) -> DataFrame:
             d.pick("channel", CHANNELS).alias("channel"), d.uuid("device").alias("device_id")
         )
     )
-    rate = d.between("rate", 800_000, 1_000_000).cast("decimal(18,0)") / 1_000_000
     return _table(
         ids,
         trans_id=row,
@@ -351,7 +350,7 @@ def transactions(ids: DataFrame, seed: int = 6) -> DataFrame:
         trans_type=d.pick("type", TRANSACTION_TYPES),
         amount=d.hundredths("amount", 1, 999_999, "decimal(18,4)"),
         currency=d.pick("currency", CURRENCIES),
-        exchange_rate=rate.cast("decimal(10,6)"),
+        exchange_rate=scaled(d.between("rate", 800_000, 1_000_000), 6, "decimal(10,6)"),
         amount_usd=d.hundredths("amount_usd", 1, 999_999, "decimal(18,4)"),
         trans_datetime=d.seconds_ago("trans_datetime", 2 * 365 * DAY),
         value_date=d.days_ago("value_date", 0, 729),
@@ -410,8 +409,8 @@ def measurements(ids: DataFrame, seed: int = 8) -> DataFrame:
     d = Draws(row, seed)
 
     def degrees(name: str, limit: int) -> Column:
-        steps = d.between(name, -limit * 100_000, limit * 100_000 - 1).cast("decimal(18,0)")
-        return (steps / 100_000).cast("decimal(9,6)")
+        steps = d.between(name, -limit * 100_000, limit * 100_000 - 1)
+        return scaled(steps, 5, "decimal(9,6)")
 
     return _table(
         ids,
