@@ -10,8 +10,13 @@ from tablelift.operators.layout import steady_numbers
 from tablelift.operators.manifest import COMMITTED, Manifest, latest
 from tablelift.operators.sinks import Published, export_frame
 from tablelift.options import ExportOptions
+from tablelift.session import fresh_dir
+from tablelift.storage import Store
 
 SALTS = 32
+# Missing keys are broadcast up to this many and this size on disk.
+BROADCAST_KEYS = 1_000_000
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def export_new_rows(
@@ -69,23 +74,29 @@ def late_rows(
     never exported.
 
     The missing keys come from one row per key on both sides, where a struct key
-    counts NULL parts as equal. Only the missing ones, few as a rule, are repeated
-    per salt to spread the rows of a key with very many.
+    counts NULL parts as equal. They are written down first, so that their size is
+    known: few, as there should be, are broadcast and the source is not shuffled.
+    Otherwise each is repeated per salt, which spreads the rows of a key with very
+    many.
     """
-    key = F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__key")
+    spark = source.sparkSession
+    names = [f"`{k}`" for k in keys]
+    key = F.struct(*[F.col(n) for n in names]).alias("__key")
     bound = F.lit(watermark).cast(source.schema[column].dataType)
     below = source.where((F.col(f"`{column}`") <= bound) | F.col(f"`{column}`").isNull())
     wanted = below.select(key).distinct()
     known = exported.select(key).distinct()
+    folder = fresh_dir(spark, "missing-keys")
+    wanted.join(known, "__key", "left_anti").write.parquet(folder)
+    missing = spark.read.parquet(folder)
+    columns = [f"`{c}`" for c in source.columns]
+    if missing.count() <= BROADCAST_KEYS and Store(spark, folder).usage(folder)[0] <= BROADCAST_BYTES:
+        return (
+            below.select("*", key).join(F.broadcast(missing), "__key", "left_semi").select(*columns)
+        )
     numbers = F.array(*[F.lit(i).cast("long") for i in range(salts)])
-    missing = wanted.join(known, "__key", "left_anti").select(
-        "__key", F.explode(numbers).alias("__salt")
-    )
+    spread = missing.select("__key", F.explode(numbers).alias("__salt"))
     salted = steady_numbers(below, "__salt").select(
-        *[f"`{c}`" for c in source.columns],
-        key,
-        F.pmod("__salt", F.lit(salts).cast("long")).alias("__salt"),
-    )
-    return salted.join(missing, ["__key", "__salt"], "left_semi").select(
-        *[f"`{c}`" for c in source.columns]
+        *columns, key, F.pmod("__salt", F.lit(salts).cast("long")).alias("__salt")
     )
+    return salted.join(spread, ["__key", "__salt"], "left_semi").select(*columns)

@@ -4,6 +4,7 @@ import pytest
 from conftest import same_rows
 from pyspark.sql import functions as F
 
+from tablelift.operators import incremental
 from tablelift.operators.incremental import committed_watermark, export_new_rows, late_rows
 from tablelift.operators.manifest import Manifest, illegal_moves
 from tablelift.options import ExportOptions
@@ -74,8 +75,11 @@ def test_failed_run_is_logged_and_raised(spark, out, manifest):
     assert run(df, out, manifest) == 1
 
 
-def test_late_rows_against_brute_force(spark):
+@pytest.mark.parametrize("few", [True, False])
+def test_late_rows_against_brute_force(spark, monkeypatch, few):
     """One missing key holds a third of the rows; keys and marks may be NULL."""
+    if not few:
+        monkeypatch.setattr(incremental, "BROADCAST_KEYS", 0)
     draw = random.Random(5)
     source = [
         (
