@@ -11,8 +11,9 @@ from tablelift.operators.slices import SLICE_COLUMN
 from tablelift.options import ExportOptions
 
 SAMPLE_ROWS = 4_000
-# No format writes this many times the bytes a scan reads.
-WIDEST_GROWTH = 20
+# Exports are hardly ever this many times larger than the scan they come from.
+GROWTH = {"parquet": 4}
+TEXT_GROWTH = 20
 SALT_COLUMN = "__salt"
 # Rows are shuffled together when they fill so many times fewer files than tasks.
 SPARSE_FACTOR = 4
@@ -22,10 +23,11 @@ SIZE_TOLERANCE = 1.25
 SIZE_MARGIN = 0.9
 
 
-def surely_fits(df: DataFrame, target_bytes: int) -> bool:
-    """True if the optimizer's size of ``df`` leaves no doubt that one file holds it."""
+def fits_one_file(df: DataFrame, options: ExportOptions) -> bool:
+    """True if by the optimizer's size of ``df`` one file should hold it."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) * WIDEST_GROWTH <= target_bytes
+    growth = GROWTH.get(options.format, TEXT_GROWTH)
+    return int(str(size)) * growth <= options.target_file_bytes
 
 
 def first_rows(table: DataFrame, rows: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablelift.functions.names import path_safe_text
 from tablelift.operators.ordered import previous_by_key
+from tablelift.session import small_frame
 from tablelift.storage import Store
 
 # Key fields in their order, states, and the moves between states.
@@ -114,7 +115,7 @@ class Manifest:
 
     def records(self) -> DataFrame:
         if not Store(self.spark, self.folder).files(self.folder):
-            empty = self.spark.createDataFrame([], RECORD_SCHEMA)
+            empty = small_frame(self.spark, [], RECORD_SCHEMA)
             return empty.withColumn("stable_id", stable_id())
         reader = self.spark.read.option("recursiveFileLookup", True)
         logged = reader.schema(RECORD_SCHEMA).parquet(self.folder)
@@ -124,7 +125,7 @@ class Manifest:
         """The given keys without the committed ones, with attempt and last state."""
         fields = KEY_TYPES.split(", ")
         rows = [tuple(key.get(f.split()[0]) for f in fields) for key in keys]
-        todo = self.spark.createDataFrame(rows, KEY_TYPES).withColumn("stable_id", stable_id())
+        todo = small_frame(self.spark, rows, KEY_TYPES).withColumn("stable_id", stable_id())
         return [row.asDict() for row in next_attempts(todo, self.records()).collect()]
 
     def start(self, work: list[dict]) -> None:
@@ -156,7 +157,6 @@ class Manifest:
     def append(self, rows: list[dict]) -> None:
         fields = [part.split()[0] for part in RECORD_SCHEMA.split(", ")]
         rows = [{**row, "seq": next(_ticks)} for row in rows]
-        frame = self.spark.createDataFrame(
-            [tuple(row.get(f) for f in fields) for row in rows], RECORD_SCHEMA
-        )
+        values = [tuple(row.get(f) for f in fields) for row in rows]
+        frame = small_frame(self.spark, values, RECORD_SCHEMA)
         frame.coalesce(1).write.parquet(f"{self.folder}/append-{uuid.uuid4().hex}")

@@ -14,9 +14,9 @@ from tablelift.operators.layout import (
     SIZE_TOLERANCE,
     fill_files,
     first_rows,
+    fits_one_file,
     rows_for_size,
     spread_slices,
-    surely_fits,
 )
 from tablelift.functions.names import slice_target
 from tablelift.operators.slices import SLICE_COLUMN, Slice, count_slices, with_slice_number
@@ -129,7 +129,7 @@ def rows_per_file(table: DataFrame | None, options: ExportOptions) -> int | None
     limits = [options.max_rows_per_file] if options.max_rows_per_file else []
     target = options.target_file_bytes
     sampled = table is not None and target and not _is_zstd_text(options)
-    if sampled and not surely_fits(table, target):
+    if sampled and not fits_one_file(table, options):
         sample = first_rows(table, SAMPLE_ROWS)
         rows = sample.count()
         few = rows // 4

@@ -14,6 +14,7 @@ from tablelift.operators.sinks import Published, export_frame, export_slices
 from tablelift.operators.slices import SLICE_COLUMN, Slice, single_slice
 from tablelift.options import ExportOptions
 from tablelift.plans.tasks import TABLE
+from tablelift.session import small_frame
 from tablelift.sources.tables import pin_files, read_pinned
 from tablelift.storage import Store
 
@@ -47,7 +48,7 @@ def run_job(
         planned = list(pool.map(job.plan, tasks.collect()))
         job.look_up(planned)
         rows = [row for done in pool.map(job.run, planned) for row in done]
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    return small_frame(spark, rows, RESULT_SCHEMA)
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ from tablelift.plans.tasks import (
     query_tasks,
     schema_tasks,
 )
-from tablelift.session import fresh_dir
+from tablelift.session import fresh_dir, small_frame
 from tablelift.sources.catalog import COLUMNS_SCHEMA, LakeSource, base_tables, match_tables
 from tablelift.sources.readback import read_export
 from tablelift.sources.tables import pin_files, read_pinned, scan
@@ -299,7 +299,7 @@ def schema_from_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("dbo", "lineitem", i, name, kind, nullable, precision, scale)
         for i, (name, kind, nullable, precision, scale) in enumerate(LINEITEM_DECLARED, start=1)
     ]
-    schema = schema_from_columns(spark.createDataFrame(rows, COLUMNS_SCHEMA))
+    schema = schema_from_columns(small_frame(spark, rows, COLUMNS_SCHEMA))
     return _numbers_as_double(exported(conform(lines, schema)))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablelift.functions.names import fill_template, path_safe, table_path, table_target
 from tablelift.options import ExportOptions
+from tablelift.session import small_frame
 from tablelift.sources.catalog import base_tables, match_tables, require_tables
 
 TABLE, QUERY = "table", "query"
@@ -55,7 +56,7 @@ def query_tasks(
         "kind string, table_catalog string, table_schema string, table_name string, "
         "query_name string, predicate string, sql string, partition_hint string"
     )
-    return source.spark.createDataFrame(rows, schema).select(
+    return small_frame(source.spark, rows, schema).select(
         F.concat(F.lit("query:"), path_safe(F.col("query_name"))).alias("task_id"),
         "kind",
         "table_catalog",

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tablelift.functions.names import glob_match
+from tablelift.session import small_frame
 from tablelift.storage import Store
 
 TABLES_SCHEMA = (
@@ -45,7 +46,7 @@ class LakeSource:
 
     def tables(self) -> DataFrame:
         rows = [(self.database, self.schema, name, "BASE TABLE") for name in self.names]
-        return self.spark.createDataFrame(rows, TABLES_SCHEMA)
+        return small_frame(self.spark, rows, TABLES_SCHEMA)
 
     def frame(self, schema: str, table: str) -> DataFrame:
         if schema.lower() != self.schema.lower() or table not in self.names:
@@ -79,7 +80,7 @@ class SparkSource:
             for table in self.spark.catalog.listTables(db.name)
             if table.tableType != "VIEW" and not table.isTemporary
         ]
-        return self.spark.createDataFrame(rows, TABLES_SCHEMA)
+        return small_frame(self.spark, rows, TABLES_SCHEMA)
 
     def frame(self, schema: str, table: str) -> DataFrame:
         return self.spark.table(f"`{schema}`.`{table}`")
@@ -109,7 +110,7 @@ def frame_columns(df: DataFrame, schema: str, table: str) -> DataFrame:
                 kind.scale if decimal else None,
             )
         )
-    return df.sparkSession.createDataFrame(rows, COLUMNS_SCHEMA).orderBy("ordinal_position")
+    return small_frame(df.sparkSession, rows, COLUMNS_SCHEMA).orderBy("ordinal_position")
 
 
 def base_tables(tables: DataFrame, schema: str | None = None) -> DataFrame:

@@ -6,6 +6,8 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablelift.session import small_frame
+
 
 def scan(df: DataFrame, columns: list[str] | None = None, predicate: str | None = None) -> DataFrame:
     """Chosen columns in the given order (none: all) of the rows the predicate keeps."""
@@ -21,7 +23,7 @@ def pin_files(df: DataFrame, pin_dir: str) -> DataFrame:
     is fixed when it is made; the stored list carries that over to another run.
     """
     files = [(unquote(path),) for path in df.inputFiles()]
-    pinned = df.sparkSession.createDataFrame(files, "path string")
+    pinned = small_frame(df.sparkSession, files, "path string")
     pinned.write.mode("errorifexists").parquet(pin_dir)
     return df.sparkSession.read.parquet(pin_dir)
 

@@ -7,6 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablelift.session import small_frame
+
 # Schemes where a rename is a metadata operation. Elsewhere it copies the bytes.
 RENAMING_SCHEMES = {"file", "hdfs", "viewfs", "abfs", "abfss"}
 
@@ -87,6 +89,6 @@ def file_stats(spark: SparkSession, path: str) -> DataFrame:
     The listing is Spark's own parallel one and no file is opened.
     """
     if not Store(spark, path).exists(path):
-        return spark.createDataFrame([], "path string, bytes long")
+        return small_frame(spark, [], "path string, bytes long")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.selectExpr("path", "length AS bytes")

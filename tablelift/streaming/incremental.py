@@ -23,7 +23,7 @@ def export_new_files(
 
     Each micro-batch owns the folder of its number, which a repeated batch
     replaces, so files are exported once even if a run dies. Returns the number
-    of rows read by this call.
+    of rows exported by this call.
     """
     arrivals = (
         spark.readStream.schema(schema)
@@ -31,9 +31,11 @@ def export_new_files(
         .parquet(folder)
     )
     replacing = replace(options, mode="overwrite")
+    rows: list[int] = []
 
     def publish(batch: DataFrame, number: int) -> None:
-        export_frame(batch, f"{target.rstrip('/')}/batch-{number:08d}", replacing)
+        done = export_frame(batch, f"{target.rstrip('/')}/batch-{number:08d}", replacing)
+        rows.append(done.rows)
 
     query = (
         arrivals.writeStream.foreachBatch(publish)
@@ -42,4 +44,4 @@ def export_new_files(
         .start()
     )
     query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    return sum(rows)

@@ -9,6 +9,7 @@ import pytest
 from conftest import same_rows
 from pyspark.sql import Row, functions as F
 
+from tablelift import storage
 from tablelift.operators.layout import SIZE_TOLERANCE
 from tablelift.operators.sinks import export_frame, export_slices, publish
 from tablelift.operators.slices import predicate_slices
@@ -268,3 +269,28 @@ def test_storage_targets(target, uri):
 def test_targets_without_a_bucket_are_refused(target):
     with pytest.raises(ValueError, match="bucket"):
         hadoop_uri(target)
+
+
+def test_plans_that_are_empty_before_they_run(spark, out):
+    empty = spark.range(10).where("false")
+    assert export_frame(empty, out, ExportOptions(target=out)).files == 0
+    slices = predicate_slices(["id < 5", "id >= 5"])
+    done = export_slices(empty, slices, out, ExportOptions(target=out))
+    assert [d.rows for d in done] == [0, 0]
+
+
+@pytest.mark.parametrize("fmt, codec", [("parquet", "snappy"), ("csv", "gzip"), ("json", "zstd")])
+def test_stores_that_cannot_rename_are_written_in_place(spark, out, monkeypatch, fmt, codec):
+    monkeypatch.setattr(storage, "RENAMING_SCHEMES", set())
+    options = ExportOptions(target=out, format=fmt, compression=codec, max_rows_per_file=40)
+    df = spark.range(0, 100, numPartitions=1)
+    for _ in range(2):
+        done = export_frame(df, out, options)
+        assert (done.rows, done.files) == (100, 3)
+    assert same_rows(read_export(spark, out, fmt, df.schema), df)
+    slices = predicate_slices(["id < 30", "id >= 30", "id < 0"])
+    parts = export_slices(df, slices, out + "-sliced", options)
+    assert [p.rows for p in parts] == [30, 70, 0]
+    assert same_rows(read_export(spark, out + "-sliced", fmt, df.schema), df)
+    assert export_frame(df.where("id < 0"), out, options).files == 0
+    assert file_stats(spark, out).count() == 0
