@@ -95,14 +95,16 @@ def fill_files(
     without a shuffle. A filtered one is counted over the filter's columns, and
     the few rows a selective filter leaves are shuffled together; merging its scan
     partitions would leave the scan itself to few tasks. ``even_files`` deals the
-    rows out in any case. What a query gives is left as it comes.
+    rows out in any case. What a query or a table without files gives is left as
+    it comes, as counting it would read it twice.
     """
-    if not cap or not (options.even_files or table is not None):
+    cheap = table is not None and len(table._jdf.inputFiles()) > 0
+    if not cap or not (options.even_files or cheap):
         return df
     wanted = max(1, math.ceil(df.count() / cap))
     if options.even_files:
         return df.repartition(wanted)
     if df is table:
         return df.coalesce(wanted)
-    sparse = wanted * SPARSE_FACTOR < df.rdd.getNumPartitions()
+    sparse = wanted * SPARSE_FACTOR < df._jdf.rdd().getNumPartitions()
     return df.repartition(wanted) if sparse else df
