@@ -10,8 +10,9 @@ from conftest import SMALL
 
 import __spark_entry__ as entry_point
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+ELSEWHERE = set(entry_point._llm_queries())
+QUERIES = {n: f for n, f in entry_point.queries().items() if n not in ELSEWHERE}
+ORACLES = {n: sql for n, sql in entry_point.oracle_sql().items() if n not in ELSEWHERE}
 
 
 @pytest.fixture(scope="module")
