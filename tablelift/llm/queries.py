@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablelift.llm.fingerprints import edited_fingerprints
 from tablelift.llm.packing import pack
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -27,7 +28,11 @@ def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-NAMED = (op5_harmonic_packing,)
+def op8_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+NAMED = (op5_harmonic_packing, op8_bottom_k_fingerprints)
 
 
 def queries() -> dict:
