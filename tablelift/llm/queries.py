@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablelift.llm.fingerprints import edited_fingerprints
+from tablelift.llm.near_duplicates import near_duplicates
+from tablelift.llm.oracles import ORACLES
 from tablelift.llm.packing import pack
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -20,6 +22,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
     return pieces.select(
@@ -32,7 +38,7 @@ def op8_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
-NAMED = (op5_harmonic_packing, op8_bottom_k_fingerprints)
+NAMED = (op2_minhash_near_duplicates, op5_harmonic_packing, op8_bottom_k_fingerprints)
 
 
 def queries() -> dict:
@@ -40,4 +46,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
