@@ -34,6 +34,45 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component
 FROM sized JOIN least_reached ON node = doc_id
 """
 
+LINE_DEDUP = r"""
+WITH split AS (
+    SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
+), line AS (
+    SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM split
+), worded AS (
+    SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM line
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), counted AS (
+    SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) - words AS ahead,
+        sum(words) OVER (PARTITION BY doc_id) AS whole
+    FROM worded
+), windows AS (
+    SELECT doc_id, pos, whole - ahead AS rest, max(pos) OVER w AS last, list(line) OVER w AS content
+    FROM counted
+    WINDOW w AS (PARTITION BY doc_id ORDER BY ahead RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), placed AS (
+    SELECT doc_id, pos, last,
+        first_value(doc_id) OVER f AS first_doc, first_value(last) OVER f AS first_last
+    FROM windows WHERE rest >= 50
+    WINDOW f AS (PARTITION BY content ORDER BY doc_id, pos)
+), gone AS (
+    SELECT doc_id, list(DISTINCT p) AS gone FROM (
+        SELECT doc_id, unnest(range(pos, last + 1)) AS p FROM placed
+        WHERE doc_id <> first_doc OR pos > first_last
+    ) GROUP BY doc_id
+), cleaned AS (
+    SELECT d.*, gone,
+        CASE WHEN gone IS NULL THEN d.text ELSE coalesce(array_to_string(
+            [l FOR l, i IN string_split(d.text, chr(10)) IF NOT list_contains(gone, i - 1)], chr(10)), '') END AS clean
+    FROM documents d LEFT JOIN gone g ON g.doc_id = d.doc_id
+)
+SELECT doc_id, clean AS text, lang, source,
+    CASE WHEN gone IS NULL THEN n_chars ELSE length(clean) END AS n_chars,
+    CAST(coalesce(len(gone), 0) AS BIGINT) AS n_lines_removed
+FROM cleaned
+"""
+
 ORACLES = {
     "op2_minhash_near_duplicates": NEAR_DUPLICATES,
+    "op9_line_dedup": LINE_DEDUP,
 }

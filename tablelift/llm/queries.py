@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablelift.llm.fingerprints import edited_fingerprints
+from tablelift.llm.line_dedup import line_dedup
 from tablelift.llm.near_duplicates import near_duplicates
 from tablelift.llm.oracles import ORACLES
 from tablelift.llm.packing import pack
@@ -38,7 +39,11 @@ def op8_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
-NAMED = (op2_minhash_near_duplicates, op5_harmonic_packing, op8_bottom_k_fingerprints)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
+NAMED = (op2_minhash_near_duplicates, op5_harmonic_packing, op8_bottom_k_fingerprints, op9_line_dedup)
 
 
 def queries() -> dict:
