@@ -72,7 +72,76 @@ SELECT doc_id, clean AS text, lang, source,
 FROM cleaned
 """
 
+# (rule, share of, per, cutoffs in percent from loose to strict).
+RULE_ROWS = """
+    ('symbols', [50, 30, 20, 10, 5, 2]), ('dup_lines', [80, 60, 50, 40, 30, 20]),
+    ('repeats', [90, 80, 70, 60, 50, 40, 30, 20]), ('capitals', [80, 60, 40, 30, 20]),
+    ('long_words', [3000, 2000, 1500, 1200, 1000])
+"""
+
+QUALITY_RULES = rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents
+), split AS (
+    SELECT doc_id, stratum, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+        [l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines
+    FROM texts
+), grams AS (
+    SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS gram
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM split)
+), again AS (
+    SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM grams) WHERE times > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id
+), measured AS (
+    SELECT s.doc_id, stratum, len(ws) AS n_words, list_sum([length(w) FOR w IN ws] || [0]) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals,
+        len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        coalesce(c.n, 0) AS n_repeat_words
+    FROM split s LEFT JOIN covered c ON c.doc_id = s.doc_id
+), shares AS (
+    SELECT doc_id, stratum, unnest([
+        {{'rule': 'symbols', 'part': n_symbols, 'per': word_chars}},
+        {{'rule': 'dup_lines', 'part': n_dup_lines, 'per': n_lines}},
+        {{'rule': 'repeats', 'part': n_repeat_words, 'per': n_words}},
+        {{'rule': 'capitals', 'part': n_capitals, 'per': word_chars}},
+        {{'rule': 'long_words', 'part': word_chars, 'per': n_words}}], recursive := true)
+    FROM measured
+), tests AS (
+    SELECT rule, unnest(cuts) AS cutoff, unnest(range(0, len(cuts))) AS place
+    FROM (VALUES {RULE_ROWS}) AS r(rule, cuts)
+), marks AS (
+    SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), counted AS (
+    SELECT stratum, t.rule, cutoff, place, count(*) FILTER (quality >= 1) AS trials,
+        count(*) FILTER (quality >= 1 AND 100 * part > cutoff * per) AS hits,
+        count(*) FILTER (quality < 1 AND 100 * part > cutoff * per) AS caught
+    FROM shares s JOIN marks USING (doc_id) JOIN tests t ON t.rule = s.rule GROUP BY ALL
+), tested AS (
+    SELECT *, CASE WHEN hits < trials * 0.01 THEN list_sum([
+        exp(lgamma(trials + 1) - lgamma(j + 1) - lgamma(trials - j + 1) + j * ln(0.01) + (trials - j) * ln(0.99))
+        FOR j IN range(0, hits + 1)]) ELSE 1 END
+        > 0.05 / (5 * (SELECT count(DISTINCT stratum) FROM counted)) AS fails
+    FROM counted
+), safe AS (
+    SELECT *, max(fails) OVER (PARTITION BY stratum, rule ORDER BY place) AS stopped FROM tested
+), best AS (
+    SELECT stratum, rule, min(cutoff) AS cutoff FROM safe
+    WHERE NOT stopped AND caught >= hits AND caught > 0 GROUP BY stratum, rule
+), over AS (
+    SELECT DISTINCT doc_id FROM shares s JOIN best b ON b.stratum = s.stratum AND b.rule = s.rule
+    WHERE 100 * part > cutoff * per
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols,
+    CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND doc_id NOT IN (SELECT doc_id FROM over) AS kept
+FROM measured
+"""
+
 ORACLES = {
     "op2_minhash_near_duplicates": NEAR_DUPLICATES,
+    "op3_quality_rules": QUALITY_RULES,
     "op9_line_dedup": LINE_DEDUP,
 }

@@ -9,6 +9,7 @@ from tablelift.llm.line_dedup import line_dedup
 from tablelift.llm.near_duplicates import near_duplicates
 from tablelift.llm.oracles import ORACLES
 from tablelift.llm.packing import pack
+from tablelift.llm.quality_rules import quality_rules
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
@@ -27,6 +28,10 @@ def op2_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
     return pieces.select(
@@ -43,7 +48,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
-NAMED = (op2_minhash_near_duplicates, op5_harmonic_packing, op8_bottom_k_fingerprints, op9_line_dedup)
+NAMED = (
+    op2_minhash_near_duplicates, op3_quality_rules, op5_harmonic_packing,
+    op8_bottom_k_fingerprints, op9_line_dedup,
+)
 
 
 def queries() -> dict:
