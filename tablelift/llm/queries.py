@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablelift.llm.fingerprints import edited_fingerprints
 from tablelift.llm.line_dedup import line_dedup
+from tablelift.llm.mixing import mix
 from tablelift.llm.near_duplicates import near_duplicates
 from tablelift.llm.oracles import ORACLES
 from tablelift.llm.packing import pack
@@ -24,6 +25,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"))
+
+
 def op2_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,7 +54,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMED = (
-    op2_minhash_near_duplicates, op3_quality_rules, op5_harmonic_packing,
+    op1_pfair_mixing, op2_minhash_near_duplicates, op3_quality_rules, op5_harmonic_packing,
     op8_bottom_k_fingerprints, op9_line_dedup,
 )
 
