@@ -11,6 +11,7 @@ from tablelift.llm.near_duplicates import near_duplicates
 from tablelift.llm.oracles import ORACLES
 from tablelift.llm.packing import pack
 from tablelift.llm.quality_rules import quality_rules
+from tablelift.llm.toxicity import toxicity
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
@@ -45,6 +46,10 @@ def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAMED = (
     op1_pfair_mixing, op2_minhash_near_duplicates, op3_quality_rules, op5_harmonic_packing,
+    op7_toxicity_chain,
     op8_bottom_k_fingerprints, op9_line_dedup,
 )
 

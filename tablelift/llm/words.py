@@ -16,7 +16,10 @@ SHINGLE = 5
 CHUNK_BYTES = 2 << 20
 
 _U = np.uint64
-_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+# The bytes of words, and of words of letters alone (all of a longer character counts as one).
+WORD_BYTES = ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LETTER_BYTES = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
+CAPITAL_BYTES = np.isin(np.arange(256), np.arange(65, 91))
 _LETTER = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _LETTER[65:91] = _LETTER[97:123]
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -62,10 +65,12 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int
         first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, number of words before each row and in all)."""
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, members: np.ndarray = WORD_BYTES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, number of words before each row and in all); ``members``: bytes of words."""
     inside = np.zeros(len(data) + 1, bool)
-    np.logical_not(_WHITE[data], out=inside[:-1])
+    inside[:-1] = members[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     starts = np.flatnonzero(inside[:-1] & (cut[:-1] | ~np.concatenate(([False], inside[:-2]))))
