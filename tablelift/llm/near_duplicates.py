@@ -4,8 +4,9 @@ Texts with equal shingle sets form one class, which a document stands for. Sketc
 classes are cut into bands; classes that share a band are candidates, and only pairs whose
 full shingle sets are alike enough are linked. A bucket of many candidates is not compared
 pair by pair: its members are first held against one of them, then only members that still
-lie in different components are held against each other, so large groups of copies cost
-their size, and no link between two components is missed.
+lie in different components, and have not too many shingles of their own for any link, are
+held against each other. So large groups of copies cost their size, and no link between
+two components is missed.
 """
 
 from __future__ import annotations
@@ -114,9 +115,51 @@ def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
-def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
-    """Sets of these sizes can be alike enough at all."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _may_link(n: Column, lone: Column, x_n: Column, x_lone: Column, percent: int) -> Column:
+    """Sets of these sizes, with so many elements that no other set has, can be alike enough."""
+    shared = F.least(n - lone, x_n - x_lone)
+    return (100 + percent) * shared >= percent * (n + x_n)
+
+
+def _unshared(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, lone: the number of a node's shingles that no other of ``nodes`` has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            packed = zip(batch["body"].to_pylist(), batch["size"].to_pylist())
+            texts = pa.array([codec.decompress(b, n, asbytes=True).decode() for b, n in packed], pa.large_string())
+            for first, sets in shingle_sets(texts):
+                ends = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+                hashes = np.concatenate(sets).astype(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["node"].slice(first, len(sets)), lists], names=["node", "shingles"]
+                )
+
+    sets = bodies.join(nodes, "node").select("node", "size", "body").mapInArrow(run, "node long, shingles array<long>")
+    single = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    owned = single.agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
+    return owned.groupBy("node").agg(F.count("*").alias("lone"))
+
+
+def _plausible(members: DataFrame, labels: DataFrame | None, bodies: DataFrame, percent: int) -> DataFrame:
+    """Members of buckets that hold several components, but those that can link with none.
+
+    A set's shingles that no other candidate has bound its resemblance to any of them. In
+    a group of edited copies most of those too far from each other go by this bound, at
+    the cost of counting their shingles and not of comparing them pair by pair.
+    """
+    now = _labelled(members, labels)
+    spread = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    now = written(members.join(spread.where("low <> high").select("key"), "key"), "open-buckets")
+    lone = _unshared(bodies, now.select("node").distinct())
+    counted = now.drop("lone").join(lone, "node", "left").fillna(0, ["lone"])
+    least = now.groupBy("key").agg(F.min("n").alias("least"))
+    shared = F.col("n") - F.col("lone")
+    partner = F.greatest(F.col("least"), shared)
+    able = 100 * shared >= percent * (F.col("n") + partner - shared)
+    return written(counted.join(least, "key").where(able).drop("least"), "open-buckets")
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -151,7 +194,7 @@ def near_duplicates(
     chosen = whole.drop("n_shingles").join(classes, ["c1", "c2"]).where("doc_id = node").dropDuplicates(["c1", "c2"])
     banded = chosen.select("node", "n", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    members = written(banded.join(shared, "key"), "buckets")
+    members = written(banded.join(shared, "key").withColumn("lone", F.lit(0).cast("long")), "buckets")
 
     nodes = members.select("node").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
@@ -160,21 +203,26 @@ def near_duplicates(
 
     links, labels = None, None
     for hub_round in range(hub_rounds + 1):
+        if hub_round:
+            members = _plausible(members, labels, bodies, percent)
         now = _labelled(members, labels)
         spread = now.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"),
             F.min_by("node", F.xxhash64("node", F.lit(hub_round)) if hub_round else F.col("node")).alias("hub"),
         ).where("low <> high")
         hubs = spread.join(now.select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"),
+                                      F.col("lone").alias("hub_lone"),
                                       F.col("component").alias("hub_component")), ["key", "hub"])
         if hub_round < hub_rounds:
             sides = hubs.select("key", F.col("hub").alias("x"), F.col("hub_n").alias("x_n"),
-                                F.col("hub_component").alias("x_component"))
+                                F.col("hub_lone").alias("x_lone"), F.col("hub_component").alias("x_component"))
         else:  # every member outside the hub's component against all of the bucket
             sides = now.join(hubs.select("key", "hub_component"), "key").where("component <> hub_component")
             sides = sides.select("key", F.col("node").alias("x"), F.col("n").alias("x_n"),
-                                 F.col("component").alias("x_component"))
-        apart = (F.col("component") != F.col("x_component")) & _sizes_allow(F.col("n"), F.col("x_n"), percent)
+                                 F.col("lone").alias("x_lone"), F.col("component").alias("x_component"))
+        apart = (F.col("component") != F.col("x_component")) & _may_link(
+            F.col("n"), F.col("lone"), F.col("x_n"), F.col("x_lone"), percent
+        )
         found = now.join(sides, "key").where(apart)
         pairs = found.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
         new = written(verified(pairs, bodies, percent), "links")
