@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablelift.llm.fingerprints import edited_fingerprints
+from tablelift.llm.language import language
 from tablelift.llm.line_dedup import line_dedup
 from tablelift.llm.mixing import mix
 from tablelift.llm.near_duplicates import near_duplicates
@@ -46,6 +47,17 @@ def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def id_part(parts: int) -> Column:
+    """The part that crc32 of doc_id, as text, puts a document in."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def op6_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language(table(spark, sf_dir, "documents"), id_part(4) != 2)
+    held_out = F.coalesce(id_part(4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "n_words")
+
+
 def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,7 +72,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAMED = (
     op1_pfair_mixing, op2_minhash_near_duplicates, op3_quality_rules, op5_harmonic_packing,
-    op7_toxicity_chain,
+    op6_language_crf, op7_toxicity_chain,
     op8_bottom_k_fingerprints, op9_line_dedup,
 )
 
