@@ -11,6 +11,7 @@ from tablelift.llm.mixing import mix
 from tablelift.llm.near_duplicates import near_duplicates
 from tablelift.llm.oracles import ORACLES
 from tablelift.llm.packing import pack
+from tablelift.llm.quality_model import quality_model
 from tablelift.llm.quality_rules import quality_rules
 from tablelift.llm.toxicity import toxicity
 
@@ -39,6 +40,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_model(table(spark, sf_dir, "documents"), trusted)
+
+
 def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY))
     return pieces.select(
@@ -71,7 +77,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMED = (
-    op1_pfair_mixing, op2_minhash_near_duplicates, op3_quality_rules, op5_harmonic_packing,
+    op1_pfair_mixing, op2_minhash_near_duplicates, op3_quality_rules,
+    op4_kneser_ney_quality, op5_harmonic_packing,
     op6_language_crf, op7_toxicity_chain,
     op8_bottom_k_fingerprints, op9_line_dedup,
 )
