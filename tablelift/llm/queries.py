@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tablelift.llm.fingerprints import edited_fingerprints
 from tablelift.llm.language import language
 from tablelift.llm.line_dedup import line_dedup
+from tablelift.llm.lm_scoring import lm_scores
 from tablelift.llm.mixing import mix
 from tablelift.llm.near_duplicates import near_duplicates
 from tablelift.llm.oracles import ORACLES
@@ -16,6 +17,7 @@ from tablelift.llm.quality_rules import quality_rules
 from tablelift.llm.toxicity import toxicity
 
 WORD_VOCABULARY = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,11 +78,15 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), id_part(5) == 1, vocabulary(PIECE_VOCABULARY))
+
+
 NAMED = (
     op1_pfair_mixing, op2_minhash_near_duplicates, op3_quality_rules,
     op4_kneser_ney_quality, op5_harmonic_packing,
     op6_language_crf, op7_toxicity_chain,
-    op8_bottom_k_fingerprints, op9_line_dedup,
+    op8_bottom_k_fingerprints, op9_line_dedup, op10_lattice_scores,
 )
 
 
