@@ -122,6 +122,37 @@ def ranked(docs: DataFrame, size: Column, block_size: int, bucket_rows: int, kee
     return placed, sums.groupBy("__source").agg(F.sum("total").alias("size"))
 
 
+def _slotted(
+    docs: DataFrame, weights: dict[str, float] | None, block_chars: int, temperature: float, period: int, bucket_rows: int
+) -> DataFrame:
+    """All rows and columns of ``docs`` with __block, __slot and __start."""
+    placed, sizes = ranked(docs, F.col("n_chars"), block_chars, bucket_rows, docs.columns)
+    found = {r["__source"]: r["size"] for r in sizes.limit(period + 1).collect()}
+    if weights is None:
+        weights = {s: size**temperature for s, size in found.items()}
+    missing = set(found) - set(weights)
+    if missing:
+        raise ValueError(f"no weight for sources {sorted(missing)}")
+    table = phases({s: -(-size // block_chars) for s, size in found.items()}, weights, period)
+    names = [f"__{n}" for n in ("from", "first", "stop", "clock", "slots", "rank", "place")]
+    plan = small_frame(docs.sparkSession, table, ", ".join(f"{n} {'long' if i else 'string'}" for i, n in enumerate(names)))
+    # Both are of the sources' number and the period alone: a row of a phase for each source
+    # that has blocks in it, and one for each slot of the phase's period.
+    spans = F.broadcast(plan.where("__rank = 0").drop("__rank", "__place"))
+    places = F.broadcast(plan.select(*(F.col(n).alias(f"{n}_") for n in ("__from", "__clock", "__rank", "__place"))))
+    in_phase = placed.join(
+        spans, (F.col("__source") == F.col("__from")) & (F.col("__block") >= F.col("__first")) & (F.col("__block") < F.col("__stop"))
+    )
+    local = F.col("__block") - F.col("__first")
+    in_phase = in_phase.withColumn("__rank", local % F.col("__slots")).withColumn("__cycle", F.floor(local / F.col("__slots")))
+    out = in_phase.join(
+        places,
+        (F.col("__source") == F.col("__from_")) & (F.col("__clock") == F.col("__clock_")) & (F.col("__rank") == F.col("__rank_")),
+    )
+    slot = (F.col("__clock") + F.col("__cycle") * period + F.col("__place_")).cast("long")
+    return out.select(*docs.columns, "__block", slot.alias("__slot"), "__start")
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -143,38 +174,15 @@ def mix(
     empty result. A source without a weight is refused.
     """
     added = ("source_block", "slot", "position")
-    keep = [c for c in docs.columns if c not in added]
-    placed, sizes = ranked(docs, F.col("n_chars"), block_chars, bucket_rows, keep)
-    found = {r["__source"]: r["size"] for r in sizes.limit(period + 1).collect()}
-    if weights is None:
-        weights = {s: size**temperature for s, size in found.items()}
-    missing = set(found) - set(weights)
-    if missing:
-        raise ValueError(f"no weight for sources {sorted(missing)}")
-    table = phases({s: -(-size // block_chars) for s, size in found.items()}, weights, period)
-    schema = "__source string, first long, stop long, clock long, slots long, rank long, place long"
-    plan = small_frame(docs.sparkSession, table, schema)
-    # One row of a phase for each source that has blocks in it, to find a block's phase.
-    spans = F.broadcast(plan.where("rank = 0").select("__source", "first", "stop", "clock", "slots"))
-    in_phase = placed.join(
-        spans, (placed["__source"] == spans["__source"]) & F.col("__block").between(F.col("first"), F.col("stop") - 1)
-    ).drop(spans["__source"])
-    local = F.col("__block") - F.col("first")
-    in_phase = in_phase.withColumn("rank", local % F.col("slots")).withColumn("cycle", F.floor(local / F.col("slots")))
-    places = F.broadcast(plan.select(
-        F.col("__source").alias("p_source"), F.col("clock").alias("p_clock"), F.col("rank").alias("p_rank"), "place"
-    ))
-    out = in_phase.join(
-        places,
-        (F.col("__source") == F.col("p_source")) & (F.col("clock") == F.col("p_clock")) & (F.col("rank") == F.col("p_rank")),
-    )
-    slot = (F.col("clock") + F.col("cycle") * period + F.col("place")).cast("long")
-    return out.select(
-        *keep, F.col("__block").alias("source_block"), slot.alias("slot"), F.col("__start").alias("position")
-    )
+    docs = docs.drop(*added)
+    out = _slotted(docs, weights, block_chars, temperature, period, bucket_rows)
+    return out.withColumnsRenamed(dict(zip(("__block", "__slot", "__start"), added)))
 
 
-def in_mix_order(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` sorted by the mix, with the columns they had."""
-    mixed = mix(docs.select("*", F.lit(0).alias("position")), **options)
-    return mixed.orderBy("slot", "position").select(*docs.columns)
+def in_mix_order(
+    docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS,
+    temperature: float = TEMPERATURE, period: int = PERIOD, bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """The rows of ``docs`` sorted as ``mix`` orders them, with the columns they had."""
+    out = _slotted(docs, weights, block_chars, temperature, period, bucket_rows)
+    return out.orderBy("__slot", "__start").select(*docs.columns)

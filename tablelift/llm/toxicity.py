@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tablelift.llm.words import (
     CAPITAL_BYTES, LETTER_BYTES, WORD_BYTES, distinct, text_chunks, word_hashes, word_spans,
@@ -204,36 +204,52 @@ def fit_toxicity(
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
 
 
-def toxicity(
+def _with_odds(rows: DataFrame, chain: list[Link], names: list[str]) -> DataFrame:
+    """``rows``, whose last column is the text, with the chain's probabilities and verdict."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, words, shares in text_features(batch.column(batch.num_columns - 1)):
+                odds = np.zeros((len(words), 0))
+                for link in chain:
+                    odds = np.hstack([odds, link.odds(words, shares, odds)[:, None]])
+                toxic = odds[:, -1] > chain[-1].threshold
+                part = batch.slice(first, len(words))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *(pa.array(1 / (1 + np.exp(-c))) for c in odds.T), pa.array(toxic)],
+                    names=[*part.schema.names, *names, "toxic"],
+                )
+
+    schema = T.StructType(list(rows.schema.fields))
+    for name in names:
+        schema = schema.add(name, "double")
+    return rows.mapInArrow(run, schema.add("toxic", "boolean"))
+
+
+def toxicity_of(
     docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGORIES, sample_rows: int = SAMPLE_ROWS
 ) -> DataFrame:
-    """doc_id, p_<category> for each category, toxic, kept: one row for each row of ``docs``.
+    """All rows and columns of ``docs`` with p_<category> for each category, and toxic.
 
     ``toxic`` tells whether the last category's odds are above the threshold that did best
-    on out-of-fold odds; ``kept`` is its opposite.
+    on out-of-fold odds. Columns of ``docs`` with those names are replaced.
 
     A null text counts as an empty one; it gets probabilities from its (lacking) words like
     any other. Without labels of both classes nothing is toxic. Rows with equal or null ids
-    are scored each by its text; an empty table gives an empty result; other columns are
-    ignored.
+    are scored each by its text, and an empty table gives an empty result.
     """
     chain = fit_toxicity(docs, labels, categories, sample_rows)
     names = [f"p_{c}" for c in categories]
+    keep = [c for c in docs.columns if c not in (*names, "toxic")]
+    rows = docs.select(*keep, F.col("text").cast("string").alias("__text"))
+    return _with_odds(rows, chain, names).drop("__text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, words, shares in text_features(batch.column(1)):
-                odds = np.zeros((len(words), 0))
-                for link in chain:
-                    odds = np.hstack([odds, link.odds(words, shares, odds)[:, None]])
-                toxic = odds[:, -1] > chain[-1].threshold
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(words)),
-                     *(pa.array(1 / (1 + np.exp(-column))) for column in odds.T),
-                     pa.array(toxic), pa.array(~toxic)],
-                    names=["doc_id", *names, "toxic", "kept"],
-                )
 
-    schema = "doc_id long, " + "".join(f"{n} double, " for n in names) + "toxic boolean, kept boolean"
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(run, schema)
+def toxicity(
+    docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGORIES, sample_rows: int = SAMPLE_ROWS
+) -> DataFrame:
+    """doc_id, p_<category> for each category, toxic, kept: ``toxicity_of`` without texts."""
+    chain = fit_toxicity(docs, labels, categories, sample_rows)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("__text"))
+    found = _with_odds(rows, chain, [f"p_{c}" for c in categories]).drop("__text")
+    return found.withColumn("kept", ~F.col("toxic"))
