@@ -213,16 +213,22 @@ def near_duplicates(
         hubs = spread.join(now.select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"),
                                       F.col("lone").alias("hub_lone"),
                                       F.col("component").alias("hub_component")), ["key", "hub"])
+        apart = (F.col("component") != F.col("x_component")) & _may_link(
+            F.col("n"), F.col("lone"), F.col("x_n"), F.col("x_lone"), percent
+        )
         if hub_round < hub_rounds:
             sides = hubs.select("key", F.col("hub").alias("x"), F.col("hub_n").alias("x_n"),
                                 F.col("hub_lone").alias("x_lone"), F.col("hub_component").alias("x_component"))
-        else:  # every member outside the hub's component against all of the bucket
+        else:
+            # Every member outside the hub's component against all of the bucket; two that
+            # share several buckets, or are both outside, meet once.
+            keys = members.groupBy("node").agg(F.collect_set("key").alias("keys"))
+            now = now.join(keys, "node")
             sides = now.join(hubs.select("key", "hub_component"), "key").where("component <> hub_component")
-            sides = sides.select("key", F.col("node").alias("x"), F.col("n").alias("x_n"),
-                                 F.col("lone").alias("x_lone"), F.col("component").alias("x_component"))
-        apart = (F.col("component") != F.col("x_component")) & _may_link(
-            F.col("n"), F.col("lone"), F.col("x_n"), F.col("x_lone"), percent
-        )
+            sides = sides.select("key", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("lone").alias("x_lone"),
+                                 F.col("component").alias("x_component"), F.col("keys").alias("x_keys"), "hub_component")
+            apart = apart & ((F.col("component") == F.col("hub_component")) | (F.col("node") > F.col("x")))
+            apart = apart & (F.array_min(F.array_intersect("keys", "x_keys")) == F.col("key"))
         found = now.join(sides, "key").where(apart)
         pairs = found.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
         new = written(verified(pairs, bodies, percent), "links")
