@@ -42,6 +42,14 @@ def table_target(template: str, database: Column, schema: Column, table: Column)
     )
 
 
+def file_template(target: str) -> tuple[str, str | None]:
+    """(folder, file name) of a target that ends in a file name with ``{file_index}``."""
+    folder, _, name = target.rpartition("/")
+    if folder and "{file_index}" in name:
+        return folder, name
+    return target, None
+
+
 def slice_target(template: str, slice_id: str) -> str:
     """Folder of one slice: where the template puts it, else a subfolder."""
     safe = path_safe_text(slice_id)
@@ -50,6 +58,11 @@ def slice_target(template: str, slice_id: str) -> str:
     return f"{template.rstrip('/')}/{safe}"
 
 
+def single_target(template: str, slice_id: str = "single") -> str:
+    """Folder of a task that is exported whole."""
+    return template.replace("{partition}", path_safe_text(slice_id))
+
+
 def glob_regex(pattern: str) -> str:
     """Anchored regular expression of a glob with ``* ? [..] [!..] {a,b}`` and ``\\``.
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -18,7 +19,7 @@ from tablelift.operators.layout import (
     rows_for_size,
     spread_slices,
 )
-from tablelift.functions.names import slice_target
+from tablelift.functions.names import file_template, slice_target
 from tablelift.operators.slices import SLICE_COLUMN, Slice, count_slices, with_slice_number
 from tablelift.operators.textform import read_options, text_lines, text_options, to_text
 from tablelift.operators import zstd_text
@@ -27,8 +28,6 @@ from tablelift.session import fresh_dir
 from tablelift.sources.readback import read_export
 from tablelift.storage import Store, hadoop_uri
 
-# A file without rows holds no more than a schema or a header.
-EMPTY_FILE_BYTES = 64 * 1024
 # More files than this, on average below this part of the target, are merged, at
 # most so many by one task.
 MANY_FILES = 64
@@ -60,6 +59,7 @@ def export_frame(
     """
     options = options.checked()
     spark = df.sparkSession
+    target, options = _named(target, options)
     target = hadoop_uri(target, options.azure_account)
     store = Store(spark, target)
     _refuse_existing(store, target, options)
@@ -70,8 +70,9 @@ def export_frame(
         if _is_zstd_text(options):
             rows = _stage_zstd(df, staging.data, options)
         elif not store.can_rename:
+            before = store.files(target) if options.mode == "append" else None
             rows = _stage(df, target, options, cap, [None])[0]
-            return _written_in_place(store, "single", target, rows)
+            return _written_in_place(store, "single", target, rows, before)
         else:
             rows = _stage(df, staging.data, options, cap, [None])[0]
             _tidy(spark, store, staging.data, options, cap or rows, df.schema)
@@ -93,6 +94,7 @@ def export_slices(
     """
     options = options.checked()
     spark = df.sparkSession
+    target, options = _named(target, options)
     target = hadoop_uri(target, options.azure_account)
     store = Store(spark, target)
     if len(slices) == 1 or _is_zstd_text(options) or not store.can_rename:
@@ -120,6 +122,12 @@ def export_slices(
     return done
 
 
+def _named(target: str, options: ExportOptions) -> tuple[str, ExportOptions]:
+    """The target's folder, and the options with the file name the target ends in."""
+    folder, name = file_template(target)
+    return folder, replace(options, name_template=name) if name else options
+
+
 def rows_per_file(table: DataFrame | None, options: ExportOptions) -> int | None:
     """Row limit of a file: the given one, or what the size target allows.
 
@@ -159,7 +167,7 @@ def publish(
     """
     names = list(store.files(staged))
     append = options.mode == "append"
-    start = len(store.files(target)) if append else 0
+    start = _next_index(store.files(target), options) if append else 0
     if options.numbered_files is not False:
         final = [options.file_name(start + i) for i in range(len(names))]
         pairs = [(f"{staged}/{a}", f"{staged}/{b}") for a, b in zip(names, final)]
@@ -173,12 +181,27 @@ def publish(
     if append:
         store.mkdirs(target)
         pairs = [(f"{staged}/{n}", f"{target.rstrip('/')}/{n}") for n in names]
-        store.rename_all(pairs, options.io_concurrency)
+        try:
+            store.rename_all(pairs, options.io_concurrency)
+        except Exception:
+            # Nothing of a failed append stays; names it did not bring in are others'.
+            left = store.files(staged)
+            for name in names:
+                if name not in left:
+                    store.delete(f"{target.rstrip('/')}/{name}")
+            raise
     else:
         _swap(store, staged, target.rstrip("/"))
     return Published(slice_id, target, rows, size, count)
 
 
+def _next_index(files: dict[str, int], options: ExportOptions) -> int:
+    """The number after the highest of the numbered files."""
+    pattern = re.escape(options.file_name(0)).replace("00000", r"(\d+)", 1)
+    found = [int(m[1]) for m in (re.fullmatch(pattern, name) for name in files) if m]
+    return max(found, default=-1) + 1
+
+
 def _swap(store: Store, staged: str, target: str) -> None:
     parent = target.rsplit("/", 1)[0]
     store.mkdirs(parent)
@@ -221,12 +244,19 @@ def _is_zstd_text(options: ExportOptions) -> bool:
     return options.format != "parquet" and options.compression == "zstd"
 
 
-def _written_in_place(store: Store, slice_id: str, target: str, rows: int) -> Published:
+def _written_in_place(
+    store: Store, slice_id: str, target: str, rows: int, before: dict[str, int] | None = None
+) -> Published:
+    """What a write below the target itself put out; ``before`` has the files of an append."""
     if not rows:
-        store.delete(target)
+        if before is None:
+            store.delete(target)
+        else:
+            for name in store.files(target).keys() - before.keys():
+                store.delete(f"{target.rstrip('/')}/{name}")
         return Published(slice_id, target, 0, 0, 0)
-    size, count = store.usage(target)
-    return Published(slice_id, target, rows, size, count)
+    new = {n: size for n, size in store.files(target).items() if n not in (before or {})}
+    return Published(slice_id, target, rows, sum(new.values()), len(new))
 
 
 def _stage(
@@ -309,7 +339,7 @@ def _tidy(
     goes, very many small files are merged, and files above the target are split."""
     sizes = store.files(folder)
     first = next(iter(sizes), None)
-    if len(sizes) > 1 and sizes[first] <= EMPTY_FILE_BYTES:
+    if len(sizes) > 1 and sizes[first] == min(sizes.values()):
         if read_export(spark, f"{folder}/{first}", options.format, schema).isEmpty():
             store.delete(f"{folder}/{first}")
             del sizes[first]
@@ -317,7 +347,8 @@ def _tidy(
     if not target:
         return
     total = sum(sizes.values())
-    if len(sizes) > MANY_FILES and total < len(sizes) * target / SMALL_FILE_SHARE:
+    by_rows = options.max_rows_per_file is not None
+    if not by_rows and len(sizes) > MANY_FILES and total < len(sizes) * target / SMALL_FILE_SHARE:
         parts = max(math.ceil(total / target), math.ceil(len(sizes) / MERGE_AT_MOST))
         raw = _raw(spark, folder, list(sizes), options)
         _put_again(store, folder, list(sizes), raw.coalesce(parts), options, cap)

@@ -49,9 +49,21 @@ class ExportOptions:
     row_group_bytes: int = ROW_GROUP_BYTES
     dictionary: bool = True
     zstd_level: int = 3
+    # A size and a row limit given together both hold; otherwise the size wins.
+    both_limits: bool = False
+    # Column that a high_watermark export follows.
+    watermark_column: str | None = None
+    # Rows that no slice or several slices keep fail a sliced task, unless this is set.
+    allow_uncovered: bool = False
+    # Conflicts are settled once: a default filled in is not taken for a wish later.
+    settled: bool = False
+    # Name of a file, with {file_index} for its number; by default part-NNNNN and the format.
+    name_template: str | None = None
 
     def checked(self) -> ExportOptions:
         """The same options with invalid ones refused and conflicts settled."""
+        if self.settled:
+            return self
         if not self.target.strip():
             raise ValueError("target is required")
         for value, allowed, what in (
@@ -69,23 +81,30 @@ class ExportOptions:
             raise ValueError(f"memory_limit_mb must be at least {MIN_MEMORY_MB}")
         if self.resume and not self.manifest_dir:
             raise ValueError("resume needs a manifest_dir")
-        size, rows = settle_file_limits(self.target_file_bytes, self.max_rows_per_file)
+        size, rows = settle_file_limits(
+            self.target_file_bytes, self.max_rows_per_file, self.both_limits
+        )
         return replace(
             self,
             compression=settle_codec(self.format, self.compression),
             target_file_bytes=size,
             max_rows_per_file=rows,
+            settled=True,
         )
 
     def file_name(self, index: int) -> str:
+        if self.name_template:
+            return self.name_template.replace("{file_index}", f"{index:05d}")
         suffix = "" if self.format == "parquet" else CODEC_EXTENSIONS[self.compression]
         return f"part-{index:05d}.{FILE_EXTENSIONS[self.format]}{suffix}"
 
 
-def settle_file_limits(size: int | None, rows: int | None) -> tuple[int | None, int | None]:
-    """(size, rows): a given size wins over given rows, and a size over the
-    maximum falls back to the default. A row limit alone keeps the default size."""
-    if size is not None and rows is not None:
+def settle_file_limits(
+    size: int | None, rows: int | None, both: bool = False
+) -> tuple[int | None, int | None]:
+    """(size, rows): a given size wins over given rows unless ``both`` hold, and a size over
+    the maximum falls back to the default. A row limit alone keeps the default size."""
+    if size is not None and rows is not None and not both:
         log.warning("both a file size and a row limit given, the row limit is ignored")
         rows = None
     if rows is not None and rows < 1:

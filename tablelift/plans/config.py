@@ -6,9 +6,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from decimal import Decimal
 
-from tablelift.operators.slices import template_slices
+from pyspark.sql import DataFrame, types as T
+
+from tablelift.operators.slices import predicate_slices, range_slices, template_slices
 from tablelift.options import ExportOptions
 from tablelift.plans.job import run_job
 from tablelift.plans.tasks import database_tasks, one_table_tasks, query_tasks, schema_tasks
@@ -27,6 +30,7 @@ OPTION_NAMES = {
     "global_io_concurrency": "io_concurrency",
     "checkpoint_dir": "manifest_dir",
     "resume": "resume",
+    "watermark_column": "watermark_column",
 }
 
 
@@ -37,7 +41,7 @@ def options_of(config: dict) -> ExportOptions:
         for name, option in OPTION_NAMES.items()
         if config.get(name) is not None
     }
-    return ExportOptions(**{"target": "", **given}).checked()
+    return ExportOptions(**{"target": "", "both_limits": True, **given}).checked()
 
 
 def tasks_of(source, config: dict) -> DataFrame:
@@ -47,6 +51,10 @@ def tasks_of(source, config: dict) -> DataFrame:
     kind = scope.get("type")
     if kind == "table":
         table = scope["table"]
+        database = table.get("database")
+        own = getattr(source, "database", None)
+        if database is not None and own is not None and database.lower() != own.lower():
+            raise LookupError(f"the source is database {own}, not {database}")
         return one_table_tasks(
             source, table.get("schema", "dbo"), table["table"], options, scope.get("predicate")
         )
@@ -62,14 +70,43 @@ def tasks_of(source, config: dict) -> DataFrame:
     raise ValueError(f"unknown scope {kind!r}")
 
 
+def _bound(value, kind: T.DataType):
+    """A bound as JSON has it, as a value of the column."""
+    if isinstance(kind, T.DateType):
+        return dt.date.fromisoformat(value)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return dt.datetime.fromisoformat(value)
+    return Decimal(str(value)) if isinstance(kind, T.DecimalType) else value
+
+
 def run(
     source, config: dict, job_id: str | None = None, slice_key: str | None = None
 ) -> DataFrame:
-    """Export what a configuration asks for. With the key its partition template is
-    about, a query is sliced into as many ranges as may run side by side."""
+    """Export what a configuration asks for.
+
+    A scope may have ``slices``: a list of predicates, or a range with ``column``,
+    ``start``, ``end`` and ``count``. With the key its partition template is about, given
+    here or as ``slice_key`` of the scope, a query is sliced into as many ranges as may run
+    side by side.
+    """
     options = options_of(config)
     slicer = None
-    if slice_key and config["scope"].get("partition_template"):
+    slices = config["scope"].get("slices")
+    slice_key = slice_key or config["scope"].get("slice_key")
+    if isinstance(slices, list):
+
+        def slicer(task, frame):
+            return predicate_slices(slices)
+
+    elif slices:
+
+        def slicer(task, frame):
+            column = slices["column"]
+            kind = frame.schema[column].dataType
+            start, end = (_bound(slices[name], kind) for name in ("start", "end"))
+            return range_slices(column, kind, start, end, slices["count"], task.task_id.split(":", 1)[1])
+
+    elif slice_key and config["scope"].get("partition_template"):
 
         def slicer(task, frame):
             return template_slices(
