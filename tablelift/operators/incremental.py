@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablelift.operators.layout import steady_numbers
 from tablelift.operators.manifest import COMMITTED, Manifest, latest
@@ -33,11 +34,11 @@ def export_new_rows(
     kind = df.schema[column].dataType
     fresh = df
     if last is not None:
-        fresh = df.where(F.col(f"`{column}`") > F.lit(last).cast(kind))
-    high = fresh.agg(F.max(f"`{column}`").cast("string").alias("high")).first().high
+        fresh = df.where(F.col(f"`{column}`") > mark_value(last, kind))
+    high = fresh.agg(mark_text(F.max(f"`{column}`"), kind).alias("high")).first().high
     if high is None and last is not None:
         return None
-    bound = F.lit(high).cast(kind)
+    bound = mark_value(high, kind)
     fresh = fresh.where(
         (F.col(f"`{column}`") <= bound) if last is not None
         else (F.col(f"`{column}`") <= bound) | F.col(f"`{column}`").isNull()
@@ -56,6 +57,19 @@ def export_new_rows(
     return out
 
 
+def mark_text(value: Column, kind: T.DataType) -> Column:
+    """A watermark as stored text. Of a zoned timestamp the instant is kept, in
+    microseconds, as its text would mean another one in another session zone."""
+    return (F.unix_micros(value) if isinstance(kind, T.TimestampType) else value).cast("string")
+
+
+def mark_value(text: str | None, kind: T.DataType) -> Column:
+    """A stored watermark as a value of the column."""
+    if isinstance(kind, T.TimestampType) and isinstance(text, str) and re.fullmatch(r"-?\d+", text):
+        return F.timestamp_micros(F.lit(int(text)))
+    return F.lit(text).cast(kind)
+
+
 def committed_watermark(manifest: Manifest, name: str) -> tuple[int, str | None]:
     """(number of committed increments, watermark of the last)."""
     done = latest(manifest.records().where(F.col("job_id") == name))
@@ -82,7 +96,7 @@ def late_rows(
     spark = source.sparkSession
     names = [f"`{k}`" for k in keys]
     key = F.struct(*[F.col(n) for n in names]).alias("__key")
-    bound = F.lit(watermark).cast(source.schema[column].dataType)
+    bound = mark_value(watermark, source.schema[column].dataType)
     below = source.where((F.col(f"`{column}`") <= bound) | F.col(f"`{column}`").isNull())
     wanted = below.select(key).distinct()
     known = exported.select(key).distinct()

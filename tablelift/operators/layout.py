@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -51,7 +52,9 @@ def rows_for_size(bytes_per_row: float, target_bytes: int) -> int:
 
 
 def has_shuffle(df: DataFrame) -> bool:
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    """True if rows come through a shuffle; a broadcast leaves a scan's order alone."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.search(r"(?<!Broadcast)(?<!Reused)Exchange ", plan) is not None
 
 
 def steady_numbers(df: DataFrame, alias: str) -> DataFrame:
@@ -77,11 +80,14 @@ def spread_slices(df: DataFrame, slice_rows: list[int], cap: int) -> DataFrame:
     nor equal rows in any number end up in one task.
     """
     files = [max(1, math.ceil(rows / max(1, cap))) for rows in slice_rows]
+    first = [sum(files[:i]) for i in range(len(files))]
     per_slice = F.get(F.array(*map(F.lit, files)), F.col(SLICE_COLUMN))
+    offset = F.get(F.array(*map(F.lit, first)), F.col(SLICE_COLUMN))
     numbered = steady_numbers(df, SALT_COLUMN)
+    place = (offset + F.pmod(SALT_COLUMN, per_slice)).cast("int")
     return (
-        numbered.withColumn(SALT_COLUMN, F.pmod(SALT_COLUMN, per_slice))
-        .repartition(sum(files), SLICE_COLUMN, SALT_COLUMN)
+        numbered.withColumn(SALT_COLUMN, place)
+        .repartitionById(sum(files), F.col(SALT_COLUMN))
         .drop(SALT_COLUMN)
     )
 

@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BLOCKS = 64
+# Rows of a block, on average.
+BLOCK_ROWS = 200_000
 PERCENTILE_ACCURACY = 10_000
 
 
 def previous_by_key(
-    df: DataFrame, key: str, order: str, value: str, alias: str, blocks: int = BLOCKS
+    df: DataFrame, key: str, order: str, value: str, alias: str, blocks: int | None = None
 ) -> DataFrame:
     """``df`` with the ``value`` of the row before, in ``order`` within ``key``.
 
     The order range is cut at its quantiles, so a key with most of the rows falls
-    apart into blocks that are windows of their own. The first row of a block
+    apart into blocks that are windows of their own, as many as the rows fill. Rows
+    without a key are one key, those without an order come first. The first row of a block
     takes its value from the last row of the key's block before, which comes from
     one pre-aggregated row per key and block.
     """
     block = "__block"
+    blocks = blocks or max(1, -(-df.count() // BLOCK_ROWS))
     blocked = df.withColumn(block, _block_number(df, order, blocks))
     within = Window.partitionBy(key, block).orderBy(order)
     rows = blocked.withColumn("__row", F.row_number().over(within)).withColumn(
@@ -26,12 +29,13 @@ def previous_by_key(
     )
     carried = (
         blocked.groupBy(key, block)
-        .agg(F.max_by(value, order).alias("__last"))
+        .agg(F.max(F.struct(order, value))[value].alias("__last"))
         .withColumn("__carry", F.lag("__last").over(Window.partitionBy(key).orderBy(block)))
         .select(key, block, "__carry")
     )
-    joined = rows.join(carried, [key, block])
-    return joined.select(
+    carried = carried.select(F.col(key).alias("__key"), F.col(block).alias("__in"), "__carry")
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(block) == F.col("__in"))
+    return rows.join(carried, same).select(
         *[F.col(f"`{c}`") for c in df.columns],
         F.when(F.col("__row") == 1, F.col("__carry")).otherwise(F.col("__before")).alias(alias),
     )
@@ -44,5 +48,5 @@ def _block_number(df: DataFrame, order: str, blocks: int) -> Column:
     return F.aggregate(
         F.array(*[F.lit(edge) for edge in edges]) if edges else F.array().cast("array<long>"),
         F.lit(0),
-        lambda number, edge: number + (F.col(order) > edge).cast("int"),
+        lambda number, edge: number + F.coalesce((F.col(order) > edge).cast("int"), F.lit(0)),
     )

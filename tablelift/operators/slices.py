@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SLICE_COLUMN = "__slice_no"
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-STAMPS = (T.TimestampType, T.TimestampNTZType)
 
 
 @dataclass(frozen=True)
@@ -35,15 +34,18 @@ def range_slices(
     end,
     count: int,
     label: str = "query",
-    nulls: bool = False,
+    nulls: bool = True,
 ) -> list[Slice]:
     """``count`` disjoint slices that cover ``[start, end]`` of a column.
 
-    All but the last are half-open. With ``nulls`` the rows without a key get a
-    slice of their own.
+    All but the last are half-open. Rows without a key get a slice of their own unless
+    ``nulls`` is false. Bounds of a zoned timestamp column are datetimes with a zone, or
+    microseconds since 1970; a datetime without one is in UTC.
     """
     if count < 1:
         raise ValueError("a range needs at least one slice")
+    if isinstance(kind, T.TimestampType):
+        start, end = _micros(start), _micros(end)
     edges = _edges(kind, start, end, count)
     slices = []
     for i in range(len(edges) - 1):
@@ -66,9 +68,12 @@ def template_slices(
     the lower one ends a unit (1, a day, a microsecond, a decimal step) earlier.
     """
     kind = df.schema[key].dataType
+    # A zoned timestamp comes as an instant, as Python would shift it to its own zone.
+    value = F.col(f"`{key}`")
+    value = F.unix_micros(value) if isinstance(kind, T.TimestampType) else value
     bounds = df.agg(
-        F.min(f"`{key}`").alias("lo"),
-        F.max(f"`{key}`").alias("hi"),
+        F.min(value).alias("lo"),
+        F.max(value).alias("hi"),
         F.count_if(F.col(f"`{key}`").isNull()).alias("nulls"),
     ).first()
     slices = []
@@ -87,15 +92,22 @@ def template_slices(
     return slices
 
 
+def _micros(value: int | dt.datetime) -> int:
+    if isinstance(value, int):
+        return value
+    zoned = value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)
+    return (zoned - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+
+
 def _edges(kind: T.DataType, start, end, count: int) -> list:
     """At most ``count + 1`` rising edges from ``start`` to ``end``."""
     if start > end:
         raise ValueError(f"range start {start} is after its end {end}")
-    if isinstance(kind, INTEGERS):
+    if isinstance(kind, (*INTEGERS, T.TimestampType)):
         inner = [start + (end - start + 1) * i // count for i in range(1, count)]
     elif isinstance(kind, T.DateType):
         inner = [start + (end - start) * i // count for i in range(1, count)]
-    elif isinstance(kind, STAMPS):
+    elif isinstance(kind, T.TimestampNTZType):
         inner = [start + (end - start) * i / count for i in range(1, count)]
     elif isinstance(kind, T.DecimalType):
         step = Decimal(1).scaleb(-kind.scale)
@@ -112,11 +124,11 @@ def _edges(kind: T.DataType, start, end, count: int) -> list:
 
 
 def _before(kind: T.DataType, value):
-    if isinstance(kind, INTEGERS):
+    if isinstance(kind, (*INTEGERS, T.TimestampType)):
         return value - 1
     if isinstance(kind, T.DateType):
         return value - dt.timedelta(days=1)
-    if isinstance(kind, STAMPS):
+    if isinstance(kind, T.TimestampNTZType):
         return value - dt.timedelta(microseconds=1)
     if isinstance(kind, T.DecimalType):
         return value - Decimal(1).scaleb(-kind.scale)
@@ -126,9 +138,10 @@ def _before(kind: T.DataType, value):
 def _literal(kind: T.DataType, value) -> str:
     if isinstance(kind, T.DateType):
         return f"DATE '{value.isoformat()}'"
-    if isinstance(kind, STAMPS):
-        word = "TIMESTAMP_NTZ" if isinstance(kind, T.TimestampNTZType) else "TIMESTAMP"
-        return f"{word} '{value.isoformat(sep=' ')}'"
+    if isinstance(kind, T.TimestampType):
+        return f"timestamp_micros({value})"
+    if isinstance(kind, T.TimestampNTZType):
+        return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
     if isinstance(kind, T.DecimalType):
         return f"{value:f}"
     if isinstance(kind, (T.FloatType, T.DoubleType)):
@@ -162,6 +175,13 @@ def count_slices(df: DataFrame, slices: list[Slice]) -> tuple[list[int], bool]:
     return list(counts[1:]), sum(counts[1:]) == counts[0]
 
 
+def uncovered_rows(df: DataFrame, slices: list[Slice]) -> tuple[int, int]:
+    """(rows that no slice keeps, rows that several keep)."""
+    hits = F.size(slice_numbers(slices))
+    found = df.agg(F.count_if(hits == 0), F.count_if(hits > 1)).first()
+    return found[0], found[1]
+
+
 def with_slice_number(df: DataFrame, slices: list[Slice], disjoint: bool = False) -> DataFrame:
     """Rows of all given slices from one scan, each with its slice number.
 

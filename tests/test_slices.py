@@ -35,7 +35,7 @@ def assert_partition(df, slices, key):
 
 def test_range_is_disjoint_and_includes_both_ends(spark):
     df = spark.range(0, 1001)
-    slices = range_slices("id", T.LongType(), 0, 1000, 4, "dbo/t")
+    slices = range_slices("id", T.LongType(), 0, 1000, 4, "dbo/t", nulls=False)
     assert [s.id for s in slices] == [f"dbo/t/p{i:08d}" for i in range(4)]
     assert len({s.predicate for s in slices}) == 4
     assert_partition(df, slices, "id")
@@ -102,7 +102,7 @@ def test_null_predicates_drop_the_row(spark):
 
 def test_slice_predicates_reach_the_scan(spark, lake):
     orders = lake.frame("dbo", "orders")
-    slices = range_slices("o_orderkey", T.LongType(), 0, 100, 2)
+    slices = range_slices("o_orderkey", T.LongType(), 0, 100, 2, nulls=False)
     numbered = with_slice_number(orders, slices, disjoint=True)
     plan = numbered._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(And(" in plan
