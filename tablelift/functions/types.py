@@ -108,7 +108,11 @@ def cast_loss(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     One pass over the data whatever the number of columns.
     """
-    fields = [f for f in schema.fields if f.name in df.columns]
+    present = {name.lower() for name in df.columns}
+    fields = [f for f in schema.fields if f.name.lower() in present]
+    if not fields:
+        empty = F.array().cast("array<struct<column_name: string, values_before: bigint, lost: bigint>>")
+        return df.limit(0).select(F.inline(empty))
     counts = [
         F.struct(
             F.lit(f.name).alias("column_name"),

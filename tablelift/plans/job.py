@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -9,15 +10,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from tablelift.functions.names import single_target
+from tablelift.operators.incremental import export_new_rows
 from tablelift.operators.manifest import KEY_FIELDS, Manifest
 from tablelift.operators.sinks import Published, export_frame, export_slices
-from tablelift.operators.slices import SLICE_COLUMN, Slice, single_slice
+from tablelift.operators.slices import SLICE_COLUMN, Slice, single_slice, uncovered_rows
 from tablelift.options import ExportOptions
 from tablelift.plans.tasks import TABLE
 from tablelift.session import small_frame
 from tablelift.sources.tables import pin_files, read_pinned
 from tablelift.storage import Store
 
+log = logging.getLogger("tablelift")
+
 RESULT_SCHEMA = (
     "task_id string, slice_id string, target string, status string, "
     "rows long, bytes long, files long, error string"
@@ -38,10 +43,19 @@ def run_job(
 
     Tasks run side by side on their own scheduler pools, and one that fails
     does not stop the others. With a manifest, committed slices are skipped when
-    the job is resumed. Only the task list is on the driver.
+    the job is resumed, which needs the job's id. Only the task list is on the driver.
+
+    Under ``high_watermark`` each task exports its rows above the job's last watermark,
+    to a folder of this run. A sliced task fails if its slices do not keep each row once.
     """
     options = options.checked()
     spark = source.spark
+    if job_id is None and (options.resume or options.consistency == "high_watermark"):
+        raise ValueError("a job that goes on from an earlier run needs its job_id")
+    if options.consistency == "high_watermark" and not (options.manifest_dir and options.watermark_column):
+        raise ValueError("high_watermark needs a manifest_dir and a watermark_column")
+    if slicer and options.consistency == "high_watermark":
+        raise ValueError("high_watermark exports are not sliced")
     job_id = job_id or uuid.uuid4().hex
     job = _Job(source, options, slicer, job_id)
     with ThreadPoolExecutor(max_workers=options.table_concurrency) as pool:
@@ -107,6 +121,8 @@ class _Job:
         try:
             table, frame = _task_frames(self.source, task, self.options, self.job_id)
             slices = self.slicer(task, frame) if self.slicer else single_slice()
+            if task.kind == TABLE and hasattr(self.source, "check_slices"):
+                self.source.check_slices(slices)
             return _Planned(task, table, frame, slices)
         except Exception as error:
             return _Planned(task, error=error)
@@ -131,12 +147,16 @@ class _Job:
         task = planned.task
         if planned.error:
             return [_failure(task, None, planned.error)]
+        if self.options.consistency == "high_watermark":
+            return [self._increment(planned)]
         todo = [s for s in planned.slices if s.id in planned.open]
         width = self.options.slices_per_pass
         passes = [todo[i : i + width] for i in range(0, len(todo), width)]
         with ThreadPoolExecutor(max_workers=self.options.slice_concurrency) as pool:
             done = pool.map(lambda part: self._run_pass(planned, part), passes)
             rows = [row for part_rows in done for row in part_rows]
+        if self.slicer and len(todo) == len(planned.slices):
+            rows += self._uncovered(planned, rows)
         rows += [
             (task.task_id, s.id, task.target_prefix, SKIPPED, 0, 0, 0, None)
             for s in planned.slices
@@ -144,9 +164,54 @@ class _Job:
         ]
         return rows
 
+    def _increment(self, planned: _Planned) -> tuple:
+        task = planned.task
+        try:
+            out = export_new_rows(
+                planned.frame, self.options.watermark_column, single_target(task.target_prefix),
+                self.options, self.manifest, f"{self.job_id}/{task.task_id}",
+            )
+        except Exception as error:
+            return _failure(task, None, error)
+        if out is None:
+            return (task.task_id, "single", task.target_prefix, SKIPPED, 0, 0, 0, None)
+        return (task.task_id, "single", out.target, COMPLETED, out.rows, out.bytes, out.files, None)
+
+    def _uncovered(self, planned: _Planned, rows: list[tuple]) -> list[tuple]:
+        """A failed row if the slices of a whole run left rows out or kept some twice."""
+        if any(row[3] != COMPLETED for row in rows):
+            return []
+        if planned.frame.count() == sum(row[4] for row in rows):
+            return []
+        none, several = uncovered_rows(planned.frame, planned.slices)
+        text = f"{none} rows are in no slice, {several} in several"
+        if self.options.allow_uncovered or not (none or several):
+            log.warning("%s: %s", planned.task.task_id, text)
+            return []
+        return [_failure(planned.task, None, ValueError(text))]
+
+    def _sound(self, planned: _Planned, part: list[Slice]) -> tuple[list[Slice], list[tuple]]:
+        """The slices whose predicates can be analysed, and result rows of the others."""
+        sound, bad = [], []
+        for s in part:
+            try:
+                if s.predicate is not None and hasattr(self.source, "root"):
+                    planned.frame.where(s.predicate)
+                sound.append(s)
+            except Exception as error:
+                item = planned.open[s.id]
+                if self.manifest:
+                    self.manifest.start([item])
+                    self.manifest.append([self.manifest.failed(item, _message(error))])
+                bad.append(_failure(planned.task, s.id, error))
+        return sound, bad
+
     def _run_pass(self, planned: _Planned, part: list[Slice]) -> list[tuple]:
         task, manifest = planned.task, self.manifest
         self.source.spark.sparkContext.setLocalProperty("spark.scheduler.pool", task.task_id)
+        part, bad = self._sound(planned, part)
+        if not part:
+            return bad
         items = [planned.open[s.id] for s in part]
         try:
             if manifest:
@@ -164,23 +229,33 @@ class _Job:
                     for out in done
                 ]
                 manifest.append([row for pair in records for row in pair])
-            return [
+            return bad + [
                 (task.task_id, o.slice_id, o.target, COMPLETED, o.rows, o.bytes, o.files, None)
                 for o in done
             ]
         except Exception as error:
             if manifest:
                 manifest.append([manifest.failed(item, _message(error)) for item in items])
-            return [_failure(task, s.id, error) for s in part]
+            if len(part) == 1:
+                return [*bad, _failure(task, part[0].id, error)]
+            # Which slice is at fault shows when each runs alone, as a next attempt.
+            for s in part:
+                if planned.open[s.id]:
+                    again = {"attempt": planned.open[s.id]["attempt"] + 1, "last_status": "failed"}
+                    planned.open[s.id] = {**planned.open[s.id], **again}
+            return bad + [row for s in part for row in self._run_pass(planned, [s])]
 
     def _write(self, planned: _Planned, part: list[Slice]) -> list[Published]:
         task, options = planned.task, self.options
         if len(part) == 1 and part[0].predicate is None:
-            out = export_frame(planned.frame, task.target_prefix, options, planned.table)
+            target = single_target(task.target_prefix, part[0].id)
+            out = export_frame(planned.frame, target, options, planned.table)
             return [Published(part[0].id, out.target, out.rows, out.bytes, out.files)]
         numbered = None
         if task.kind == TABLE and hasattr(self.source, "sliced"):
             rows = self.source.sliced(task.table_schema, task.table_name, part)
+            if task.predicate is not None:
+                rows = rows.where(task.predicate)
             numbered = rows.withColumn(SLICE_COLUMN, F.spark_partition_id())
         return export_slices(
             planned.frame, part, task.target_prefix, options, planned.table, numbered
@@ -191,10 +266,13 @@ def _task_frames(
     source, task: Row, options: ExportOptions, job_id: str
 ) -> tuple[DataFrame | None, DataFrame]:
     """(plain scan, rows to export) of a task; a query has no plain scan."""
+    pinned = options.consistency == "database_snapshot" and not hasattr(source, "sliced")
+    if pinned and (task.kind != TABLE or not options.manifest_dir):
+        raise ValueError("database_snapshot pins the files of tables, and needs a manifest_dir")
     if task.kind != TABLE:
         return None, source.query(task.sql)
     table = source.frame(task.table_schema, task.table_name)
-    if options.consistency == "database_snapshot" and options.manifest_dir and hasattr(source, "root"):
+    if pinned:
         table = _pinned(source.spark, table, task, options, job_id)
     return table, table if task.predicate is None else table.where(task.predicate)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -42,6 +43,10 @@ class LakeSource:
             entries = Store(spark, self.root).files(self.root)
             names = [e[: -len(".parquet")] for e in entries if e.endswith(".parquet")]
         self.names = names
+        # Temporary views of a session of its own do not meet those of other sources.
+        self._views = spark.newSession()
+        self._viewed: set[str] = set()
+        self._lock = threading.Lock()
         self._frames: dict[str, DataFrame] = {}
 
     def tables(self) -> DataFrame:
@@ -60,10 +65,12 @@ class LakeSource:
 
     def query(self, sql: str) -> DataFrame:
         """A query over the tables by their bare names."""
-        for name in self.names:
-            if re.search(rf"\b{re.escape(name)}\b", sql, re.IGNORECASE):
-                self.frame(self.schema, name).createOrReplaceTempView(name)
-        return self.spark.sql(sql)
+        with self._lock:
+            for name in self.names:
+                if name not in self._viewed and re.search(rf"\b{re.escape(name)}\b", sql, re.IGNORECASE):
+                    self._views.read.parquet(f"{self.root}/{name}.parquet").createOrReplaceTempView(name)
+                    self._viewed.add(name)
+            return self._views.sql(sql)
 
 
 class SparkSource:
@@ -92,6 +99,14 @@ class SparkSource:
         return self.spark.sql(sql)
 
 
+# The declared type that each Spark type is read back from by ``declared_type``.
+DECLARED = {
+    "boolean": "bit", "byte": "smallint", "tinyint": "smallint", "float": "real",
+    "double": "float", "timestamp_ntz": "datetime2", "timestamp": "datetimeoffset",
+    "binary": "varbinary", "string": "nvarchar",
+}
+
+
 def frame_columns(df: DataFrame, schema: str, table: str) -> DataFrame:
     """The column catalog of a frame, in order."""
     rows = []
@@ -104,7 +119,7 @@ def frame_columns(df: DataFrame, schema: str, table: str) -> DataFrame:
                 table,
                 position,
                 field.name,
-                "decimal" if decimal else kind.simpleString(),
+                "decimal" if decimal else DECLARED.get(kind.simpleString(), kind.simpleString()),
                 "YES" if field.nullable else "NO",
                 kind.precision if decimal else None,
                 kind.scale if decimal else None,

@@ -74,6 +74,11 @@ class JdbcSource:
     def query(self, sql: str) -> DataFrame:
         return self._load(query=sql)
 
+    def check_slices(self, slices: list[Slice]) -> None:
+        """Refuses what no one transaction can cover, however the slices are run."""
+        if self.consistency == "snapshot_transaction" and len(slices) > 1:
+            raise ValueError("snapshot_transaction reads one slice; use database_snapshot")
+
     def sliced(self, schema: str, table: str, slices: list[Slice]) -> DataFrame:
         """One JDBC partition per slice, each on its own connection.
 
@@ -81,8 +86,7 @@ class JdbcSource:
         under ``snapshot_transaction``; a database snapshot has no such limit.
         """
         if self.consistency == "snapshot_transaction":
-            if len(slices) > 1:
-                raise ValueError("snapshot_transaction reads one slice; use database_snapshot")
+            self.check_slices(slices)
             df = self.frame(schema, table)
             return df if slices[0].predicate is None else df.where(slices[0].predicate)
         properties = {k: v for k, v in self.options.items() if k != "url"}
