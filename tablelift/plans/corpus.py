@@ -11,7 +11,9 @@ QUERY_TEXTS = {
     """,
     "query_left_anti": """
         SELECT c.c_custkey, c.c_name FROM customer c
-        WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
+        WHERE NOT EXISTS (
+            SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 400000
+        )
     """,
     "query_semi_join": """
         SELECT p.p_partkey, p.p_name FROM part p

@@ -49,11 +49,18 @@ def _fan_out(names: list[str], database: str = "") -> str:
     )
 
 
+# The declared type that a column's type in the files goes by in the catalog.
+DECLARED_TYPE = """CASE typeof(any_value({})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+    WHEN 'DOUBLE' THEN 'float' WHEN 'VARCHAR' THEN 'nvarchar' WHEN 'TIMESTAMP' THEN 'datetime2'
+    WHEN 'FLOAT[]' THEN 'array<float>' END"""
+
+
 def _columns() -> str:
     return _union(
         [
             f"SELECT '{name}' AS table_name, {i} AS ordinal_position, '{c}' AS column_name, "
-            f"'YES' AS is_nullable, count({c}) AS values_before FROM {name}"
+            f"'YES' AS is_nullable, count({c}) AS values_before, "
+            f"{DECLARED_TYPE.format(c)} AS data_type FROM {name}"
             for name, columns in TABLE_COLUMNS.items()
             for i, c in enumerate(columns.split(), start=1)
         ]
@@ -295,6 +302,39 @@ def oracle_texts() -> dict[str, str]:
             SELECT * FROM events
             WHERE event_type = 'purchase' AND ts <= TIMESTAMP '2024-01-20 00:00:00'
         """,
+        "catalog_conform": "SELECT * FROM orders",
+        "job_row_limit": _union([
+            f"SELECT '{run}' AS run, count(*) AS row_count, true AS many_files, 0 AS over_limit FROM lineitem"
+            for run in ("job", "config")
+        ]),
+        "append_empty": "SELECT * FROM orders WHERE o_totalprice >= 0",
+        "slice_zoned": "SELECT 1 AS slices_hit, count(*) AS row_count FROM events",
+        "slice_uncovered": """
+            WITH hits AS (
+                SELECT (o_orderkey % 3 = 0) AS p0, (o_orderkey % 3 = 1 OR o_orderkey % 9 = 0) AS p1 FROM orders
+            )
+            SELECT 'p00000000' AS slice_id, 'completed' AS status, count(*) FILTER (p0) AS rows,
+                   NULL AS error FROM hits
+            UNION ALL SELECT 'p00000001', 'completed', count(*) FILTER (p1), NULL FROM hits
+            UNION ALL SELECT NULL, 'failed', 0, count(*) FILTER (NOT p0 AND NOT p1) || ' rows are in no slice, '
+                   || count(*) FILTER (p0 AND p1) || ' in several' FROM hits
+        """,
+        "job_high_watermark": """
+            SELECT count(*) AS first_run, 0 AS second_run, count(*) AS rows_found,
+                   count(DISTINCT o_orderkey) AS keys_found FROM orders
+        """,
+        "resume_one_bad_slice": """
+            SELECT 'completed' AS status, 7 AS slices, count(*) FILTER (o_orderkey % 8 < 7) AS row_count FROM orders
+            UNION ALL SELECT 'failed', 1, 0
+        """,
+        "template_targets": _union([
+            f"SELECT '{name}/single/chunk-N.parquet' AS file_pattern, count(*) AS row_count FROM {name}"
+            for name in ("orders", "part")
+        ]),
+        "config_sliced_table": """
+            SELECT count(DISTINCT o_orderkey) AS keys_found, count(*) AS rows_found, count(*) AS rows_reported
+            FROM orders
+        """,
         "gen_customers": _made("orders"),
         "gen_products": _made("orders"),
         "gen_orders": _made("orders"),

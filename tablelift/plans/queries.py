@@ -43,6 +43,7 @@ from tablelift.operators.slices import (
     template_slices,
 )
 from tablelift.options import DEFAULT_FILE_BYTES, ExportOptions
+from tablelift.plans.config import run as run_config
 from tablelift.plans.job import raise_on_failure, run_job, summary
 from tablelift.plans.tasks import (
     database_tasks,
@@ -149,7 +150,7 @@ def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame = source.frame("dbo", name)
         values = cast_loss(frame, frame.schema).select("column_name", "values_before")
         columns = source.columns("dbo", name).select(
-            "table_name", "ordinal_position", "column_name", "is_nullable"
+            "table_name", "ordinal_position", "column_name", "is_nullable", "data_type"
         )
         parts.append(columns.join(values, "column_name"))
     return reduce(DataFrame.unionByName, parts)
@@ -205,7 +206,8 @@ def _sliced_orders(
     """Export orders in slices; rows and key bounds of each slice as found in its files."""
     source = lake(spark, sf_dir)
     options = ExportOptions(
-        target=fresh_dir(spark, "slices") + "/{table}/{partition}", slices_per_pass=per_pass
+        target=fresh_dir(spark, "slices") + "/{table}/{partition}", slices_per_pass=per_pass,
+        allow_uncovered=True,
     )
     tasks = one_table_tasks(source, "dbo", "orders", options)
     results = raise_on_failure(run_job(source, tasks, options, lambda task, frame: slices))
@@ -303,6 +305,13 @@ def schema_from_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbers_as_double(exported(conform(lines, schema)))
 
 
+def catalog_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table conformed to the schema that its own catalog rows give."""
+    source = lake(spark, sf_dir)
+    schema = schema_from_columns(source.columns("dbo", "orders"))
+    return exported(conform(source.frame("dbo", "orders"), schema))
+
+
 def conform_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return _numbers_as_double(exported(conform(orders, ORDERS_DECLARED)))
@@ -665,14 +674,12 @@ def late_row_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Generated tables, one row for each row of a given table
 
 
-def _ids(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """Row ids from 1: a unique key of a table, or numbers Spark gives its rows."""
-    rows = table(spark, sf_dir, name)
-    number = F.col(key) if key else F.monotonically_increasing_id()
-    return rows.select((number + 1).alias("id"))
+def _ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """Row ids from 1, from a unique key of a table given as SQL."""
+    return table(spark, sf_dir, name).select((F.expr(key).cast("long") + 1).alias("id"))
 
 
-def _profiled(source: str, key: str | None, name: str, column: str, shares: dict, ranges: dict):
+def _profiled(source: str, key: str, name: str, column: str, shares: dict, ranges: dict):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         made = datagen.GENERATORS[name](_ids(spark, sf_dir, source, key))
         return profile(exported(made), column, shares, ranges)
@@ -680,6 +687,9 @@ def _profiled(source: str, key: str | None, name: str, column: str, shares: dict
     return run
 
 
+# An order has fewer lines than this.
+LINE_KEY = "l_orderkey * 100 + l_linenumber"
+
 GENERATED = {
     "gen_customers": _profiled(
         "orders", "o_orderkey", "dbo.customers", "customer_id",
@@ -699,7 +709,7 @@ GENERATED = {
         {"customer_id": (1, 500_000), "total_amount": (10, 5_000), "shipping_cost": (0, 100)},
     ),
     "gen_order_items": _profiled(
-        "lineitem", None, "dbo.order_items", "item_id",
+        "lineitem", LINE_KEY, "dbo.order_items", "item_id",
         {"warehouse_code": 100, "notes": 0},
         {"order_id": (1, 2_000_000), "product_id": (1, 100_000), "quantity": (1, 20),
          "discount_pct": (0, 30)},
@@ -711,7 +721,7 @@ GENERATED = {
         {"severity": (0, 4), "event_id": (1, 2**62)},
     ),
     "gen_measurements": _profiled(
-        "lineitem", None, "dbo.measurements", "checksum",
+        "lineitem", LINE_KEY, "dbo.measurements", "checksum",
         {"temperature_c": 100},
         {"temperature_c": (-40.0, 85.0), "pressure_hpa": (800.0, 1_200.0),
          "latitude": (-90, 90), "longitude": (-180, 180), "signal_strength": (-120, 0),
@@ -731,19 +741,147 @@ GENERATED = {
 
 
 def gen_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the generated tables, counted in what was exported."""
     sources = {
-        "dbo.customers": ("customer", None),
-        "dbo.products": ("part", None),
-        "dbo.orders": ("orders", None),
-        "dbo.order_items": ("lineitem", None),
-        "dbo.events": ("events", None),
-        "dbo.measurements": ("documents", None),
-        "sales.transactions": ("conversations", None),
-        "hr.employees": ("supplier", None),
+        "dbo.customers": ("customer", "c_custkey"),
+        "dbo.products": ("part", "p_partkey"),
+        "dbo.orders": ("orders", "o_orderkey"),
+        "dbo.order_items": ("lineitem", LINE_KEY),
+        "dbo.events": ("events", "event_id"),
+        "dbo.measurements": ("documents", "doc_id"),
+        "sales.transactions": ("conversations", "conv_id * 1000 + turn"),
+        "hr.employees": ("supplier", "s_suppkey"),
     }
     return row_counts(
         {
-            name: datagen.GENERATORS[name](_ids(spark, sf_dir, *source))
+            name: exported(datagen.GENERATORS[name](_ids(spark, sf_dir, *source)))
             for name, source in sources.items()
         }
     )
+
+
+# Jobs and targets
+
+
+def job_row_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row limit in jobs: given alone, and with a size in a configuration."""
+    source = lake(spark, sf_dir)
+    lines = source.frame("dbo", "lineitem")
+    cap = max(1, lines.count() // 80)
+    home = fresh_dir(spark, "limit")
+    options = ExportOptions(target=home + "/job/{table}", max_rows_per_file=cap)
+    raise_on_failure(run_job(source, one_table_tasks(source, "dbo", "lineitem", options), options))
+    config = {
+        "target": home + "/config/{table}", "target_file_size": DEFAULT_FILE_BYTES,
+        "max_rows_per_file": cap, "scope": {"type": "table", "table": {"table": "lineitem"}},
+    }
+    raise_on_failure(run_config(source, config))
+    parts = []
+    for name in ("job", "config"):
+        back = read_export(spark, f"{home}/{name}/lineitem", "parquet", lines.schema)
+        files = back.groupBy(F.col("_metadata.file_name").alias("file")).count()
+        parts.append(files.agg(
+            F.lit(name).alias("run"), F.sum("count").alias("row_count"),
+            (F.count(F.lit(1)) > 64).alias("many_files"), F.count_if(F.col("count") > cap).alias("over_limit"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def append_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An append without rows leaves what was exported before."""
+    orders = table(spark, sf_dir, "orders")
+    target = fresh_dir(spark, "append-empty")
+    options = ExportOptions(target=target, mode="append")
+    for predicate in ("o_totalprice >= 0", "o_totalprice < 0", "o_totalprice < 0"):
+        export_frame(orders.where(predicate), target, options)
+    return read_export(spark, target, "parquet", orders.schema)
+
+
+def slice_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of a column of instants, in a session zone that is not UTC."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        events = table(spark, sf_dir, "events").select(
+            "event_id", F.timestamp_micros(F.col("event_id") * 37_000_001 + 1_700_000_000_000_000).alias("at")
+        )
+        slices = template_slices(events, "at", "at BETWEEN {lo} AND {hi}", 6)
+        report = slice_report(events, slices, "at").groupBy("slices_hit").agg(F.sum("row_count").alias("row_count"))
+        return small_frame(spark, [tuple(r) for r in report.collect()], "slices_hit int, row_count long")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def slice_uncovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that predicates leave out or keep twice are told, and fail the task."""
+    source = lake(spark, sf_dir)
+    options = ExportOptions(target=fresh_dir(spark, "uncovered") + "/{table}")
+    slices = predicate_slices(["o_orderkey % 3 = 0", "o_orderkey % 3 = 1 OR o_orderkey % 9 = 0"])
+    tasks = one_table_tasks(source, "dbo", "orders", options)
+    results = run_job(source, tasks, options, lambda task, frame: slices)
+    return results.select("slice_id", "status", "rows", "error")
+
+
+def job_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job run twice by watermark: rows of each run, and what lies in the target."""
+    source = lake(spark, sf_dir)
+    home = fresh_dir(spark, "watermark")
+    options = ExportOptions(
+        target=home + "/{table}", consistency="high_watermark", watermark_column="o_orderdate",
+        manifest_dir=home + "-manifest",
+    )
+    tasks = one_table_tasks(source, "dbo", "orders", options)
+    runs = [raise_on_failure(run_job(source, tasks, options, job_id="daily")).first() for _ in range(2)]
+    schema = source.frame("dbo", "orders").schema
+    back = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(home + "/orders")
+    return back.agg(
+        F.lit(runs[0].rows).cast("long").alias("first_run"), F.lit(runs[1].rows).cast("long").alias("second_run"),
+        F.count(F.lit(1)).alias("rows_found"), F.count_distinct("o_orderkey").alias("keys_found"),
+    )
+
+
+def resume_one_bad_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of eight slices in one pass one cannot be read; the others are exported."""
+    source = lake(spark, sf_dir)
+    home = fresh_dir(spark, "bad-slice")
+    options = ExportOptions(target=home + "/{table}", manifest_dir=home + "-manifest")
+    texts = [f"o_orderkey % 8 = {i}" for i in range(7)] + ["CAST(o_orderstatus AS INT) = 7"]
+    tasks = one_table_tasks(source, "dbo", "orders", options)
+    results = run_job(source, tasks, options, lambda t, f: predicate_slices(texts), "bad-slice")
+    return results.groupBy("status").agg(F.count(F.lit(1)).alias("slices"), F.sum("rows").alias("row_count"))
+
+
+def template_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of files whose folders and names a template gives."""
+    source = lake(spark, sf_dir)
+    home = fresh_dir(spark, "template")
+    options = ExportOptions(target=home + "/{schema}/{table}/{partition}/chunk-{file_index}.parquet")
+    tasks = schema_tasks(source, "dbo", options, include=["*.orders", "*.part"])
+    raise_on_failure(run_job(source, tasks, options))
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^.*/dbo/", "")
+    parts = [
+        read_export(spark, f"{home}/dbo/{name}/single", "parquet", source.frame("dbo", name).schema)
+        .groupBy(F.regexp_replace(path, r"\d{5}", "N").alias("file_pattern"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        for name in ("orders", "part")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def config_sliced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table sliced by a range that its configuration gives."""
+    source = lake(spark, sf_dir)
+    home = fresh_dir(spark, "config-slices")
+    config = {
+        "target": home + "/{table}", "scope": {
+            "type": "table", "table": {"schema": "dbo", "table": "orders"},
+            "slices": {"column": "o_orderdate", "start": "1992-01-01", "end": "2100-01-01", "count": 4},
+        },
+    }
+    results = raise_on_failure(run_config(source, config))
+    back = spark.read.schema(source.frame("dbo", "orders").schema).option("recursiveFileLookup", True)
+    rows = results.agg(F.sum("rows")).first()[0]
+    return back.parquet(home + "/orders").agg(
+        F.count_distinct("o_orderkey").alias("keys_found"), F.count(F.lit(1)).alias("rows_found"),
+        F.lit(rows).cast("long").alias("rows_reported"),
+    )
