@@ -64,8 +64,12 @@ def export_frame(
     store = Store(spark, target)
     _refuse_existing(store, target, options)
     cap = rows_per_file(table, options)
-    # zstd text is cut by size as it is written, which a row limit says nothing about.
-    df = fill_files(df, None if _is_zstd_text(options) else table, cap, options)
+    if _is_zstd_text(options):
+        # Its files are cut as they are written, so there is nothing to fill.
+        if not store.can_rename:
+            return _zstd_in_place(df, store, target, options)
+    else:
+        df = fill_files(df, table, cap, options)
     with _Staging(store, target) as staging:
         if _is_zstd_text(options):
             rows = _stage_zstd(df, staging.data, options)
@@ -303,17 +307,38 @@ def _writer(df: DataFrame, options: ExportOptions, cap: int | None, mode: str):
 
 
 def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> int:
-    """Write the files and keep those of successful tasks; returns their rows.
+    """Write the files and move those of successful tasks to the folder; returns their rows."""
+    attempts = folder + "-attempts"
+    store = Store(df.sparkSession, folder)
+    written = _write_zstd(df, store, attempts, options)
+    store.mkdirs(folder)
+    pairs = [(f"{attempts}/{name}", f"{folder}/{name}") for name in written]
+    store.rename_all(pairs, options.io_concurrency)
+    return sum(written.values())
+
+
+def _zstd_in_place(df: DataFrame, store: Store, target: str, options: ExportOptions) -> Published:
+    """Write below the target, where a rename would copy; no file is moved.
 
-    What comes back to the driver is one short row per file.
+    Names are unique, so new files lie beside old ones until all are there. Then files of
+    lost attempts go, and unless this is an append the old ones.
     """
+    before = store.files(target)
+    written = _write_zstd(df, store, target, options)
+    stay = set(written) | (set(before) if options.mode == "append" else set())
+    for name in store.files(target).keys() - stay:
+        store.delete(f"{target.rstrip('/')}/{name}")
+    sizes = store.files(target)
+    return Published("single", target, sum(written.values()), sum(sizes[n] for n in written), len(written))
+
+
+def _write_zstd(df: DataFrame, store: Store, folder: str, options: ExportOptions) -> dict[str, int]:
+    """Files of successful tasks with their rows: one short row each comes to the driver."""
     # The writer travels with the job, so executors need not have this package.
     cloudpickle.register_pickle_by_value(zstd_text)
     lines, header = text_lines(df, options.format)
-    attempts = folder + "-attempts"
-    store = Store(df.sparkSession, folder)
     plan = zstd_text.ZstdFiles(
-        folder=store.qualified(attempts),
+        folder=store.qualified(folder),
         header=header,
         suffix="." + options.file_name(0).split(".", 1)[1],
         level=options.zstd_level,
@@ -321,10 +346,7 @@ def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> int:
         max_bytes=options.target_file_bytes,
     )
     written = lines.mapInArrow(zstd_text.batch_writer(plan), zstd_text.WRITTEN_SCHEMA).collect()
-    store.mkdirs(folder)
-    pairs = [(f"{attempts}/{r.file_name}", f"{folder}/{r.file_name}") for r in written]
-    store.rename_all(pairs, options.io_concurrency)
-    return sum(r.row_count for r in written)
+    return {r.file_name: r.row_count for r in written}
 
 
 def _tidy(

@@ -50,7 +50,7 @@ def batch_writer(
     """A ``mapInArrow`` function that writes lines and returns what it wrote.
 
     Names are unique per attempt. The driver keeps the files that successful
-    tasks report; those of lost or repeated attempts go with the staging folder.
+    tasks report; those of lost or repeated attempts are deleted.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,11 +114,12 @@ class _CountedZstd:
         self._raw = filesystem.open_output_stream(path, compression=None)
         self._codec = pa.Codec("zstd", compression_level=plan.level)
         self._frame_bytes = plan.frame_bytes()
-        self._pending: list[bytes] = []
+        # Views of Arrow's buffers, which they keep alive.
+        self._pending: list[memoryview | bytes] = []
         self._pending_bytes = 0
 
     def write(self, data) -> None:
-        self._pending.append(bytes(data))
+        self._pending.append(data)
         self._pending_bytes += len(data)
         if self._pending_bytes >= self._frame_bytes:
             self._flush()

@@ -2,6 +2,7 @@
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import pytest
 from conftest import SMALL, same_rows
@@ -18,6 +19,7 @@ from tablelift.options import ExportOptions
 from tablelift.plans.job import run_job
 from tablelift.plans.tasks import one_table_tasks
 from tablelift.sources.catalog import LakeSource, frame_columns
+from tablelift.sources.readback import read_export
 from tablelift.storage import RENAMING_SCHEMES, Store, file_stats
 
 
@@ -42,6 +44,16 @@ def test_an_empty_append_in_place_keeps_earlier_files(spark, out, monkeypatch):
     assert first.rows == 10 and spark.read.parquet(out).count() == 15
 
 
+def test_zstd_text_is_written_in_place_where_renames_copy(spark, out, monkeypatch):
+    monkeypatch.setattr("tablelift.storage.RENAMING_SCHEMES", RENAMING_SCHEMES - {"file"})
+    options = ExportOptions(target=out, format="json", compression="zstd")
+    for mode, rows, wanted in (("overwrite", 30, 30), ("append", 5, 35), ("append", 0, 35), ("overwrite", 7, 7)):
+        done = export_frame(spark.range(rows), out, replace(options, mode=mode))
+        assert done.rows == rows
+        assert read_export(spark, out, "json", spark.range(1).schema).count() == wanted
+    assert done.files == file_stats(spark, out).count()
+
+
 def test_appends_are_numbered_after_the_highest(spark, out):
     options = ExportOptions(target=out, mode="append")
     for _ in range(3):
