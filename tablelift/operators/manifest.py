@@ -1,8 +1,9 @@
-"""The export manifest: an append-only Parquet log of what happened to each unit."""
+"""The export manifest: an append-only log of what happened to each unit."""
 
 from __future__ import annotations
 
 import itertools
+import json
 import time
 import uuid
 
@@ -104,7 +105,8 @@ def illegal_moves(records: DataFrame) -> DataFrame:
 class Manifest:
     """The log of one job, or with no job named, of all jobs in a folder.
 
-    Every append is a folder of its own, as appends may run at the same time.
+    Every append is a file of its own, as appends may run at the same time. Its few rows
+    are written by the driver that has them, as JSON lines; no job runs for them.
     """
 
     def __init__(self, spark: SparkSession, folder: str, job_id: str | None = None):
@@ -118,7 +120,7 @@ class Manifest:
             empty = small_frame(self.spark, [], RECORD_SCHEMA)
             return empty.withColumn("stable_id", stable_id())
         reader = self.spark.read.option("recursiveFileLookup", True)
-        logged = reader.schema(RECORD_SCHEMA).parquet(self.folder)
+        logged = reader.schema(RECORD_SCHEMA).json(self.folder)
         return logged.withColumn("stable_id", stable_id())
 
     def open_work(self, keys: list[dict]) -> list[dict]:
@@ -157,6 +159,7 @@ class Manifest:
     def append(self, rows: list[dict]) -> None:
         fields = [part.split()[0] for part in RECORD_SCHEMA.split(", ")]
         rows = [{**row, "seq": next(_ticks)} for row in rows]
-        values = [tuple(row.get(f) for f in fields) for row in rows]
-        frame = small_frame(self.spark, values, RECORD_SCHEMA)
-        frame.coalesce(1).write.parquet(f"{self.folder}/append-{uuid.uuid4().hex}")
+        lines = [json.dumps({f: row.get(f) for f in fields if row.get(f) is not None}) for row in rows]
+        if lines:
+            store = Store(self.spark, self.folder)
+            store.write_text(f"{self.folder}/append-{uuid.uuid4().hex}.json", "\n".join(lines) + "\n")

@@ -63,6 +63,18 @@ class Store:
         if not self._fs.rename(self._path(source), self._path(dest)):
             raise OSError(f"cannot rename {source} to {dest}")
 
+    def write_text(self, path: str, text: str) -> None:
+        """A small file, which readers see whole or not at all."""
+        folder, _, name = path.rpartition("/")
+        hidden = f"{folder}/_{name}" if self.can_rename else path
+        out = self._fs.create(self._path(hidden), False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        if hidden != path:
+            self.rename(hidden, path)
+
     def rename_all(self, pairs: list[tuple[str, str]], threads: int) -> None:
         with ThreadPoolExecutor(max_workers=threads) as pool:
             list(pool.map(lambda pair: self.rename(*pair), pairs))
