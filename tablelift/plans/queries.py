@@ -687,8 +687,11 @@ def _profiled(source: str, key: str, name: str, column: str, shares: dict, range
     return run
 
 
-# An order has fewer lines than this.
-LINE_KEY = "l_orderkey * 100 + l_linenumber"
+# Order and line number repeat in the given table, so a line's key is a hash of its columns.
+LINE_KEY = (
+    "xxhash64(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,"
+    " l_discount, l_tax, l_shipdate) & 9007199254740991"
+)
 
 GENERATED = {
     "gen_customers": _profiled(
