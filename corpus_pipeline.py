@@ -16,6 +16,9 @@ from tablelift.llm.queries import WORD_VOCABULARY, vocabulary
 from tablelift.llm.tables import written
 from tablelift.llm.toxicity import toxicity_of
 
+# Documents with this share of their five-word shingles in common, or more, are near copies.
+NEAR_PERCENT = 80
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity chain does not reject."""
@@ -31,7 +34,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id."""
-    copies = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+    copies = near_duplicates(docs, NEAR_PERCENT).where(~F.col("kept")).select("doc_id")
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

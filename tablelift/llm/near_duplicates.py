@@ -11,6 +11,7 @@ two components is missed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +23,21 @@ from tablelift.llm.sketches import band_keys, sketch_all
 from tablelift.llm.tables import written
 from tablelift.llm.words import mix, shingle_sets
 
-# 24 bands of 6 bins miss a pair of resemblance 0.85 once in 80,000 times.
-BANDS, ROWS = 24, 6
+# Bins of a band. 24 bands of 6 miss a pair of resemblance 0.85 once in 80,000 times.
+ROWS = 6
 PERCENT = 85
+# A pair just alike enough may be missed once in so many times.
+MISSED_ONCE_IN = 80_000
 # Rounds that hold each bucket's members against one of them, before all that is left.
 HUB_ROUNDS = 2
 
 
+def bands_for(percent: int, rows: int = ROWS) -> int:
+    """The fewest bands that miss a pair of this resemblance once in MISSED_ONCE_IN times or less."""
+    alike = (percent / 100) ** rows
+    return 1 if alike >= 1 else math.ceil(math.log(MISSED_ONCE_IN) / -math.log1p(-alike))
+
+
 def _class_hash(shingles: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set of hashes."""
     with np.errstate(over="ignore"):
@@ -37,7 +46,7 @@ def _class_hash(shingles: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def sketched(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def sketched(docs: DataFrame, bands: int, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, the class of the shingle set (two numbers) and its band keys."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()),
@@ -170,13 +179,14 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, hub_rounds: int = HUB_ROUNDS
+    docs: DataFrame, percent: int = PERCENT, bands: int | None = None, rows: int = ROWS, hub_rounds: int = HUB_ROUNDS
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``.
 
     Documents are linked if 100 times the size of the intersection of their sets of
     five-word shingles is ``percent`` times that of the union or more; component_id is the
     smallest doc_id reachable over links, and kept tells whether it is the document's own.
+    By default there are as many bands as ``bands_for`` the percentage.
 
     A text of one to four words has one shingle, all of them. Null texts and texts without
     words have none and are linked with nothing. Rows with a null doc_id are linked with
@@ -184,7 +194,7 @@ def near_duplicates(
     alike in every column; rows of one doc_id with different texts are linked each by its
     own text. An empty table gives an empty result; other columns are ignored.
     """
-    whole = written(sketched(docs, bands, rows), "sketches")
+    whole = written(sketched(docs, bands or bands_for(percent, rows), rows), "sketches")
     classes = written(
         whole.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("c1", "c2")
         .agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n")),

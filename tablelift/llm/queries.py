@@ -35,7 +35,7 @@ def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
