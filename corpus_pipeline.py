@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablelift.llm.line_dedup import line_dedup
 from tablelift.llm.mixing import in_mix_order
-from tablelift.llm.near_duplicates import near_duplicates
+from tablelift.llm.near_duplicates import one_of_each
 from tablelift.llm.packing import pack
 from tablelift.llm.queries import WORD_VOCABULARY, vocabulary
 from tablelift.llm.tables import written
@@ -33,9 +33,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest doc_id."""
-    copies = near_duplicates(docs, NEAR_PERCENT).where(~F.col("kept")).select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies, the one with the smallest doc_id."""
+    return one_of_each(docs, NEAR_PERCENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -256,3 +256,24 @@ def near_duplicates(
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
 
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without near copies: one row of each group, with its columns.
+
+    Groups are those of ``near_duplicates``, but of rows and not of ids: rows with a null
+    doc_id or with one that other rows have are grouped by their texts like all others. The
+    row with the smallest doc_id stays, a null one after all others. Rows without words are
+    in no group and all stay.
+    """
+    # Rows get keys, which must be the same each time they are read.
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), percent)
+    groups = found.where("NOT kept").select(F.col("component_id").alias("group")).distinct()
+    grouped = found.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
+    members = grouped.join(groups, "group").join(rows.select("__row", "doc_id"), "__row")
+    members = written(members, "group-rows")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
+    stay = members.groupBy("group").agg(F.min_by("__row", order).alias("__row")).select("__row")
+    copies = members.select("__row").join(stay, "__row", "left_anti")
+    return rows.join(copies, "__row", "left_anti").select(*docs.columns)
