@@ -3,24 +3,31 @@
 Each source is cut into blocks, and a source of weight ``w`` is given one slot for a block
 ``w`` of the time: block ``j`` is released at slot ``floor(j / w)`` and due by
 ``ceil((j + 1) / w)``. Released blocks run earliest deadline first, which keeps each source
-within one block of its weight at every slot. Weights are multiples of ``1 / PERIOD``, so
-the schedule repeats after PERIOD slots and one period's table, of bounded size whatever
-the data, places any number of blocks. When a source has no block left, the others go on
-with their weights scaled up, in a schedule that starts there.
+within one block of its weight at every slot. Release and due times come from the weights
+as exact fractions, so a source stays within that block however long the mix is. When a
+source has no block left, the others go on with their weights scaled up, in a schedule
+that starts there. The driver computes and holds one number for each block.
+
+With a period, weights are rounded to multiples of ``1 / period`` instead. The schedule
+then repeats, and one period's table places any number of blocks.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from array import array
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablelift.llm.tables import written
 from tablelift.session import small_frame
 
-# Weights are multiples of one in so many; no more sources can be mixed.
+# Slots of a period where none is given.
 PERIOD = 2000
+# Blocks whose slots make up one row of the schedule's table, and those of a table that is broadcast.
+ROW_BLOCKS, BROADCAST_BLOCKS = 1000, 4_000_000
 # Code points of a block.
 BLOCK_CHARS = 50_000
 # Rows of a source that are ranked together, on average.
@@ -29,17 +36,78 @@ BUCKET_ROWS = 5_000
 TEMPERATURE = 0.5
 
 
+def exact(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in the ratio of the weights, floats taken as they are written in decimals."""
+    if any(not w > 0 for w in weights.values()):
+        raise ValueError("weights must be above zero")
+    found = {s: Fraction(str(w)) for s, w in weights.items()}
+    scale = math.lcm(*(f.denominator for f in found.values()))
+    return {s: int(f * scale) for s, f in found.items()}
+
+
+def exact_slots(blocks: dict[str, int], weights: dict[str, float]) -> dict[str, array]:
+    """The slots of each source's blocks: released blocks, earliest deadline first.
+
+    Of blocks due at once the one of the heavier source goes first, then by name.
+    """
+    parts = exact({s: weights[s] for s, n in blocks.items() if n > 0})
+    names = sorted(parts, key=lambda s: (-parts[s], s))
+    part, left = [parts[s] for s in names], [blocks[s] for s in names]
+    slots = [array("q") for _ in names]
+    total, clock, alive = sum(part), 0, list(range(len(names)))
+    while total:
+        # In this order first blocks are due one after the other, so a phase looks at no
+        # more sources than it has slots.
+        if 2 * sum(1 for k in alive[:64] if not left[k]) >= len(alive[:64]):
+            alive = [k for k in alive if left[k]]
+        waiting: list[tuple] = []
+        ready: list[tuple] = []
+        done: dict[int, int] = {}
+        t, next_new, ended = 0, 0, None
+        while ended is None:
+            while waiting and waiting[0][0] <= t:
+                heapq.heappush(ready, heapq.heappop(waiting)[1:])
+            while next_new < len(alive) and not left[alive[next_new]]:
+                next_new += 1
+            if next_new < len(alive) and (not ready or (-(-total // part[alive[next_new]]), alive[next_new]) < ready[0]):
+                k, j = alive[next_new], 1
+                next_new += 1
+            else:
+                k = heapq.heappop(ready)[1]
+                j = done[k] + 1
+            slots[k].append(clock + t)
+            done[k] = j
+            left[k] -= 1
+            t += 1
+            if left[k]:
+                heapq.heappush(waiting, (j * total // part[k], -(-(j + 1) * total // part[k]), k))
+            else:
+                ended = k
+        clock += t
+        total -= part[ended]
+    return dict(zip(names, slots))
+
+
 def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Slots of a period for each source: by largest remainder, at least one each."""
+    """Slots of a period for each source: by largest remainder, one at least.
+
+    Sources with less than a slot get one, and the others share what is left.
+    """
     if len(weights) > period:
         raise ValueError(f"more than {period} sources; raise the period")
-    if any(not w > 0 for w in weights.values()):
-        raise ValueError("weights must be above zero")
-    total = math.fsum(weights.values())
-    exact = {s: w / total * (period - len(weights)) for s, w in weights.items()}
-    slots = {s: 1 + math.floor(x) for s, x in exact.items()}
+    parts, slots, left = exact(weights), {}, period
+    while True:
+        total = sum(parts.values())
+        few = [s for s, w in parts.items() if w * left < total]
+        if not few:
+            break
+        for s in few:
+            slots[s] = 1
+            del parts[s]
+        left -= len(few)
+    slots |= {s: w * left // total for s, w in parts.items()}
     rest = period - sum(slots.values())
-    for s in sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))[:rest]:
+    for s in sorted(parts, key=lambda s: (-(parts[s] * left % total), s))[:rest]:
         slots[s] += 1
     return slots
 
@@ -122,18 +190,37 @@ def ranked(docs: DataFrame, size: Column, block_size: int, bucket_rows: int, kee
     return placed, sums.groupBy("__source").agg(F.sum("total").alias("size"))
 
 
+def _looked_up(docs: DataFrame, placed: DataFrame, slots: dict[str, array]) -> DataFrame:
+    """The rows that ``_slotted`` returns, by a table of all blocks' slots."""
+    table = [
+        (s, first // ROW_BLOCKS, own[first : first + ROW_BLOCKS].tolist())
+        for s, own in slots.items() for first in range(0, len(own), ROW_BLOCKS)
+    ]
+    plan = small_frame(docs.sparkSession, table, "__from string, __part long, __slots array<long>")
+    if sum(map(len, slots.values())) <= BROADCAST_BLOCKS:
+        plan = F.broadcast(plan)
+    part = F.floor(F.col("__block") / F.lit(ROW_BLOCKS)).cast("long")
+    out = placed.join(plan, (F.col("__source") == F.col("__from")) & (part == F.col("__part")))
+    slot = F.get("__slots", (F.col("__block") % ROW_BLOCKS).cast("int"))
+    return out.select(*docs.columns, "__block", slot.alias("__slot"), "__start")
+
+
 def _slotted(
-    docs: DataFrame, weights: dict[str, float] | None, block_chars: int, temperature: float, period: int, bucket_rows: int
+    docs: DataFrame, weights: dict[str, float] | None, block_chars: int, temperature: float, period: int | None,
+    bucket_rows: int,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with __block, __slot and __start."""
     placed, sizes = ranked(docs, F.col("n_chars"), block_chars, bucket_rows, docs.columns)
-    found = {r["__source"]: r["size"] for r in sizes.limit(period + 1).collect()}
+    found = {r["__source"]: r["size"] for r in sizes.collect()}
     if weights is None:
         weights = {s: size**temperature for s, size in found.items()}
     missing = set(found) - set(weights)
     if missing:
         raise ValueError(f"no weight for sources {sorted(missing)}")
-    table = phases({s: -(-size // block_chars) for s, size in found.items()}, weights, period)
+    blocks = {s: -(-size // block_chars) for s, size in found.items()}
+    if period is None:
+        return _looked_up(docs, placed, exact_slots(blocks, weights))
+    table = phases(blocks, weights, period)
     names = [f"__{n}" for n in ("from", "first", "stop", "clock", "slots", "rank", "place")]
     plan = small_frame(docs.sparkSession, table, ", ".join(f"{n} {'long' if i else 'string'}" for i, n in enumerate(names)))
     # Both are of the sources' number and the period alone: a row of a phase for each source
@@ -158,13 +245,14 @@ def mix(
     weights: dict[str, float] | None = None,
     block_chars: int = BLOCK_CHARS,
     temperature: float = TEMPERATURE,
-    period: int = PERIOD,
+    period: int | None = None,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """All rows and columns of ``docs`` with source_block, slot and position in the mix.
 
     ``weights`` gives each source's share of the mix, '' that of a null source; by default
-    it follows the source's code points to the power ``temperature``. Blocks hold
+    it follows the source's code points to the power ``temperature``. Weights are held
+    exactly, or in multiples of ``1 / period`` if a period is given. Blocks hold
     ``block_chars`` of a source's code points by n_chars; a row lies in the block in which
     it starts, so a longer row leaves the slots of the blocks it covers to no other row.
     Slots give the order of blocks; ``position`` orders rows within a block's slot.
@@ -181,7 +269,7 @@ def mix(
 
 def in_mix_order(
     docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS,
-    temperature: float = TEMPERATURE, period: int = PERIOD, bucket_rows: int = BUCKET_ROWS,
+    temperature: float = TEMPERATURE, period: int | None = None, bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """The rows of ``docs`` sorted as ``mix`` orders them, with the columns they had."""
     out = _slotted(docs, weights, block_chars, temperature, period, bucket_rows)
