@@ -28,8 +28,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the later copies of runs of lines."""
-    return line_dedup(docs).select(*docs.columns)
+    """All documents, without the later copies of runs of lines, to the last line that agrees."""
+    return line_dedup(docs, to_the_end=True).select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
