@@ -38,13 +38,18 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix, which the rows of the written table keep."""
+    """All documents, sorted in the order of the mix."""
     return in_mix_order(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of tokenized documents with their places in the training sequences."""
-    return pack(docs, vocabulary(WORD_VOCABULARY))
+    """Pieces of tokenized documents with their places in the training sequences.
+
+    Files are not read in the order they were written in, so the order of the mix, which
+    depends on the documents alone, is made again. Each task then packs a range of slots,
+    and sequences are numbered by task.
+    """
+    return pack(in_mix_order(docs), vocabulary(WORD_VOCABULARY))
 
 
 STAGES = [

@@ -2,9 +2,11 @@ import random
 
 import pytest
 
+from tablelift.llm.mixing import mix
 from tablelift.llm.near_duplicates import bands_for
+from tablelift.llm.packing import TASK_SPAN
 
-from .conftest import SCHEMA, frame
+from .conftest import SCHEMA, frame, path_of
 from .test_near_duplicates import shingles
 
 pipeline = pytest.importorskip("corpus_pipeline")
@@ -59,3 +61,26 @@ def test_one_row_of_each_group_stays(spark):
 
 def set_aside(rows, some):
     return [row for row in rows if row not in some]
+
+
+def test_sequences_follow_the_mix_over_several_files(spark, tmp_path):
+    path_of(pipeline.WORD_VOCABULARY)
+    rng = random.Random(9)
+    texts = [f"word{i} " * rng.randrange(200, 1500) for i in range(240)]
+    docs = frame(spark, texts, source=[rng.choice("aaab") for _ in texts])
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pipeline.mixed(spark, docs, "").write.parquet(str(tmp_path / "mixed"))
+        read = spark.read.parquet(str(tmp_path / "mixed"))
+        assert len(read.inputFiles()) > 1
+        pieces = pipeline.packed(spark, read, "").select("doc_id", "sequence_id").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    place = {r.doc_id: (r.slot, r.position) for r in mix(docs).collect()}
+    tasks = {}
+    for r in pieces:
+        tasks.setdefault(r.sequence_id // TASK_SPAN, set()).add(place[r.doc_id])
+    assert set().union(*tasks.values()) == set(place.values()) and len(tasks) > 1
+    spans = [tasks[k] for k in sorted(tasks)]
+    assert all(max(a) < min(b) for a, b in zip(spans, spans[1:]))
