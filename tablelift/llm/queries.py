@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tablelift.llm.byte_bpe import byte_bpe
 from tablelift.llm.fingerprints import edited_fingerprints
 from tablelift.llm.language import language
 from tablelift.llm.line_dedup import line_dedup
@@ -18,6 +19,7 @@ from tablelift.llm.toxicity import toxicity
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,11 +84,21 @@ def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), id_part(5) == 1, vocabulary(PIECE_VOCABULARY))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe(table(spark, sf_dir, "documents"), vocabulary(BYTE_RANKS))
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 NAMED = (
     op1_pfair_mixing, op2_minhash_near_duplicates, op3_quality_rules,
     op4_kneser_ney_quality, op5_harmonic_packing,
     op6_language_crf, op7_toxicity_chain,
     op8_bottom_k_fingerprints, op9_line_dedup, op10_lattice_scores,
+    op13_byte_bpe,
 )
 
 

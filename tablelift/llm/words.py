@@ -21,6 +21,8 @@ WORD_BYTES = ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 LETTER_BYTES = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 CAPITAL_BYTES = np.isin(np.arange(256), np.arange(65, 91))
 _LETTER = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+# The numbers bytes are hashed by: as they are, and with A to Z in lower case.
+EXACT_BYTES = _LETTER.copy()
 _LETTER[65:91] = _LETTER[97:123]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -78,10 +80,12 @@ def word_spans(
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, numbers: np.ndarray = _LETTER
+) -> np.ndarray:
     """A 64-bit hash of each word's bytes: a polynomial, read off running sums, then mixed."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_LETTER[data] * _POWERS.upto(len(data)), out=sums[1:])
+    np.cumsum(numbers[data] * _POWERS.upto(len(data)), out=sums[1:])
     words = (sums[ends] - sums[starts]) * _INVERSES.upto(len(data) + 1)[starts]
     return mix(words + (ends - starts).astype(np.uint64) * _STEPS[8])
 
