@@ -140,7 +140,49 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM measured
 """
 
+
+
+def _vector_codes(rounds: int = 6) -> str:
+    """Assigning and averaging, round by round: book_r follows from near_r and book_(r - 1)."""
+    nearest = """near{r} AS MATERIALIZED (
+    SELECT vec_id, p, min(16 * list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) + e) AS key
+    FROM part JOIN book{r} USING (p) GROUP BY vec_id, p
+)"""
+    moved = """mean{r} AS (
+    SELECT p, e, list(CAST(floor(total / n) AS BIGINT) ORDER BY i) AS c FROM (
+        SELECT p, CAST(key % 16 AS BIGINT) AS e, i, sum(x[i]) AS total, count(*) AS n
+        FROM near{r} JOIN part USING (vec_id, p), range(1, (SELECT w FROM width) + 1) AS place(i) GROUP BY ALL
+    ) GROUP BY p, e
+), book{next} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m ON m.p = b.p AND m.e = b.e
+)"""
+    steps = ",\n".join(f"{nearest.format(r=r)}, {moved.format(r=r, next=r + 1)}" for r in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+), width AS (
+    SELECT max(len(v)) // 8 AS w FROM kept
+), part AS MATERIALIZED (
+    SELECT vec_id, p, v[p * w + 1 : (p + 1) * w] AS x FROM kept, width, range(8) AS part(p)
+), seed AS (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 16
+), book0 AS MATERIALIZED (
+    SELECT p, e, x AS c FROM part JOIN seed USING (vec_id)
+), {steps}, {nearest.format(r=rounds)}, coded AS (
+    SELECT vec_id, string_agg(printf('%02x', CAST(key % 16 AS BIGINT)), '' ORDER BY p) AS code,
+        CAST(sum(key // 16) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY vec_id
+), spelled AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), spelled
+"""
+
+
 ORACLES = {
+    "op12_anchor_tree_codes": _vector_codes(),
     "op2_minhash_near_duplicates": NEAR_DUPLICATES,
     "op3_quality_rules": QUALITY_RULES,
     "op9_line_dedup": LINE_DEDUP,

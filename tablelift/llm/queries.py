@@ -16,6 +16,7 @@ from tablelift.llm.packing import pack
 from tablelift.llm.quality_model import quality_model
 from tablelift.llm.quality_rules import quality_rules
 from tablelift.llm.toxicity import toxicity
+from tablelift.llm.vector_codes import codebooks_sha256, vector_codes
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
@@ -84,6 +85,11 @@ def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), id_part(5) == 1, vocabulary(PIECE_VOCABULARY))
 
 
+def op12_anchor_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = byte_bpe(table(spark, sf_dir, "documents"), vocabulary(BYTE_RANKS))
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -98,7 +104,7 @@ NAMED = (
     op4_kneser_ney_quality, op5_harmonic_packing,
     op6_language_crf, op7_toxicity_chain,
     op8_bottom_k_fingerprints, op9_line_dedup, op10_lattice_scores,
-    op13_byte_bpe,
+    op12_anchor_tree_codes, op13_byte_bpe,
 )
 
 
