@@ -141,6 +141,85 @@ FROM measured
 """
 
 
+# CRC-32 of ``key``, byte by byte and bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+    [4294967295] || list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+# v[state + 1] is the cost to the end; states: nothing, after system, user, assistant.
+REPAIR = rf"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') AS conv,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+    FROM conversations
+), hit AS (
+    SELECT *, {CRC32} % 20 AS fault FROM keyed
+), damaged AS (
+    SELECT conv, turn, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy,
+        CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hit
+), ordered AS (
+    SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) AS times,
+        role[1] AS r, lag(role[1]) OVER w AS r_before,
+        right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS closing
+    FROM damaged WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy)
+), told AS MATERIALIZED (
+    SELECT *, CASE WHEN closing = '' THEN 'blank' WHEN times > 1 THEN 'duplicate'
+        WHEN closing NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+    FROM ordered
+), turns AS MATERIALIZED (
+    SELECT conv, i, r, role, text, fault NOT IN ('blank', 'duplicate') AS ok, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS x
+    FROM told
+), counted AS (
+    SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (i > 1 AND r_before || r NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+    FROM told GROUP BY conv
+), back AS (
+    SELECT conv, n + 1 AS i, [0, 10, 5, 0] AS v FROM counted
+    UNION ALL
+    SELECT conv, i, [least(b0, 5 + b2, 10 + b3), least(b1, 5 + b2, 10 + b3), least(b2, 5 + b3), least(b3, 5 + b2)] AS v
+    FROM (
+        SELECT conv, turns.i,
+            least(2 + v[1], CASE WHEN ok AND r = 's' THEN x + v[2] WHEN ok AND r = 'u' THEN x + v[3] WHEN ok THEN 1 + x + v[3] END,
+                CASE WHEN ok THEN 1 + x + v[3] END) AS b0,
+            least(2 + v[2], CASE WHEN ok AND r = 'u' THEN x + v[3] WHEN ok THEN 1 + x + v[3] END) AS b1,
+            least(2 + v[3], CASE WHEN ok AND r = 'a' THEN x + v[4] WHEN ok THEN 1 + x + v[4] END) AS b2,
+            least(2 + v[4], CASE WHEN ok AND r = 'u' THEN x + v[3] WHEN ok THEN 1 + x + v[3] END) AS b3
+        FROM back JOIN turns USING (conv) WHERE turns.i = back.i - 1
+    )
+), costs AS MATERIALIZED (
+    SELECT b.conv, b.i, b.v, a.v AS after, r, role, text, ok, x
+    FROM back b LEFT JOIN back a ON a.conv = b.conv AND a.i = b.i + 1 LEFT JOIN turns t ON t.conv = b.conv AND t.i = b.i
+), walk AS (
+    SELECT conv, 1 AS i, 0 AS state, '' AS audit, CAST([] AS VARCHAR[]) AS said, n + 1 AS stop, false AS done FROM counted
+    UNION ALL
+    SELECT conv, CASE edit WHEN 'I' THEN i WHEN '' THEN i ELSE i + 1 END,
+        CASE edit WHEN 'D' THEN state WHEN '' THEN state WHEN 'K' THEN keeps ELSE fits END, audit || edit,
+        CASE edit WHEN 'D' THEN said WHEN '' THEN said WHEN 'K' THEN said || [role || ':' || text]
+            ELSE said || [CASE fits WHEN 3 THEN 'assistant:' ELSE 'user:' END || CASE edit WHEN 'I' THEN '' ELSE text END] END,
+        stop, edit = ''
+    FROM (
+        SELECT *, CASE WHEN i = stop AND v[state + 1] = 0 THEN '' WHEN v[state + 1] = 2 + after[state + 1] THEN 'D'
+            WHEN v[state + 1] = 5 + v[fits + 1] THEN 'I' WHEN ok AND v[state + 1] = x + after[keeps + 1] THEN 'K' ELSE 'R' END AS edit
+        FROM (
+            SELECT w.*, v, after, role, text, ok, x, CASE state WHEN 2 THEN 3 ELSE 2 END AS fits,
+                CASE WHEN state = 0 AND r = 's' THEN 1 WHEN state <> 2 AND r = 'u' THEN 2 WHEN state = 2 AND r = 'a' THEN 3 END AS keeps
+            FROM walk w JOIN costs c ON c.conv = w.conv AND c.i = w.i WHERE NOT done
+        )
+    )
+)
+SELECT every.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(v[1], 0) AS BIGINT) AS cost,
+    coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM keyed) every LEFT JOIN counted USING (conv)
+    LEFT JOIN (SELECT * FROM walk WHERE done) finished USING (conv)
+    LEFT JOIN (SELECT conv, v FROM back WHERE i = 1) first_costs USING (conv)
+"""
+
 
 def _vector_codes(rounds: int = 6) -> str:
     """Assigning and averaging, round by round: book_r follows from near_r and book_(r - 1)."""
@@ -182,6 +261,7 @@ FROM coded JOIN kept USING (vec_id), spelled
 
 
 ORACLES = {
+    "op11_checkpointed_repair": REPAIR,
     "op12_anchor_tree_codes": _vector_codes(),
     "op2_minhash_near_duplicates": NEAR_DUPLICATES,
     "op3_quality_rules": QUALITY_RULES,

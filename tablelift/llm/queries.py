@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablelift.llm.byte_bpe import byte_bpe
+from tablelift.llm.conversations import damaged, repair_conversations, repaired_digests
 from tablelift.llm.fingerprints import edited_fingerprints
 from tablelift.llm.language import language
 from tablelift.llm.line_dedup import line_dedup
@@ -85,6 +86,10 @@ def op10_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), id_part(5) == 1, vocabulary(PIECE_VOCABULARY))
 
 
+def op11_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_digests(repair_conversations(damaged(table(spark, sf_dir, "conversations"))))
+
+
 def op12_anchor_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes(table(spark, sf_dir, "embeddings"))
     return coded.select("vec_id", "code", "error", "label_error", F.lit(codebooks_sha256(books)).alias("codebooks_sha256"))
@@ -104,7 +109,7 @@ NAMED = (
     op4_kneser_ney_quality, op5_harmonic_packing,
     op6_language_crf, op7_toxicity_chain,
     op8_bottom_k_fingerprints, op9_line_dedup, op10_lattice_scores,
-    op12_anchor_tree_codes, op13_byte_bpe,
+    op11_checkpointed_repair, op12_anchor_tree_codes, op13_byte_bpe,
 )
 
 
