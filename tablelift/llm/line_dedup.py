@@ -36,7 +36,7 @@ def numbered_lines(docs: DataFrame) -> DataFrame:
     ).where("words > 0")
 
 
-def windows(lines: DataFrame, least_words: int, to_the_end: bool = False) -> DataFrame:
+def windows(lines: DataFrame, least_words: int, to_the_end: bool = True) -> DataFrame:
     """doc_id, body, pos, last, mark, mark_pos, content: the windows of ``least_words`` words.
 
     ``mark`` is the least line hash of the window, first found at ``mark_pos``, and
@@ -82,7 +82,7 @@ def windows(lines: DataFrame, least_words: int, to_the_end: bool = False) -> Dat
     return found.union(back.where(own).select(*columns)).union(pairs.where(parted).select(*columns))
 
 
-def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end: bool = False) -> DataFrame:
+def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end: bool = True) -> DataFrame:
     """doc_id, body, gone: positions of the lines of later repeated runs, by text."""
     all_windows = written(windows(numbered_lines(docs), least_words, to_the_end), "windows")
     # Fingerprints with more than one place; windows that share one place see the same.
@@ -102,7 +102,7 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end:
     )
 
 
-def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end: bool = True) -> DataFrame:
     """All rows and columns of ``docs`` with later repeated runs of lines taken out of text.
 
     A run is one line or more, of ``least_words`` words or more in all; lines without a word

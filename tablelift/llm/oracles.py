@@ -46,14 +46,25 @@ WITH split AS (
     SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) - words AS ahead,
         sum(words) OVER (PARTITION BY doc_id) AS whole
     FROM worded
-), windows AS (
-    SELECT doc_id, pos, whole - ahead AS rest, max(pos) OVER w AS last, list(line) OVER w AS content
+), reached AS (
+    SELECT doc_id, pos, whole - ahead AS rest, ahead + words AS upto, words,
+        max(pos) OVER forth AS last, list(line) OVER forth AS forth_lines,
+        min(pos) OVER back AS first, list(line) OVER back AS back_lines,
+        lag(pos) OVER seq AS pos_before, lag(words) OVER seq AS words_before, lag(line) OVER seq AS line_before, line
     FROM counted
-    WINDOW w AS (PARTITION BY doc_id ORDER BY ahead RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+    WINDOW forth AS (PARTITION BY doc_id ORDER BY ahead RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING),
+        back AS (PARTITION BY doc_id ORDER BY ahead + words RANGE BETWEEN 49 PRECEDING AND CURRENT ROW),
+        seq AS (PARTITION BY doc_id ORDER BY pos)
+), windows AS (
+    -- A run of 50 words or more is covered by the least runs from its lines on, and up to
+    -- them; two lines of 50 words each also take the lines without words in between along.
+    SELECT doc_id, pos, last, forth_lines AS content FROM reached WHERE rest >= 50
+    UNION SELECT doc_id, first, pos, back_lines FROM reached WHERE upto >= 50
+    UNION SELECT doc_id, pos_before, pos, [line_before, line] FROM reached WHERE words >= 50 AND words_before >= 50
 ), placed AS (
     SELECT doc_id, pos, last,
         first_value(doc_id) OVER f AS first_doc, first_value(last) OVER f AS first_last
-    FROM windows WHERE rest >= 50
+    FROM windows
     WINDOW f AS (PARTITION BY content ORDER BY doc_id, pos)
 ), gone AS (
     SELECT doc_id, list(DISTINCT p) AS gone FROM (

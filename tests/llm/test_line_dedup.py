@@ -11,21 +11,19 @@ def words_of(line):
 
 
 def brute_force(texts, least):
-    """Deletes every window of lines whose content stood earlier, as the operator says."""
+    """Deletes every run of lines, of any length, whose content stood earlier."""
     seen, gone = {}, {i: set() for i in range(len(texts))}
     for i, text in enumerate(texts):
         lines = [(p, line) for p, line in enumerate((text or "").split("\n")) if words_of(line)]
         for a in range(len(lines)):
-            total, b = 0, a
-            while b < len(lines) and total < least:
+            total = 0
+            for b in range(a, len(lines)):
                 total += words_of(lines[b][1])
-                b += 1
-            if total < least:
-                break
-            content = tuple(line for _, line in lines[a:b])
-            first = seen.setdefault(content, (i, lines[b - 1][0]))
-            if first[0] != i or lines[a][0] > first[1]:
-                gone[i] |= set(range(lines[a][0], lines[b - 1][0] + 1))
+                if total < least:
+                    continue
+                first = seen.setdefault(tuple(line for _, line in lines[a : b + 1]), (i, lines[b][0]))
+                if first[0] != i or lines[a][0] > first[1]:
+                    gone[i] |= set(range(lines[a][0], lines[b][0] + 1))
     return {
         i: None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[i])
         for i, t in enumerate(texts)

@@ -3,27 +3,7 @@ import random
 from tablelift.llm.line_dedup import line_dedup
 
 from .conftest import frame
-from .test_line_dedup import words_of
-
-
-def brute_force(texts, least):
-    """Deletes every run of lines, of any length, whose content stood earlier."""
-    seen, gone = {}, {i: set() for i in range(len(texts))}
-    for i, text in enumerate(texts):
-        lines = [(p, line) for p, line in enumerate((text or "").split("\n")) if words_of(line)]
-        for a in range(len(lines)):
-            total = 0
-            for b in range(a, len(lines)):
-                total += words_of(lines[b][1])
-                if total < least:
-                    continue
-                first = seen.setdefault(tuple(line for _, line in lines[a : b + 1]), (i, lines[b][0]))
-                if first[0] != i or lines[a][0] > first[1]:
-                    gone[i] |= set(range(lines[a][0], lines[b][0] + 1))
-    return {
-        i: None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[i])
-        for i, t in enumerate(texts)
-    }
+from .test_line_dedup import brute_force
 
 
 def numbered(name, n):
@@ -33,7 +13,7 @@ def numbered(name, n):
 def test_the_end_of_a_run_goes_too(spark):
     run = [numbered("long", 60), *(numbered(f"s{k}x", 10) for k in range(4))]
     texts = ["\n".join([numbered(f"a{i}x", 9), *run, "", numbered(f"z{i}x", 9)]) for i in range(3)]
-    rows = {r.doc_id: r for r in line_dedup(frame(spark, texts), to_the_end=True).collect()}
+    rows = {r.doc_id: r for r in line_dedup(frame(spark, texts)).collect()}
     assert rows[0].text == texts[0]
     for i in (1, 2):
         assert rows[i].text.split("\n") == [numbered(f"a{i}x", 9), "", numbered(f"z{i}x", 9)]
@@ -50,10 +30,8 @@ def test_whole_runs_match_brute_force(spark):
         at = rng.randrange(len(lines))
         texts.append("\n".join(lines[:at] + (passage if rng.random() < 0.5 else []) + lines[at:]))
     texts += [texts[5]] * 3
-    found = {r.doc_id: r.text for r in line_dedup(frame(spark, texts), least_words=20, to_the_end=True).collect()}
+    found = {r.doc_id: r.text for r in line_dedup(frame(spark, texts), least_words=20).collect()}
     assert found == brute_force(texts, 20)
-    shorter = {r.doc_id: r.text for r in line_dedup(frame(spark, texts), least_words=20).collect()}
-    assert shorter != found
 
 
 def test_the_pipeline_takes_whole_runs(spark):
