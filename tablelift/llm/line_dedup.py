@@ -7,8 +7,8 @@ fingerprint that occurs in more than one place are looked at again: their conten
 matched, and the first place of each content is found. A match of many lines is a chain
 of overlapping windows, which starts where the texts begin to agree and ends with the last
 line from which they agree for a whole window. Lines after that window are matched by the
-windows that reach back from a line, if asked for: with them all of a run is taken. Later
-places are deleted, the first one stays.
+windows that reach back from a line: with them all of a run is taken. Later places are
+deleted, the first one stays.
 """
 
 from __future__ import annotations
@@ -36,13 +36,13 @@ def numbered_lines(docs: DataFrame) -> DataFrame:
     ).where("words > 0")
 
 
-def windows(lines: DataFrame, least_words: int, to_the_end: bool = True) -> DataFrame:
+def windows(lines: DataFrame, least_words: int) -> DataFrame:
     """doc_id, body, pos, last, mark, mark_pos, content: the windows of ``least_words`` words.
 
     ``mark`` is the least line hash of the window, first found at ``mark_pos``, and
-    ``content`` a hash of all of it. With ``to_the_end`` there are also the windows that
-    reach back from a line, but for those that are windows of their first line too, and
-    what else it takes to leave no gap in a run.
+    ``content`` a hash of all of it. There are also the windows that reach back from a
+    line, but for those that are windows of their first line too, and what else it takes
+    to leave no gap in a run.
     """
     doc = W.partitionBy("doc_id", "body")
     # Words before a line: the window of a line is a range of them.
@@ -66,8 +66,6 @@ def windows(lines: DataFrame, least_words: int, to_the_end: bool = True) -> Data
     ]
     ahead = counted.select("doc_id", "body", "whole", "before", *over(doc.orderBy("before").rangeBetween(0, least_words - 1)))
     found = ahead.where(F.col("whole") - F.col("before") >= least_words).select(*columns)
-    if not to_the_end:
-        return found
     # Words up to the end of a line, and without it, bound the window that reaches back.
     counted = counted.withColumn("upto", F.col("before") + F.col("words"))
     back = counted.select(
@@ -82,9 +80,9 @@ def windows(lines: DataFrame, least_words: int, to_the_end: bool = True) -> Data
     return found.union(back.where(own).select(*columns)).union(pairs.where(parted).select(*columns))
 
 
-def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end: bool = True) -> DataFrame:
+def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, body, gone: positions of the lines of later repeated runs, by text."""
-    all_windows = written(windows(numbered_lines(docs), least_words, to_the_end), "windows")
+    all_windows = written(windows(numbered_lines(docs), least_words), "windows")
     # Fingerprints with more than one place; windows that share one place see the same.
     place = F.struct("doc_id", "body", "mark_pos")
     marks = all_windows.groupBy("mark").agg(F.min(place).alias("one"), F.max(place).alias("other"))
@@ -102,15 +100,13 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end:
     )
 
 
-def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end: bool = True) -> DataFrame:
+def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` with later repeated runs of lines taken out of text.
 
     A run is one line or more, of ``least_words`` words or more in all; lines without a word
     neither count nor part a run. Its first place by (doc_id, position) stays, a null
     doc_id before all others. A run that repeats within a text without a gap keeps its
-    first copy whole. Without ``to_the_end``, lines at the end of a later place that hold
-    fewer than ``least_words`` words after the last whole window stay as well, as in op9's
-    SQL; with it every line of the place goes. A column n_chars gets the new length. A column n_lines_removed is
+    first copy whole. A column n_chars gets the new length. A column n_lines_removed is
     added, or replaced.
 
     Null texts stay null, empty ones empty; a text whose lines all go is empty. Rows with
@@ -118,7 +114,7 @@ def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS, to_the_end: bool
     doc_id and different texts are texts of their own, in the order of a hash. An empty
     table gives an empty result.
     """
-    gone = repeated_lines(docs, least_words, to_the_end).select(
+    gone = repeated_lines(docs, least_words).select(
         F.col("doc_id").alias("__doc_id"), F.col("body").alias("__body"), F.col("gone").alias("__gone")
     )
     joined = docs.join(
