@@ -191,6 +191,11 @@ class ByteBPE:
         self.bytes = np.zeros(self.bounds[-1], np.uint8)
         for token, rank in self.ranks.items():
             self.bytes[self.bounds[rank] : self.bounds[rank + 1]] = np.frombuffer(token, np.uint8)
+        self.kinds = None
+        self._forget()
+
+    def _prepare(self) -> None:
+        """What encoding needs and decoding does not."""
         used = np.flatnonzero(self.sizes)
         keys = word_hashes(self.bytes, self.bounds[used], self.bounds[used + 1], EXACT_BYTES)
         if len(np.unique(keys)) < len(keys):
@@ -199,7 +204,6 @@ class ByteBPE:
         self.token_at = np.zeros(len(used), np.int64)
         self.token_at[self.hash.places(keys)] = used
         self.kinds = character_kinds()
-        self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
@@ -234,6 +238,8 @@ class ByteBPE:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids before each text and in all) of texts laid end to end."""
+        if self.kinds is None:
+            self._prepare()
         starts, ends, before = pre_tokens(data, offsets, self.kinds)
         whole = self._whole(data, starts, ends)
         if len(self.pool_bounds) > KNOWN_WORDS:
