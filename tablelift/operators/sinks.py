@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -20,9 +22,16 @@ from tablelift.operators.layout import (
     spread_slices,
 )
 from tablelift.functions.names import file_template, slice_target
-from tablelift.operators.slices import SLICE_COLUMN, Slice, count_slices, with_slice_number
+from tablelift.operators.slices import (
+    COVER_COLUMN,
+    SLICE_COLUMN,
+    Slice,
+    count_slices,
+    cover_code,
+    with_slice_number,
+)
 from tablelift.operators.textform import read_options, text_lines, text_options, to_text
-from tablelift.operators import zstd_text
+from tablelift.operators import pointer, zstd_text
 from tablelift.options import ExportOptions
 from tablelift.session import fresh_dir
 from tablelift.sources.readback import read_export
@@ -45,6 +54,19 @@ class Published:
     rows: int
     bytes: int
     files: int
+    # Where slices are held against each other: rows that no earlier slice keeps, those of
+    # them that a later one keeps too, and, where it was counted, all rows of the source.
+    rows_first: int | None = None
+    rows_several: int | None = None
+    rows_of_source: int | None = None
+
+
+class Counted(NamedTuple):
+    """Rows that were written, counted right below the write."""
+
+    rows: int
+    first: int | None = None
+    several: int | None = None
 
 
 def export_frame(
@@ -64,23 +86,18 @@ def export_frame(
     store = Store(spark, target)
     _refuse_existing(store, target, options)
     cap = rows_per_file(table, options)
-    if _is_zstd_text(options):
-        # Its files are cut as they are written, so there is nothing to fill.
-        if not store.can_rename:
-            return _zstd_in_place(df, store, target, options)
-    else:
+    # zstd files are cut as they are written, so there is nothing to fill.
+    if not _is_zstd_text(options):
         df = fill_files(df, table, cap, options)
+    if _in_place(store, options):
+        return _write_in_place(df, store, target, options, cap)
     with _Staging(store, target) as staging:
         if _is_zstd_text(options):
-            rows = _stage_zstd(df, staging.data, options)
-        elif not store.can_rename:
-            before = store.files(target) if options.mode == "append" else None
-            rows = _stage(df, target, options, cap, [None])[0]
-            return _written_in_place(store, "single", target, rows, before)
+            counted = _stage_zstd(df, staging.data, options)
         else:
-            rows = _stage(df, staging.data, options, cap, [None])[0]
-            _tidy(spark, store, staging.data, options, cap or rows, df.schema)
-        return publish(store, staging.data, "single", target, rows, options)
+            counted = _stage(df, staging.data, options, cap, [None])[0]
+            _tidy(spark, store, staging.data, options, cap or counted.rows, df.drop(COVER_COLUMN).schema)
+        return _covered(publish(store, staging.data, "single", target, counted.rows, options), counted)
 
 
 def export_slices(
@@ -90,39 +107,45 @@ def export_slices(
     options: ExportOptions,
     table: DataFrame | None = None,
     numbered: DataFrame | None = None,
+    whole: list[Slice] | None = None,
 ) -> list[Published]:
     """Write several slices of ``df``, each to its own folder, from one scan.
 
     ``numbered`` gives the rows with their slice number where the source reads
-    by slices already.
+    by slices already. ``whole`` are all slices of the table: with them the write counts
+    how they cover its rows.
     """
     options = options.checked()
     spark = df.sparkSession
     target, options = _named(target, options)
     target = hadoop_uri(target, options.azure_account)
     store = Store(spark, target)
-    if len(slices) == 1 or _is_zstd_text(options) or not store.can_rename:
+    if len(slices) == 1 or _is_zstd_text(options) or _in_place(store, options):
         done = []
         for s in slices:
             part = df if s.predicate is None else df.where(s.predicate)
+            if whole is not None:
+                part = part.withColumn(COVER_COLUMN, cover_code(whole, whole.index(s)))
             out = export_frame(part, slice_target(target, s.id), options, table)
-            done.append(Published(s.id, out.target, out.rows, out.bytes, out.files))
+            done.append(replace(out, slice_id=s.id))
         return done
     targets = [slice_target(target, s.id) for s in slices]
     for folder in targets:
         _refuse_existing(store, folder, options)
     cap = rows_per_file(table, options)
+    total = None
     if numbered is None:
-        counts, disjoint = count_slices(df, slices)
-        numbered = with_slice_number(df, slices, disjoint)
+        counts, disjoint, total = count_slices(df, slices)
+        numbered = with_slice_number(df, slices, disjoint, whole)
         numbered = spread_slices(numbered, counts, cap or max(counts, default=1))
     done = []
     with _Staging(store, targets[0]) as staging:
-        rows = _stage(numbered, staging.data, options, cap, list(range(len(slices))))
+        counted = _stage(numbered, staging.data, options, cap, list(range(len(slices))))
         for i, s in enumerate(slices):
             folder = f"{staging.data}/{SLICE_COLUMN}={i}"
-            _tidy(spark, store, folder, options, cap or rows[i], df.schema)
-            done.append(publish(store, folder, s.id, targets[i], rows[i], options))
+            _tidy(spark, store, folder, options, cap or counted[i].rows, df.schema)
+            out = publish(store, folder, s.id, targets[i], counted[i].rows, options)
+            done.append(replace(_covered(out, counted[i]), rows_of_source=total))
     return done
 
 
@@ -240,7 +263,7 @@ class _Staging:
 
 
 def _refuse_existing(store: Store, target: str, options: ExportOptions) -> None:
-    if options.mode == "errorifexists" and store.files(target):
+    if options.mode == "errorifexists" and (store.files(target) and pointer.current(store, target) != []):
         raise FileExistsError(f"target {target} already has files")
 
 
@@ -248,42 +271,85 @@ def _is_zstd_text(options: ExportOptions) -> bool:
     return options.format != "parquet" and options.compression == "zstd"
 
 
-def _written_in_place(
-    store: Store, slice_id: str, target: str, rows: int, before: dict[str, int] | None = None
-) -> Published:
-    """What a write below the target itself put out; ``before`` has the files of an append."""
-    if not rows:
-        if before is None:
-            store.delete(target)
+def _in_place(store: Store, options: ExportOptions) -> bool:
+    """Files are written below the target itself, and none is moved."""
+    return not store.can_rename if options.in_place is None else options.in_place
+
+
+def _write_in_place(df: DataFrame, store: Store, target: str, options: ExportOptions, cap: int | None) -> Published:
+    """Write below the target itself, beside what is there, and then move its pointer.
+
+    Names are unique. If the write fails the pointer stays, and so do the files it lists;
+    files that it does not list, of this write or of one whose driver died, are not read
+    and go with the next one. Two writes to one target must not run at the same time.
+    """
+    target = target.rstrip("/")
+    before = pointer.settle(store, target)
+    there = store.files(target)
+    try:
+        if _is_zstd_text(options):
+            names, counted = _write_zstd(df, store, target, options)
+            new = set(names)
         else:
-            for name in store.files(target).keys() - before.keys():
-                store.delete(f"{target.rstrip('/')}/{name}")
-        return Published(slice_id, target, 0, 0, 0)
-    new = {n: size for n, size in store.files(target).items() if n not in (before or {})}
-    return Published(slice_id, target, rows, sum(new.values()), len(new))
+            counted = _stage(df, target, replace(options, mode="append"), cap, [None])[0]
+            new = store.files(target).keys() - there.keys()
+    except Exception:
+        pointer.put_aside(store, target, list(there))
+        raise
+    if not counted.rows:
+        new = set()
+    stay = sorted(new | set(before)) if options.mode == "append" else sorted(new)
+    if stay or store.exists(target):
+        pointer.move(store, target, stay)
+        pointer.put_aside(store, target, stay)
+    if not stay:
+        store.delete(target)
+    sizes = store.files(target)
+    out = Published("single", target, counted.rows, sum(sizes[n] for n in new), len(new))
+    return _covered(out, counted)
 
 
-def _stage(
-    df: DataFrame, folder: str, options: ExportOptions, cap: int | None, slice_numbers: list
-) -> list[int]:
-    """Write the files and return rows per slice number, counted on the way.
+def _covered(out: Published, counted: Counted) -> Published:
+    return replace(out, rows_first=counted.first, rows_several=counted.several)
+
 
-    The count sits right below the write, where a task counts once however often
+def _counted(df: DataFrame, slice_numbers: list) -> tuple[DataFrame, Callable[[], list[Counted]]]:
+    """``df`` with its rows counted on the way, without the columns that serve to count,
+    and what gives the counts after a write.
+
+    The count must sit right below the write, where a task counts once however often
     it is retried.
     """
     seen = Observation()
-    by_slice = slice_numbers != [None]
-    counts = [
-        F.count(F.lit(1)) if no is None else F.count_if(F.col(SLICE_COLUMN) == no)
-        for no in slice_numbers
-    ]
-    df = df.observe(seen, *[c.alias(f"rows_{i}") for i, c in enumerate(counts)])
+    covers = COVER_COLUMN in df.columns
+    counts = {}
+    for i, number in enumerate(slice_numbers):
+        own = F.lit(True) if number is None else F.col(SLICE_COLUMN) == number
+        counts[f"rows_{i}"] = F.count_if(own)
+        if covers:
+            counts[f"first_{i}"] = F.count_if(own & (F.col(COVER_COLUMN) > 0))
+            counts[f"several_{i}"] = F.count_if(own & (F.col(COVER_COLUMN) > 1))
+    df = df.observe(seen, *[c.alias(name) for name, c in counts.items()]).drop(COVER_COLUMN)
+
+    def found() -> list[Counted]:
+        got = seen.get
+        names = ("rows", "first", "several") if covers else ("rows",)
+        return [Counted(*[int(got.get(f"{n}_{i}") or 0) for n in names]) for i in range(len(slice_numbers))]
+
+    return df, found
+
+
+def _stage(
+    df: DataFrame, folder: str, options: ExportOptions, cap: int | None, slice_numbers: list
+) -> list[Counted]:
+    """Write the files and return rows per slice number."""
+    df, found = _counted(df, slice_numbers)
     mode = "append" if options.mode == "append" else "overwrite"
     writer = _writer(df, options, cap, mode)
-    if by_slice:
+    if slice_numbers != [None]:
         writer = writer.partitionBy(SLICE_COLUMN)
     writer.save(folder)
-    return [int(seen.get.get(f"rows_{i}") or 0) for i in range(len(counts))]
+    return found()
 
 
 def _writer(df: DataFrame, options: ExportOptions, cap: int | None, mode: str):
@@ -306,34 +372,20 @@ def _writer(df: DataFrame, options: ExportOptions, cap: int | None, mode: str):
     return writer.option("maxRecordsPerFile", cap) if cap else writer
 
 
-def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> int:
+def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> Counted:
     """Write the files and move those of successful tasks to the folder; returns their rows."""
     attempts = folder + "-attempts"
     store = Store(df.sparkSession, folder)
-    written = _write_zstd(df, store, attempts, options)
+    written, counted = _write_zstd(df, store, attempts, options)
     store.mkdirs(folder)
     pairs = [(f"{attempts}/{name}", f"{folder}/{name}") for name in written]
     store.rename_all(pairs, options.io_concurrency)
-    return sum(written.values())
-
-
-def _zstd_in_place(df: DataFrame, store: Store, target: str, options: ExportOptions) -> Published:
-    """Write below the target, where a rename would copy; no file is moved.
-
-    Names are unique, so new files lie beside old ones until all are there. Then files of
-    lost attempts go, and unless this is an append the old ones.
-    """
-    before = store.files(target)
-    written = _write_zstd(df, store, target, options)
-    stay = set(written) | (set(before) if options.mode == "append" else set())
-    for name in store.files(target).keys() - stay:
-        store.delete(f"{target.rstrip('/')}/{name}")
-    sizes = store.files(target)
-    return Published("single", target, sum(written.values()), sum(sizes[n] for n in written), len(written))
+    return counted
 
 
-def _write_zstd(df: DataFrame, store: Store, folder: str, options: ExportOptions) -> dict[str, int]:
-    """Files of successful tasks with their rows: one short row each comes to the driver."""
+def _write_zstd(df: DataFrame, store: Store, folder: str, options: ExportOptions) -> tuple[list[str], Counted]:
+    """Files of successful tasks, and their rows: one short row a file comes to the driver."""
+    df, found = _counted(df, [None])
     # The writer travels with the job, so executors need not have this package.
     cloudpickle.register_pickle_by_value(zstd_text)
     lines, header = text_lines(df, options.format)
@@ -346,7 +398,7 @@ def _write_zstd(df: DataFrame, store: Store, folder: str, options: ExportOptions
         max_bytes=options.target_file_bytes,
     )
     written = lines.mapInArrow(zstd_text.batch_writer(plan), zstd_text.WRITTEN_SCHEMA).collect()
-    return {r.file_name: r.row_count for r in written}
+    return [r.file_name for r in written], found()[0]._replace(rows=sum(r.row_count for r in written))
 
 
 def _tidy(

@@ -44,6 +44,8 @@ class ExportOptions:
     azure_account: str | None = None
     # True numbers files part-00000 upwards, False leaves Spark's names. None: by file system.
     numbered_files: bool | None = None
+    # True writes files where they stay, False moves them there. None: by file system.
+    in_place: bool | None = None
     # Fill files by a shuffle instead of by merging scan partitions.
     even_files: bool = False
     row_group_bytes: int = ROW_GROUP_BYTES

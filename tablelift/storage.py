@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, path: str):
         self._jvm = spark._jvm
+        self._gateway = spark.sparkContext._gateway
         self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
         self.can_rename = self._fs.getUri().getScheme() in RENAMING_SCHEMES
 
@@ -75,6 +77,71 @@ class Store:
         if hidden != path:
             self.rename(hidden, path)
 
+    def replace_text(self, path: str, text: str) -> None:
+        """A small file, in place of the one that is there: readers see one or the other whole."""
+        hidden = path
+        if self.can_rename:
+            folder, _, name = path.rpartition("/")
+            hidden = f"{folder}/_{uuid.uuid4().hex}-{name}"
+        out = self._fs.create(self._path(hidden), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        if hidden != path:
+            hadoop = self._jvm.org.apache.hadoop.fs
+            over = self._gateway.new_array(hadoop.Options.Rename, 1)
+            over[0] = hadoop.Options.Rename.OVERWRITE
+            files = hadoop.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf())
+            files.rename(self._path(hidden), self._path(path), over)
+
+    def read_text(self, path: str) -> str | None:
+        """What a small file holds; None if there is none."""
+        if not self.exists(path):
+            return None
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+
+    def identity(self, path: str, tail: int) -> tuple[int, int, str] | None:
+        """(length, modification time, SHA-256 of the last ``tail`` bytes) of a file, if it is there."""
+        if not self.exists(path):
+            return None
+        status = self._fs.getFileStatus(self._path(path))
+        stream = self._fs.open(self._path(path))
+        try:
+            stream.seek(max(0, status.getLen() - tail))
+            digest = self._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+        finally:
+            stream.close()
+        return status.getLen(), status.getModificationTime(), digest
+
+    def identities(self, paths: list[str], tail: int, threads: int) -> list[tuple[int, int, str] | None]:
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            return list(pool.map(lambda path: self.identity(path, tail), paths))
+
+    def find(self, folder: str, name: str, depth: int) -> list[str]:
+        """Paths of the files of this name in a folder and ``depth`` levels below it."""
+        found = []
+        for level in range(depth + 1):
+            statuses = self._fs.globStatus(self._path("/".join([folder.rstrip("/"), *["*"] * level, name])))
+            found += [status.getPath().toString() for status in statuses or []]
+        return found
+
+    def walk(self, path: str) -> list[str]:
+        """Paths of all visible files below a folder."""
+        found, folders = [], [self._fs.makeQualified(self._path(path))]
+        while folders:
+            for status in self._fs.listStatus(folders.pop()):
+                if not status.getPath().getName().startswith((".", "_")):
+                    if status.isDirectory():
+                        folders.append(status.getPath())
+                    else:
+                        found.append(status.getPath().toString())
+        return found
+
     def rename_all(self, pairs: list[tuple[str, str]], threads: int) -> None:
         with ThreadPoolExecutor(max_workers=threads) as pool:
             list(pool.map(lambda pair: self.rename(*pair), pairs))
