@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import itertools
 import json
+import threading
 import time
 import uuid
 
@@ -38,10 +38,11 @@ KEY_TYPES = (
 RECORD_SCHEMA = KEY_TYPES + (
     ", status string, object_path string, row_count long, "
     "bytes_uncompressed long, bytes_compressed long, etag string, attempt int, error string, "
-    "watermark string, seq long"
+    "watermark string, seq long, "
+    "predicate_hash string, slices_hash string, rows_first long, rows_several long"
 )
-
-_ticks = itertools.count(time.time_ns())
+# A committed unit that is to be done again, as its predicate is another one now.
+PLANNED_AGAIN = (COMMITTED, PLANNED)
 
 
 def stable_id(**fields: Column) -> Column:
@@ -91,11 +92,35 @@ def next_attempts(todo: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
-def illegal_moves(records: DataFrame) -> DataFrame:
+class Clock:
+    """Numbers that rise: by the time, and beyond every number seen in a log.
+
+    Whoever goes on from a state has read it, so its records come after those it read,
+    however far behind the clock of its machine is.
+    """
+
+    def __init__(self):
+        self._last = 0
+        self._lock = threading.Lock()
+
+    def saw(self, number: int | None) -> None:
+        with self._lock:
+            self._last = max(self._last, number or 0)
+
+    def next(self) -> int:
+        with self._lock:
+            self._last = max(self._last + 1, time.time_ns())
+            return self._last
+
+
+_clock = Clock()
+
+
+def illegal_moves(records: DataFrame, legal_moves: tuple = LEGAL_MOVES) -> DataFrame:
     """Records whose state may not follow the state before it."""
     moves = previous_by_key(records, "stable_id", "seq", "status", "previous_status")
     legal = F.lit(False)
-    for before, after in LEGAL_MOVES:
+    for before, after in legal_moves:
         legal = legal | (
             F.col("previous_status").eqNullSafe(F.lit(before)) & (F.col("status") == after)
         )
@@ -123,12 +148,23 @@ class Manifest:
         logged = reader.schema(RECORD_SCHEMA).json(self.folder)
         return logged.withColumn("stable_id", stable_id())
 
-    def open_work(self, keys: list[dict]) -> list[dict]:
-        """The given keys without the committed ones, with attempt and last state."""
+    def states(self, keys: list[dict]) -> list[dict]:
+        """The given keys, each with its next attempt and with its last record as ``last_...``."""
         fields = KEY_TYPES.split(", ")
         rows = [tuple(key.get(f.split()[0]) for f in fields) for key in keys]
         todo = small_frame(self.spark, rows, KEY_TYPES).withColumn("stable_id", stable_id())
-        return [row.asDict() for row in next_attempts(todo, self.records()).collect()]
+        last = latest(self.records())
+        told = [c for c in last.columns if c not in KEY_FIELDS and c != "stable_id"]
+        last = last.select("stable_id", *[F.col(c).alias(f"last_{c}") for c in told])
+        found = [row.asDict() for row in todo.join(last, "stable_id", "left").collect()]
+        for item in found:
+            item["attempt"] = (item["last_attempt"] or 0) + 1
+            _clock.saw(item["last_seq"])
+        return found
+
+    def open_work(self, keys: list[dict]) -> list[dict]:
+        """The given keys without the committed ones, with attempt and last state."""
+        return [item for item in self.states(keys) if item["last_status"] != COMMITTED]
 
     def start(self, work: list[dict]) -> None:
         """Log that an attempt at each piece of work begins.
@@ -138,7 +174,7 @@ class Manifest:
         rows = []
         for item in work:
             key = {f: item.get(f) for f in KEY_FIELDS}
-            if item["last_status"] is None:
+            if item["last_status"] in (None, COMMITTED):
                 rows.append({**key, "status": PLANNED})
             elif item["last_status"] == RUNNING:
                 ended = {"attempt": item["attempt"] - 1, "error": "interrupted"}
@@ -158,7 +194,7 @@ class Manifest:
 
     def append(self, rows: list[dict]) -> None:
         fields = [part.split()[0] for part in RECORD_SCHEMA.split(", ")]
-        rows = [{**row, "seq": next(_ticks)} for row in rows]
+        rows = [{**row, "seq": _clock.next()} for row in rows]
         lines = [json.dumps({f: row.get(f) for f in fields if row.get(f) is not None}) for row in rows]
         if lines:
             store = Store(self.spark, self.folder)

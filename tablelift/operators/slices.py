@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import math
 from dataclasses import dataclass
 from decimal import Decimal
@@ -10,6 +12,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SLICE_COLUMN = "__slice_no"
+# 1 for a row in the first slice that keeps it, 2 if others keep it too, 0 in those others.
+COVER_COLUMN = "__cover"
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -153,6 +157,12 @@ def _conditions(slices: list[Slice]) -> list[Column]:
     return [F.lit(True) if s.predicate is None else F.expr(s.predicate) for s in slices]
 
 
+def predicate_hash(slices: list[Slice]) -> str:
+    """What the predicates of slices are told by in a manifest."""
+    texts = [[s.id, s.predicate] for s in slices]
+    return hashlib.sha256(json.dumps(texts).encode()).hexdigest()
+
+
 def _any(conditions: list[Column]) -> Column:
     kept = F.lit(False)
     for condition in conditions:
@@ -167,12 +177,19 @@ def slice_numbers(slices: list[Slice]) -> Column:
     )
 
 
-def count_slices(df: DataFrame, slices: list[Slice]) -> tuple[list[int], bool]:
-    """Rows of every slice, and whether no row is in two. One pass over the columns
-    the predicates name, without a shuffle of rows."""
+def count_slices(df: DataFrame, slices: list[Slice]) -> tuple[list[int], bool, int]:
+    """Rows of every slice, whether no row is in two, and all rows. One pass over the
+    columns the predicates name, without a shuffle of rows."""
     conditions = _conditions(slices)
-    counts = df.agg(F.count_if(_any(conditions)), *map(F.count_if, conditions)).first()
-    return list(counts[1:]), sum(counts[1:]) == counts[0]
+    counts = df.agg(F.count(F.lit(1)), F.count_if(_any(conditions)), *map(F.count_if, conditions)).first()
+    return list(counts[2:]), sum(counts[2:]) == counts[1], counts[0]
+
+
+def cover_code(slices: list[Slice], number: Column | int) -> Column:
+    """What ``COVER_COLUMN`` holds for a row in the slice of this number."""
+    hits = slice_numbers(slices)
+    code = F.when(F.size(hits) > 1, 2).otherwise(1)
+    return F.when(F.get(hits, F.lit(0)) == number, code).otherwise(0).cast("byte")
 
 
 def uncovered_rows(df: DataFrame, slices: list[Slice]) -> tuple[int, int]:
@@ -182,18 +199,30 @@ def uncovered_rows(df: DataFrame, slices: list[Slice]) -> tuple[int, int]:
     return found[0], found[1]
 
 
-def with_slice_number(df: DataFrame, slices: list[Slice], disjoint: bool = False) -> DataFrame:
+def with_slice_number(
+    df: DataFrame, slices: list[Slice], disjoint: bool = False, whole: list[Slice] | None = None
+) -> DataFrame:
     """Rows of all given slices from one scan, each with its slice number.
 
     A row that several predicates keep comes once per slice, as it would from
-    separate reads. The disjunction of the predicates reaches the scan.
+    separate reads. The disjunction of the predicates reaches the scan. ``whole`` are all
+    slices of the table; with them each row tells how they cover it.
     """
     conditions = _conditions(slices)
     kept = df.where(_any(conditions))
+    columns = ["*"]
+    if whole is not None:
+        places = {s.id: i for i, s in enumerate(whole)}
+        codes = [cover_code(whole, places[s.id]) for s in slices]
+        columns.append(F.array(*codes).alias(COVER_COLUMN))
     if disjoint:
         number = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(conditions)])
-        return kept.select("*", number.alias(SLICE_COLUMN))
-    return kept.select("*", F.explode(slice_numbers(slices)).alias(SLICE_COLUMN))
+    else:
+        number = F.explode(slice_numbers(slices))
+    numbered = kept.select(*columns, number.alias(SLICE_COLUMN))
+    if whole is None:
+        return numbered
+    return numbered.withColumn(COVER_COLUMN, F.get(COVER_COLUMN, F.col(SLICE_COLUMN)))
 
 
 def slice_report(df: DataFrame, slices: list[Slice], key: str) -> DataFrame:

@@ -6,15 +6,15 @@ import logging
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tablelift.functions.names import single_target
 from tablelift.operators.incremental import export_new_rows
-from tablelift.operators.manifest import KEY_FIELDS, Manifest
+from tablelift.operators.manifest import COMMITTED, KEY_FIELDS, Manifest
 from tablelift.operators.sinks import Published, export_frame, export_slices
-from tablelift.operators.slices import SLICE_COLUMN, Slice, single_slice, uncovered_rows
+from tablelift.operators.slices import SLICE_COLUMN, Slice, predicate_hash, single_slice, uncovered_rows
 from tablelift.options import ExportOptions
 from tablelift.plans.tasks import TABLE
 from tablelift.session import small_frame
@@ -105,6 +105,12 @@ class _Planned:
     error: Exception | None = None
     # Manifest entry of each slice still to do.
     open: dict[str, dict | None] = field(default_factory=dict)
+    # What each slice was found to cover: (rows no earlier slice keeps, those several keep).
+    covered: dict[str, tuple[int, int]] = field(default_factory=dict)
+    # The slices that each is held against, if the predicates of all can be.
+    whole: list[Slice] | None = None
+    # Rows of the source, where a pass has counted them.
+    total: int | None = None
 
 
 class _Job:
@@ -134,14 +140,24 @@ class _Job:
         if not self.manifest:
             return
         keys = [_slice_key(p.task, s, self.job_id) for p in planned for s in p.slices]
-        if self.options.resume and keys:
-            work = self.manifest.open_work(keys)
-        else:
-            work = [{**key, "attempt": 1, "last_status": None} for key in keys]
-        by_key = {_identity(item): item for item in work}
+        by_key = {_identity(item): item for item in self.manifest.states(keys)} if keys else {}
         for p in planned:
-            items = {s.id: by_key.get(_identity(_slice_key(p.task, s, self.job_id))) for s in p.slices}
-            p.open = {slice_id: item for slice_id, item in items.items() if item}
+            for s in p.slices:
+                item = by_key[_identity(_slice_key(p.task, s, self.job_id))]
+                if not self.options.resume:
+                    p.open[s.id] = {**item, "attempt": 1, "last_status": None}
+                elif self._is_done(item, s):
+                    del p.open[s.id]
+                    if item["last_slices_hash"] == predicate_hash(p.slices):
+                        p.covered[s.id] = (item["last_rows_first"], item["last_rows_several"])
+                else:
+                    p.open[s.id] = item
+
+    @staticmethod
+    def _is_done(item: dict, part: Slice) -> bool:
+        """Committed, and with the predicate the slice has now."""
+        known = item["last_predicate_hash"]
+        return item["last_status"] == COMMITTED and known in (None, predicate_hash([part]))
 
     def run(self, planned: _Planned) -> list[tuple]:
         task = planned.task
@@ -150,12 +166,13 @@ class _Job:
         if self.options.consistency == "high_watermark":
             return [self._increment(planned)]
         todo = [s for s in planned.slices if s.id in planned.open]
+        planned.whole = self._whole(planned)
         width = self.options.slices_per_pass
         passes = [todo[i : i + width] for i in range(0, len(todo), width)]
         with ThreadPoolExecutor(max_workers=self.options.slice_concurrency) as pool:
             done = pool.map(lambda part: self._run_pass(planned, part), passes)
             rows = [row for part_rows in done for row in part_rows]
-        if self.slicer and len(todo) == len(planned.slices):
+        if self.slicer:
             rows += self._uncovered(planned, rows)
         rows += [
             (task.task_id, s.id, task.target_prefix, SKIPPED, 0, 0, 0, None)
@@ -178,18 +195,39 @@ class _Job:
         return (task.task_id, "single", out.target, COMPLETED, out.rows, out.bytes, out.files, None)
 
     def _uncovered(self, planned: _Planned, rows: list[tuple]) -> list[tuple]:
-        """A failed row if the slices of a whole run left rows out or kept some twice."""
+        """A failed row if the slices leave rows out or keep some twice.
+
+        Rows were counted as they were written, in this run or in earlier ones, whose
+        counts the manifest has. Only where it has them for other slices, or the source
+        reads slices itself, are the predicates counted again.
+        """
         if any(row[3] != COMPLETED for row in rows):
             return []
-        if planned.frame.count() == sum(row[4] for row in rows):
+        facts = [planned.covered.get(s.id) for s in planned.slices]
+        if all(fact and None not in fact for fact in facts):
+            total = planned.frame.count() if planned.total is None else planned.total
+            none, several = total - sum(f[0] for f in facts), sum(f[1] for f in facts)
+        else:
+            none, several = uncovered_rows(planned.frame, planned.slices)
+        if not (none or several):
             return []
-        none, several = uncovered_rows(planned.frame, planned.slices)
         text = f"{none} rows are in no slice, {several} in several"
-        if self.options.allow_uncovered or not (none or several):
+        if self.options.allow_uncovered:
             log.warning("%s: %s", planned.task.task_id, text)
             return []
         return [_failure(planned.task, None, ValueError(text))]
 
+    def _whole(self, planned: _Planned) -> list[Slice] | None:
+        """All slices, if the source leaves their predicates to Spark and all make sense."""
+        if not self.slicer or (planned.task.kind == TABLE and hasattr(self.source, "sliced")):
+            return None
+        try:
+            for s in planned.slices:
+                planned.frame.where(s.predicate or "true")
+        except Exception:
+            return None
+        return planned.slices
+
     def _sound(self, planned: _Planned, part: list[Slice]) -> tuple[list[Slice], list[tuple]]:
         """The slices whose predicates can be analysed, and result rows of the others."""
         sound, bad = [], []
@@ -217,7 +255,11 @@ class _Job:
             if manifest:
                 manifest.start(items)
             done = self._write(planned, part)
+            for out in done:
+                planned.covered[out.slice_id] = (out.rows_first, out.rows_several)
+                planned.total = out.rows_of_source if planned.total is None else planned.total
             if manifest:
+                hashes = {s.id: predicate_hash([s]) for s in part}
                 records = [
                     manifest.finish(
                         planned.open[out.slice_id],
@@ -225,6 +267,10 @@ class _Job:
                         row_count=out.rows,
                         bytes_compressed=out.bytes,
                         bytes_uncompressed=out.bytes if self.options.compression == "none" else None,
+                        predicate_hash=hashes[out.slice_id],
+                        slices_hash=predicate_hash(planned.slices),
+                        rows_first=out.rows_first,
+                        rows_several=out.rows_several,
                     )
                     for out in done
                 ]
@@ -250,16 +296,22 @@ class _Job:
         if len(part) == 1 and part[0].predicate is None:
             target = single_target(task.target_prefix, part[0].id)
             out = export_frame(planned.frame, target, options, planned.table)
-            return [Published(part[0].id, out.target, out.rows, out.bytes, out.files)]
+            return [replace(out, slice_id=part[0].id)]
         numbered = None
         if task.kind == TABLE and hasattr(self.source, "sliced"):
             rows = self.source.sliced(task.table_schema, task.table_name, part)
             if task.predicate is not None:
                 rows = rows.where(task.predicate)
             numbered = rows.withColumn(SLICE_COLUMN, F.spark_partition_id())
-        return export_slices(
-            planned.frame, part, task.target_prefix, options, planned.table, numbered
-        )
+        try:
+            return export_slices(
+                planned.frame, part, task.target_prefix, options, planned.table, numbered, planned.whole
+            )
+        except Exception:
+            if planned.whole is None or len(part) > 1:
+                raise
+            # The predicate at fault may be another slice's.
+            return export_slices(planned.frame, part, task.target_prefix, options, planned.table, numbered)
 
 
 def _task_frames(

@@ -43,8 +43,8 @@ def test_range_is_disjoint_and_includes_both_ends(spark):
 
 def test_range_leaves_out_what_is_beyond_its_bounds(spark):
     slices = range_slices("id", T.LongType(), 10, 19, 3)
-    counts, disjoint = count_slices(spark.range(100), slices)
-    assert (sum(counts), disjoint) == (10, True)
+    counts, disjoint, total = count_slices(spark.range(100), slices)
+    assert (sum(counts), disjoint, total) == (10, True, 100)
 
 
 def test_range_with_more_slices_than_values(spark):
@@ -86,8 +86,7 @@ def test_template_slices_cover_every_row_once(spark, kind, values):
 def test_overlapping_predicates_give_a_row_to_each_slice(spark):
     df = spark.range(10)
     slices = predicate_slices(["id < 6", "id >= 4", "id = 100"])
-    counts, disjoint = count_slices(df, slices)
-    assert (counts, disjoint) == ([6, 6, 0], False)
+    assert count_slices(df, slices) == ([6, 6, 0], False, 10)
     numbered = with_slice_number(df, slices).groupBy(SLICE_COLUMN).count().collect()
     assert {r[0]: r[1] for r in numbered} == {0: 6, 1: 6}
 
@@ -95,7 +94,7 @@ def test_overlapping_predicates_give_a_row_to_each_slice(spark):
 def test_null_predicates_drop_the_row(spark):
     df = spark.createDataFrame([(1,), (None,)], "k int")
     slices = predicate_slices(["k < 5", "k >= 5"])
-    assert count_slices(df, slices) == ([1, 0], True)
+    assert count_slices(df, slices) == ([1, 0], True, 2)
     assert with_slice_number(df, slices, disjoint=True).count() == 1
     assert with_slice_number(df, slices).count() == 1
 
