@@ -32,17 +32,14 @@ def export_new_rows(
     """
     number, last = committed_watermark(manifest, name)
     kind = df.schema[column].dataType
-    fresh = df
-    if last is not None:
-        fresh = df.where(F.col(f"`{column}`") > mark_value(last, kind))
-    high = fresh.agg(mark_text(F.max(f"`{column}`"), kind).alias("high")).first().high
-    if high is None and last is not None:
+    value = F.col(f"`{column}`")
+    fresh = df if last is None else df.where(value > mark_value(last, kind))
+    high = fresh.agg(mark_text(F.max(value), kind).alias("high")).first().high
+    # Runs so far tell a first run, which a mark does not: its rows may all have had no value.
+    if high is None and number:
         return None
-    bound = mark_value(high, kind)
-    fresh = fresh.where(
-        (F.col(f"`{column}`") <= bound) if last is not None
-        else (F.col(f"`{column}`") <= bound) | F.col(f"`{column}`").isNull()
-    )
+    new = value <= mark_value(high, kind)
+    fresh = fresh.where(new if number else new | value.isNull())
     key = {"job_id": name, "table": name, "partition_id": f"increment-{number:05d}", "file_index": 0}
     item = manifest.open_work([key])[0]
     manifest.start([item])
@@ -71,11 +68,12 @@ def mark_value(text: str | None, kind: T.DataType) -> Column:
 
 
 def committed_watermark(manifest: Manifest, name: str) -> tuple[int, str | None]:
-    """(number of committed increments, watermark of the last)."""
+    """(number of committed increments, watermark of the last that has one)."""
+    number = F.regexp_extract("partition_id", r"(\d+)$", 1).cast("long")
     done = latest(manifest.records().where(F.col("job_id") == name))
     found = (
         done.where(F.col("status") == COMMITTED)
-        .agg(F.count(F.lit(1)).alias("n"), F.max_by("watermark", "seq").alias("mark"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max_by("watermark", F.when(F.col("watermark").isNotNull(), number)).alias("mark"))
         .first()
     )
     return found.n, found.mark

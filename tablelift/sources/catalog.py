@@ -64,8 +64,9 @@ class LakeSource:
         return frame_columns(self.frame(schema, table), schema, table)
 
     def query(self, sql: str) -> DataFrame:
-        """A query over the tables by their bare names."""
+        """A query over the tables by their bare names, under the caller's settings."""
         with self._lock:
+            same_settings(self.spark, self._views)
             for name in self.names:
                 if name not in self._viewed and re.search(rf"\b{re.escape(name)}\b", sql, re.IGNORECASE):
                     self._views.read.parquet(f"{self.root}/{name}.parquet").createOrReplaceTempView(name)
@@ -73,6 +74,20 @@ class LakeSource:
             return self._views.sql(sql)
 
 
+def same_settings(source: SparkSession, target: SparkSession) -> None:
+    """Give a session the settings that another one has now.
+
+    Functions registered in the other session stay there.
+    """
+    wanted, known = source.conf.getAll, target.conf.getAll
+    for key in known.keys() | wanted.keys():
+        if known.get(key) != wanted.get(key) and target.conf.isModifiable(key):
+            if key in wanted:
+                target.conf.set(key, wanted[key])
+            else:
+                target.conf.unset(key)
+
+
 class SparkSource:
     """Tables of the Spark catalog; a Spark database is a schema here."""
 
