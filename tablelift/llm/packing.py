@@ -12,6 +12,7 @@ end to end and cut at powers of two, which need no padding.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from tablelift.llm.ball_trees import spans
+from tablelift.llm.words import EXACT_BYTES, text_chunks, word_hashes, word_spans
+
 CAPACITY = 2048
 # Pieces of capacity / CLASSES tokens or fewer form the last class, filled by next fit.
 CLASSES = 32
@@ -32,14 +36,43 @@ TASK_SPAN = 1 << 33
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-class WordTokenizer:
-    """Ids of texts under a vocabulary whose tokens never span white space.
+# Bytes that never share a token with their neighbour of another class: letters, digits, and
+# punctuation but what contractions and special tokens are spelled with.
+CLASSES_OF_BYTES = np.zeros(256, np.uint8)
+for _class, _members in enumerate((
+    b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~",
+), start=1):
+    CLASSES_OF_BYTES[list(_members)] = _class
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+
+
+def word_parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, parts before each row and in all): words, cut where ASCII classes change."""
+    starts, ends, _ = word_spans(data, offsets)
+    kind = CLASSES_OF_BYTES[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    cut[offsets] = False
+    inner = np.flatnonzero(cut)
+    starts, ends = np.sort(np.concatenate((starts, inner))), np.sort(np.concatenate((ends, inner)))
+    return starts, ends, np.searchsorted(starts, offsets)
+
 
-    Most words come again, so their ids are kept. Words of letters alone are encoded many
-    at once and told apart by the tokens that end a word; a run in which the numbers of
-    words and word ends differ, and any other word, is encoded by itself.
+class WordTokenizer:
+    """Ids of texts under a lower-casing vocabulary whose tokens never span white space.
+
+    Words are cut where letters, digits and punctuation of ASCII meet, which that
+    vocabulary does too, and most parts come again. A part's ids are found by its hash in a
+    table of one entry a slot, for all parts of a run of texts at once; its bytes are then
+    compared, so no hash stands for a word. What is not there is looked up in a dictionary,
+    or encoded. Parts of letters alone are encoded many at once and told apart by the
+    tokens that end a word; a run in which the numbers of parts and word ends differ, and
+    any other part, is encoded by itself.
     """
 
+    SLOT_BITS = 22
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -48,12 +81,35 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
+        self._refuse_others()
+        self._forget()
+
+    def _refuse_others(self) -> None:
+        """An error if the vocabulary minds case, or does not cut where words are cut here."""
+        members = [bytes(np.flatnonzero(CLASSES_OF_BYTES == k).astype(np.uint8)).decode() for k in (1, 2, 3)]
+        pairs = [x + y for a in members for b in members if a != b for x in a for y in b]
+        single = {c: i.tolist() for c, i in zip("".join(members), self._encode(list("".join(members))))}
+        right = all(ids.tolist() == single[pair[0]] + single[pair[1]] for pair, ids in zip(pairs, self._encode(pairs)))
+        if not right or any(single[c] != single[c.lower()] for c in members[0]):
+            raise ValueError("words cannot be cut by classes of characters under this vocabulary")
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.words, self.word_bounds = bytearray(), array("q", [0])
+        self.pool, self.pool_bounds = bytearray(), array("q", [0])
+        self.slots = np.full(1 << self.SLOT_BITS, -1, np.int64)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
+    def _keep(self, word: bytes, ids: bytes) -> None:
+        self.known[word] = len(self.known)
+        self.words += word
+        self.word_bounds.append(len(self.words))
+        self.pool += ids
+        self.pool_bounds.append(len(self.pool) // 4)
+
     def _learn(self, words: list[bytes]) -> None:
         plain, odd = [], []
         for word in words:
@@ -63,24 +119,48 @@ class WordTokenizer:
         for run, ids in zip(runs, self._encode([" ".join(t for _, t in run) for run in runs])):
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(run) and cuts[-1] == len(ids):
-                starts = [0, *cuts[:-1].tolist()]
-                for (word, _), start, end in zip(run, starts, cuts.tolist()):
-                    self.known[word] = ids[start:end].tobytes()
+                whole, starts = ids.tobytes(), [0, *(4 * cuts[:-1]).tolist()]
+                for (word, _), start, end in zip(run, starts, (4 * cuts).tolist()):
+                    self._keep(word, whole[start:end])
             else:
                 odd += run
         for (word, _), ids in zip(odd, self._encode([t for _, t in odd])):
-            self.known[word] = ids.tobytes()
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text, as little-endian 32-bit numbers."""
-        split = [(text or "").encode().split() for text in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        new = set().union(*split) - self.known.keys()
-        self._learn(list(new))
-        find = self.known.__getitem__
-        for words in split:
-            yield b"".join(map(find, words))
+            self._keep(word, ids.tobytes())
+
+    def _places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each part among the known ones, after learning what is new."""
+        sizes = ends - starts
+        slot = (word_hashes(data, starts, ends, EXACT_BYTES) >> np.uint64(64 - self.SLOT_BITS)).astype(np.int64)
+        found = self.slots[slot]
+        bounds, words = np.array(self.word_bounds), np.frombuffer(bytes(self.words), np.uint8)
+        alike = np.flatnonzero(found >= 0)
+        alike = alike[bounds[found[alike] + 1] - bounds[found[alike]] == sizes[alike]]
+        same = data[spans(starts[alike], sizes[alike])] == words[spans(bounds[found[alike]], sizes[alike])]
+        hit = np.zeros(len(starts), bool)
+        if len(alike):
+            hit[alike] = np.logical_and.reduceat(same, np.cumsum(sizes[alike]) - sizes[alike])
+        missed = np.flatnonzero(~hit)
+        raw = data.tobytes()
+        parts = [raw[a:b] for a, b in zip(starts[missed].tolist(), ends[missed].tolist())]
+        self._learn(list(set(parts) - self.known.keys()))
+        found[missed] = list(map(self.known.__getitem__, parts))
+        self.slots[slot[missed]] = found[missed]
+        return found
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, as little-endian 32-bit numbers; null is empty."""
+        for _, data, offsets in text_chunks(texts):
+            if len(self.known) > KNOWN_WORDS:
+                self._forget()
+            data = _FOLD[data]
+            starts, ends, before = word_parts(data, offsets)
+            places = self._places(data, starts, ends)
+            bounds = np.array(self.pool_bounds)
+            counts = bounds[places + 1] - bounds[places]
+            ids = np.frombuffer(bytes(self.pool), "<u4")[spans(bounds[places], counts)]
+            ends = np.concatenate(([0], np.cumsum(counts)))[before]
+            for a, b in zip(ends[:-1], ends[1:]):
+                yield ids[a:b]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -189,9 +269,8 @@ def packer_of_batches(
         for batch in batches:
             for first in range(0, batch.num_rows, rows):
                 part = batch.slice(first, rows)
-                texts = part.column(1).to_pylist()
-                for doc_id, ids in zip(part.column(0).to_pylist(), words.encode(texts)):
-                    packer.add(doc_id, ids + end)
+                for doc_id, ids in zip(part.column(0).to_pylist(), words.encode(part.column(1))):
+                    packer.add(doc_id, ids.tobytes() + end)
                 if done := packer.take():
                     yield batch_of(done)
         packer.finish()

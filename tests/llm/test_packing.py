@@ -68,3 +68,31 @@ def test_odd_rows(odd, no_rows):
     assert pack(no_rows, path_of(WORDS)).collect() == []
     with pytest.raises(ValueError, match="power of two"):
         pack(odd, path_of(WORDS), capacity=1000)
+
+
+def test_ids_are_the_librarys():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from tablelift.llm.packing import WordTokenizer
+
+    rng = random.Random(8)
+    letters = list("abcSTrevm'd 12.,!?-<|>&=\"()é́ßÀİΣ̸中\t\n") + ["'s", "'re", "LL", "<|endoftext|>", "  ", "ﬁ", "½"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(4000)] + ["", None, "a" * 9000]
+    path = path_of(WORDS)
+    library = Tokenizer.from_file(path)
+    own = WordTokenizer(path)
+    for _ in range(2):
+        found = [ids.tolist() for ids in own.encode(pa.array(texts, pa.string()))]
+        assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_a_vocabulary_that_minds_case_is_refused(tmp_path):
+    from tokenizers import Tokenizer, models
+
+    from tablelift.llm.packing import WordTokenizer
+
+    chars = {chr(c): c for c in range(33, 127)}
+    Tokenizer(models.BPE(chars, [])).save(str(tmp_path / "plain.json"))
+    with pytest.raises(ValueError, match="cannot be cut"):
+        WordTokenizer(str(tmp_path / "plain.json"))
