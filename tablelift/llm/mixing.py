@@ -6,10 +6,13 @@ Each source is cut into blocks, and a source of weight ``w`` is given one slot f
 within one block of its weight at every slot. Release and due times come from the weights
 as exact fractions, so a source stays within that block however long the mix is. When a
 source has no block left, the others go on with their weights scaled up, in a schedule
-that starts there. The driver computes and holds one number for each block.
+that starts there.
 
-With a period, weights are rounded to multiples of ``1 / period`` instead. The schedule
-then repeats, and one period's table places any number of blocks.
+Weights are whole numbers in a ratio, and after as many slots as they add up to the
+schedule repeats: the table of one such period, for each source that ends, places any
+number of blocks. Default weights are chosen so that this is short. Only for given weights
+that have no short period, or for very many sources, does the driver compute and hold one
+number for each block. With a ``period``, weights are rounded to its fractions instead.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 import heapq
 import math
 from array import array
+from bisect import bisect_left
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -26,6 +30,8 @@ from tablelift.session import small_frame
 
 # Slots of a period where none is given.
 PERIOD = 2000
+# Slots that default weights are fractions of, and rows of the schedule's table at most.
+FRACTIONS, TABLE_ROWS = 10_000, 4_000_000
 # Blocks whose slots make up one row of the schedule's table, and those of a table that is broadcast.
 ROW_BLOCKS, BROADCAST_BLOCKS = 1000, 4_000_000
 # Code points of a block.
@@ -161,6 +167,48 @@ def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERI
     return rows
 
 
+def default_weights(sizes: dict[str, int], temperature: float) -> dict[str, int]:
+    """Sizes to the power ``temperature``, as fractions of ``FRACTIONS`` slots or few more."""
+    return shares({s: n**temperature for s, n in sizes.items()}, max(FRACTIONS, 2 * len(sizes))) if sizes else {}
+
+
+def has_short_period(blocks: dict[str, int], weights: dict[str, float]) -> bool:
+    """A table of one period for each source that ends is small enough for the driver."""
+    parts = exact({s: weights[s] for s, n in blocks.items() if n > 0})
+    return len(parts) * (sum(parts.values()) // math.gcd(*parts.values(), 0) if parts else 0) <= TABLE_ROWS
+
+
+def repeating_phases(blocks: dict[str, int], weights: dict[str, float]) -> list[tuple]:
+    """(source, first block, stop, first slot, slots a period, rank in it, place in it, its length).
+
+    The slots are those of ``exact_slots``. A phase ends when one of its sources ends; a row
+    tells where the blocks of one rank in the phase's period go.
+    """
+    left = {s: n for s, n in blocks.items() if n > 0}
+    done = dict.fromkeys(left, 0)
+    rows, clock = [], 0
+    while left:
+        parts = exact({s: weights[s] for s in left})
+        least = math.gcd(*parts.values())
+        parts = {s: n // least for s, n in parts.items()}
+        period = sum(parts.values())
+        # With a block more for each source, none ends within the period.
+        own = exact_slots({s: n + 1 for s, n in parts.items()}, parts)
+        places = {s: own[s][:n].tolist() for s, n in parts.items()}
+        length = min((n - 1) // parts[s] * period + places[s][(n - 1) % parts[s]] + 1 for s, n in left.items())
+        cycles, tail = divmod(length, period)
+        for s in list(left):
+            ran = cycles * parts[s] + bisect_left(places[s], tail)
+            for rank, place in enumerate(places[s][:ran]):
+                rows.append((s, done[s], done[s] + ran, clock, parts[s], rank, place, period))
+            done[s] += ran
+            left[s] -= ran
+            if not left[s]:
+                del left[s]
+        clock += length
+    return rows
+
+
 def ranked(docs: DataFrame, size: Column, block_size: int, bucket_rows: int, keep: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with the block that holds their first unit of size, size of each source).
 
@@ -213,15 +261,18 @@ def _slotted(
     placed, sizes = ranked(docs, F.col("n_chars"), block_chars, bucket_rows, docs.columns)
     found = {r["__source"]: r["size"] for r in sizes.collect()}
     if weights is None:
-        weights = {s: size**temperature for s, size in found.items()}
+        weights = default_weights(found, temperature)
     missing = set(found) - set(weights)
     if missing:
         raise ValueError(f"no weight for sources {sorted(missing)}")
     blocks = {s: -(-size // block_chars) for s, size in found.items()}
-    if period is None:
+    if period is not None:
+        table = [(*row, period) for row in phases(blocks, weights, period)]
+    elif has_short_period(blocks, weights):
+        table = repeating_phases(blocks, weights)
+    else:
         return _looked_up(docs, placed, exact_slots(blocks, weights))
-    table = phases(blocks, weights, period)
-    names = [f"__{n}" for n in ("from", "first", "stop", "clock", "slots", "rank", "place")]
+    names = [f"__{n}" for n in ("from", "first", "stop", "clock", "slots", "rank", "place", "period")]
     plan = small_frame(docs.sparkSession, table, ", ".join(f"{n} {'long' if i else 'string'}" for i, n in enumerate(names)))
     # Both are of the sources' number and the period alone: a row of a phase for each source
     # that has blocks in it, and one for each slot of the phase's period.
@@ -236,7 +287,7 @@ def _slotted(
         places,
         (F.col("__source") == F.col("__from_")) & (F.col("__clock") == F.col("__clock_")) & (F.col("__rank") == F.col("__rank_")),
     )
-    slot = (F.col("__clock") + F.col("__cycle") * period + F.col("__place_")).cast("long")
+    slot = (F.col("__clock") + F.col("__cycle") * F.col("__period") + F.col("__place_")).cast("long")
     return out.select(*docs.columns, "__block", slot.alias("__slot"), "__start")
 
 
@@ -251,8 +302,9 @@ def mix(
     """All rows and columns of ``docs`` with source_block, slot and position in the mix.
 
     ``weights`` gives each source's share of the mix, '' that of a null source; by default
-    it follows the source's code points to the power ``temperature``. Weights are held
-    exactly, or in multiples of ``1 / period`` if a period is given. Blocks hold
+    it follows the source's code points to the power ``temperature``, in multiples of a
+    ten-thousandth (or of less, for thousands of sources). Weights are held exactly, or in
+    multiples of ``1 / period`` if a period is given. Blocks hold
     ``block_chars`` of a source's code points by n_chars; a row lies in the block in which
     it starts, so a longer row leaves the slots of the blocks it covers to no other row.
     Slots give the order of blocks; ``position`` orders rows within a block's slot.

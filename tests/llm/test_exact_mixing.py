@@ -4,7 +4,7 @@ from fractions import Fraction
 
 import pytest
 
-from tablelift.llm.mixing import exact_slots, mix, shares
+from tablelift.llm.mixing import default_weights, exact_slots, has_short_period, mix, repeating_phases, shares
 
 from .conftest import frame
 
@@ -77,3 +77,44 @@ def test_rows_lie_in_the_slots_of_their_blocks(spark):
     place = {(s, b): t for s, b, t in slot_by_slot({s: -(-n // 100) for s, n in ends.items()}, {"a": 0.9, "b": 0.1})}
     assert len(rows) == 3000 and max(r.source_block for r in rows) > 1000
     assert all(r.slot == place[r.source, r.source_block] for r in rows)
+
+
+def placed_by(rows, blocks):
+    """The slot of every block, looked up as the operator does."""
+    found = {}
+    for s, first, stop, clock, slots, rank, place, period in rows:
+        for block in range(first + rank, stop, slots):
+            found[s, block] = clock + (block - first) // slots * period + place
+    assert len(found) == sum(blocks.values())
+    return found
+
+
+def test_repeating_phases_are_the_exact_schedule():
+    rng = random.Random(13)
+    for _ in range(60):
+        names = [f"s{i}" for i in range(rng.randrange(1, 9))]
+        blocks = {s: rng.randrange(0, 400) for s in names}
+        weights = {s: rng.choice([1, 2, 0.3, 2.5, rng.randrange(1, 60)]) for s in names}
+        assert has_short_period(blocks, weights)
+        wanted = {(s, b): t for s, own in exact_slots(blocks, weights).items() for b, t in enumerate(own)}
+        assert placed_by(repeating_phases(blocks, weights), blocks) == wanted
+
+
+def test_the_schedules_table_does_not_grow_with_the_blocks():
+    sizes = {"a": 10**14, "b": 10**13, "c": 3 * 10**12, "d": 7}
+    weights = default_weights(sizes, 0.5)
+    assert sum(weights.values()) == 10_000 and min(weights.values()) >= 1
+    tables = [repeating_phases({s: -(-n * k // 50_000) for s, n in sizes.items()}, weights) for k in (1, 1000)]
+    assert max(len(t) for t in tables) <= 4 * 10_000 and abs(len(tables[0]) - len(tables[1])) < 10_000
+
+
+def test_weights_without_a_short_period_are_scheduled_block_by_block(spark):
+    rng = random.Random(14)
+    docs = frame(spark, ["x" * rng.randrange(1, 90) for _ in range(500)], source=[rng.choice("ab") for _ in range(500)])
+    weights = {"a": 0.123456789, "b": 0.876543211}
+    rows = mix(docs, weights, block_chars=100).collect()
+    ends = {s: max(r.position + r.n_chars for r in rows if r.source == s) for s in "ab"}
+    blocks = {s: -(-n // 100) for s, n in ends.items()}
+    assert not has_short_period(blocks, weights)
+    place = {(s, b): t for s, b, t in slot_by_slot(blocks, weights)}
+    assert all(r.slot == place[r.source, r.source_block] for r in rows)
