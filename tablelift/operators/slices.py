@@ -6,6 +6,7 @@ import datetime as dt
 import hashlib
 import json
 import math
+from collections import Counter
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 SLICE_COLUMN = "__slice_no"
 # 1 for a row in the first slice that keeps it, 2 if others keep it too, 0 in those others.
 COVER_COLUMN = "__cover"
+# Quantiles that make up a slice of even weight.
+EVEN_STEPS = 8
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -96,6 +99,74 @@ def template_slices(
     return slices
 
 
+def even_slices(
+    df: DataFrame, key: str, count: int, label: str = "query", steps: int = EVEN_STEPS
+) -> list[Slice]:
+    """About ``count`` disjoint slices of about equally many rows, whatever the key's spread.
+
+    Quantiles of the key come from one aggregate, ``steps`` of them for each slice. A value
+    that holds nearly a slice's share of the rows, or more, is a slice of its own; runs of
+    quantiles between such values share the rest. The first slice has no lower bound and
+    the last no upper one, so rows that come later are in one of them; rows without a key
+    have their own.
+    """
+    kind = df.schema[key].dataType
+    if not isinstance(kind, (*INTEGERS, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType, T.FloatType, T.DoubleType)):
+        raise ValueError(f"no ranges over a {kind.simpleString()} column")
+    if count < 1 or steps < 2:
+        raise ValueError("a range needs at least one slice, of two steps")
+    value = F.col(f"`{key}`")
+    value = F.unix_micros(value) if isinstance(kind, T.TimestampType) else value
+    total = count * steps
+    shares = [i / total for i in range(1, total)]
+    found = df.agg(
+        (F.percentile_approx(value, shares, 100 * total) if shares else F.array(F.min(value))).alias("marks"),
+        F.max(value).alias("last"), F.count_if(value.isNull()).alias("nulls"),
+    ).first()
+    slices = []
+    if found.last is not None:
+        for i, text in enumerate(_even_ranges(f"`{key}`", kind, [*found.marks, found.last], count)):
+            slices.append(Slice(f"{label}/p{i:08d}", text))
+    if found.nulls:
+        slices.append(Slice(f"{label}/p{len(slices):08d}", f"`{key}` IS NULL"))
+    return slices
+
+
+def _even_ranges(key: str, kind: T.DataType, marks: list, count: int) -> list[str]:
+    """Predicates of the ranges that quantiles of equal weight, the greatest value last, are cut into."""
+    weights = Counter(marks)
+    steps = len(marks) / count
+    common = {v for v, n in weights.items() if n - 1 >= 0.75 * steps}
+    rest = sum(n for v, n in weights.items() if v not in common) + len(common)
+    share = rest / max(1, count - len(common))
+    # (upper bound, whether it is part of the range, weight); a common value is cut off at both ends.
+    ranges, held = [], 0.0
+    last = None
+    for v in sorted(weights):
+        if v in common:
+            ranges.append((v, False, held + 1))
+            ranges.append((v, True, weights[v]))
+            held, last = 0.0, None
+            continue
+        if last is not None and held + weights[v] > share + 0.5:
+            ranges.append((last, True, held))
+            held = 0.0
+        held += weights[v]
+        last = v
+    if last is not None:
+        ranges.append((last, True, held))
+    texts, lower = [], None
+    for i, (upper, inside, _) in enumerate(ranges):
+        bounds = []
+        if lower is not None:
+            bounds.append(f"{key} {'>' if lower[1] else '>='} {_literal(kind, lower[0])}")
+        if i < len(ranges) - 1:
+            bounds.append(f"{key} {'<=' if inside else '<'} {_literal(kind, upper)}")
+        texts.append(" AND ".join(bounds) or f"{key} IS NOT NULL")
+        lower = (upper, inside)
+    return texts
+
+
 def _micros(value: int | dt.datetime) -> int:
     if isinstance(value, int):
         return value

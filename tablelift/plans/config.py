@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, types as T
 
-from tablelift.operators.slices import predicate_slices, range_slices, template_slices
+from tablelift.operators.slices import even_slices, predicate_slices, range_slices, template_slices
 from tablelift.options import ExportOptions
 from tablelift.plans.job import run_job
 from tablelift.plans.tasks import database_tasks, one_table_tasks, query_tasks, schema_tasks
@@ -85,7 +85,8 @@ def run(
     """Export what a configuration asks for.
 
     A scope may have ``slices``: a list of predicates, or a range with ``column``,
-    ``start``, ``end`` and ``count``. With the key its partition template is about, given
+    ``start``, ``end`` and ``count``, or with ``column``, ``count`` and ``even`` for slices
+    of equal weight. With the key its partition template is about, given
     here or as ``slice_key`` of the scope, a query is sliced into as many ranges as may run
     side by side.
     """
@@ -102,6 +103,8 @@ def run(
 
         def slicer(task, frame):
             column = slices["column"]
+            if slices.get("even"):
+                return even_slices(frame, column, slices["count"], task.task_id.split(":", 1)[1])
             kind = frame.schema[column].dataType
             start, end = (_bound(slices[name], kind) for name in ("start", "end"))
             return range_slices(column, kind, start, end, slices["count"], task.task_id.split(":", 1)[1])
