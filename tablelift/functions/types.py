@@ -66,6 +66,46 @@ def schema_from_columns(columns: DataFrame) -> T.StructType:
     return T.StructType(fields)
 
 
+def nested_parts(kind: T.DataType) -> list[tuple[str, str | None, T.DataType, bool]]:
+    """(part, name, type, nullable) of what a nested type is made of; nothing for others."""
+    if isinstance(kind, T.ArrayType):
+        return [("element", None, kind.elementType, kind.containsNull)]
+    if isinstance(kind, T.MapType):
+        return [("key", None, kind.keyType, False), ("value", None, kind.valueType, kind.valueContainsNull)]
+    if isinstance(kind, T.StructType):
+        return [("field", f.name, f.dataType, f.nullable) for f in kind.fields]
+    return []
+
+
+def schema_from_nested(columns: DataFrame) -> T.StructType:
+    """Table schema from its nested catalog rows, arrays, maps and structs at any depth.
+
+    Types of leaves are declared ones, as in the flat catalog. Only the column list of one
+    table is read on the driver.
+    """
+    leaf = declared_type(F.col("data_type"), F.col("numeric_precision"), F.col("numeric_scale"))
+    rows = columns.select("*", leaf.alias("spark_type"), (F.upper("is_nullable") != "NO").alias("nullable")).collect()
+    children: dict[int | None, list] = {}
+    for row in sorted(rows, key=lambda r: r.ordinal_position):
+        children.setdefault(row.parent_id, []).append(row)
+
+    def typed(row) -> T.DataType:
+        parts = {part.part: part for part in children.get(row.column_id, [])}
+        name = row.data_type.lower()
+        if name == "array":
+            return T.ArrayType(typed(parts["element"]), parts["element"].nullable)
+        if name == "map":
+            return T.MapType(typed(parts["key"]), typed(parts["value"]), parts["value"].nullable)
+        if name == "struct":
+            return T.StructType([fielded(part) for part in children.get(row.column_id, [])])
+        return T._parse_datatype_string(row.spark_type)
+
+    def fielded(row) -> T.StructField:
+        return T.StructField(row.column_name, typed(row), row.nullable)
+
+    return T.StructType([fielded(row) for row in children.get(None, [])])
+
+
 def nullable_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 

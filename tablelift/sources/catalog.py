@@ -8,6 +8,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tablelift.functions.names import glob_match
+from tablelift.functions.types import nested_parts
 from tablelift.session import small_frame
 from tablelift.storage import Store
 
@@ -20,6 +21,13 @@ COLUMNS_SCHEMA = (
 )
 
 
+NESTED_SCHEMA = (
+    "table_schema string, table_name string, column_id int, parent_id int, ordinal_position int, "
+    "part string, column_name string, data_type string, is_nullable string, "
+    "numeric_precision int, numeric_scale int"
+)
+
+
 class LakeSource:
     """Parquet tables of one folder, ``<root>/<table>.parquet``, as one schema.
 
@@ -143,6 +151,32 @@ def frame_columns(df: DataFrame, schema: str, table: str) -> DataFrame:
     return small_frame(df.sparkSession, rows, COLUMNS_SCHEMA).orderBy("ordinal_position")
 
 
+def nested_columns(df: DataFrame, schema: str, table: str) -> DataFrame:
+    """The column catalog of a frame with what nested columns are made of.
+
+    A row is a column of the table, or a part of another row, its parent: the element of an
+    array, the key or the value of a map, a field of a struct. Arrays, maps and structs are
+    named as such, other types as in the flat catalog.
+    """
+    rows: list[tuple] = []
+
+    def add(parent: int | None, position: int, part: str, name: str | None, kind: T.DataType, nullable: bool) -> None:
+        own = len(rows) + 1
+        decimal = isinstance(kind, T.DecimalType)
+        parts = nested_parts(kind)
+        named = kind.typeName() if parts else DECLARED.get(kind.simpleString(), kind.simpleString())
+        rows.append((
+            schema, table, own, parent, position, part, name, "decimal" if decimal else named,
+            "YES" if nullable else "NO", kind.precision if decimal else None, kind.scale if decimal else None,
+        ))
+        for i, (inner, inner_name, inner_kind, inner_nullable) in enumerate(parts, start=1):
+            add(own, i, inner, inner_name, inner_kind, inner_nullable)
+
+    for i, field in enumerate(df.schema.fields, start=1):
+        add(None, i, "column", field.name, field.dataType, field.nullable)
+    return small_frame(df.sparkSession, rows, NESTED_SCHEMA).orderBy("column_id")
+
+
 def base_tables(tables: DataFrame, schema: str | None = None) -> DataFrame:
     """Base tables, of one schema (any case) or all, in name order."""
     chosen = tables.where(F.col("table_type") == "BASE TABLE")
