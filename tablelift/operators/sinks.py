@@ -12,6 +12,7 @@ from typing import NamedTuple
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
+from tablelift.operators.digest import digest_of, digest_parts, digest_text
 from tablelift.operators.layout import (
     SAMPLE_ROWS,
     SIZE_TOLERANCE,
@@ -59,6 +60,8 @@ class Published:
     rows_first: int | None = None
     rows_several: int | None = None
     rows_of_source: int | None = None
+    # What the rows add up to, if asked for.
+    digest: str | None = None
 
 
 class Counted(NamedTuple):
@@ -67,6 +70,7 @@ class Counted(NamedTuple):
     rows: int
     first: int | None = None
     several: int | None = None
+    digest: str | None = None
 
 
 def export_frame(
@@ -100,6 +104,15 @@ def export_frame(
         return _covered(publish(store, staging.data, "single", target, counted.rows, options), counted)
 
 
+def verify_export(
+    spark: SparkSession, path: str, fmt: str, schema: T.StructType, digest: str, one_line_rows: bool = False
+) -> None:
+    """An error unless the rows that can be read back are those the digest was taken of."""
+    found = digest_of(read_export(spark, path, fmt, schema, one_line_rows))
+    if found != digest:
+        raise ValueError(f"the rows of {path} are not those that were exported: {found} and not {digest}")
+
+
 def export_slices(
     df: DataFrame,
     slices: list[Slice],
@@ -310,10 +323,10 @@ def _write_in_place(df: DataFrame, store: Store, target: str, options: ExportOpt
 
 
 def _covered(out: Published, counted: Counted) -> Published:
-    return replace(out, rows_first=counted.first, rows_several=counted.several)
+    return replace(out, rows_first=counted.first, rows_several=counted.several, digest=counted.digest)
 
 
-def _counted(df: DataFrame, slice_numbers: list) -> tuple[DataFrame, Callable[[], list[Counted]]]:
+def _counted(df: DataFrame, slice_numbers: list, digest: bool = False) -> tuple[DataFrame, Callable[[], list[Counted]]]:
     """``df`` with its rows counted on the way, without the columns that serve to count,
     and what gives the counts after a write.
 
@@ -329,12 +342,20 @@ def _counted(df: DataFrame, slice_numbers: list) -> tuple[DataFrame, Callable[[]
         if covers:
             counts[f"first_{i}"] = F.count_if(own & (F.col(COVER_COLUMN) > 0))
             counts[f"several_{i}"] = F.count_if(own & (F.col(COVER_COLUMN) > 1))
+        if digest:
+            rows = df.drop(COVER_COLUMN, SLICE_COLUMN).schema
+            for k, part in enumerate(digest_parts(rows, own)):
+                counts[f"digest_{i}_{k}"] = part
     df = df.observe(seen, *[c.alias(name) for name, c in counts.items()]).drop(COVER_COLUMN)
 
     def found() -> list[Counted]:
         got = seen.get
         names = ("rows", "first", "several") if covers else ("rows",)
-        return [Counted(*[int(got.get(f"{n}_{i}") or 0) for n in names]) for i in range(len(slice_numbers))]
+        out = [Counted(*[int(got.get(f"{n}_{i}") or 0) for n in names]) for i in range(len(slice_numbers))]
+        if digest:
+            texts = [digest_text([got.get(f"digest_{i}_{k}") for k in range(3)]) for i in range(len(out))]
+            out = [counted._replace(digest=text) for counted, text in zip(out, texts)]
+        return out
 
     return df, found
 
@@ -343,7 +364,7 @@ def _stage(
     df: DataFrame, folder: str, options: ExportOptions, cap: int | None, slice_numbers: list
 ) -> list[Counted]:
     """Write the files and return rows per slice number."""
-    df, found = _counted(df, slice_numbers)
+    df, found = _counted(df, slice_numbers, options.digest)
     mode = "append" if options.mode == "append" else "overwrite"
     writer = _writer(df, options, cap, mode)
     if slice_numbers != [None]:
@@ -385,7 +406,7 @@ def _stage_zstd(df: DataFrame, folder: str, options: ExportOptions) -> Counted:
 
 def _write_zstd(df: DataFrame, store: Store, folder: str, options: ExportOptions) -> tuple[list[str], Counted]:
     """Files of successful tasks, and their rows: one short row a file comes to the driver."""
-    df, found = _counted(df, [None])
+    df, found = _counted(df, [None], options.digest)
     # The writer travels with the job, so executors need not have this package.
     cloudpickle.register_pickle_by_value(zstd_text)
     lines, header = text_lines(df, options.format)
