@@ -39,8 +39,11 @@ RECORD_SCHEMA = KEY_TYPES + (
     ", status string, object_path string, row_count long, "
     "bytes_uncompressed long, bytes_compressed long, etag string, attempt int, error string, "
     "watermark string, seq long, "
-    "predicate_hash string, slices_hash string, rows_first long, rows_several long"
+    "predicate_hash string, slices_hash string, rows_first long, rows_several long, row_digest string"
 )
+# Appends that are merged into a state, the rows of a state's file, and what a state is made of.
+COMPACT_AT, STATE_ROWS = 512, 1_000_000
+MERGED = "_merged.json"
 # A committed unit that is to be done again, as its predicate is another one now.
 PLANNED_AGAIN = (COMMITTED, PLANNED)
 
@@ -131,22 +134,78 @@ class Manifest:
     """The log of one job, or with no job named, of all jobs in a folder.
 
     Every append is a file of its own, as appends may run at the same time. Its few rows
-    are written by the driver that has them, as JSON lines; no job runs for them.
+    are written by the driver that has them, as JSON lines; no job runs for them. When
+    ``compact_at`` of them have come together they are merged into a Parquet state, so that
+    a log is read from a bounded number of files, whatever the number of units.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, job_id: str | None = None):
+    def __init__(self, spark: SparkSession, folder: str, job_id: str | None = None, compact_at: int = COMPACT_AT):
         self.spark = spark
         self.folder = folder.rstrip("/")
         if job_id is not None:
             self.folder += f"/job-{path_safe_text(job_id)}"
+        self.compact_at = compact_at
+        self._appended = 0
+        self._lock = threading.Lock()
+
+    def _listed(self, folder: str) -> tuple[dict[str, dict], list[str]]:
+        """(states that count, with what they are made of; appends that no state has)."""
+        store = Store(self.spark, folder)
+        names = store.files(folder)
+        marks = {n: store.read_text(f"{folder}/{n}/{MERGED}") for n in names if n.startswith("state-")}
+        # A state counts from when it says what it is made of, which is written last.
+        states = {n: json.loads(text) for n, text in marks.items() if text is not None}
+        replaced = {old for state in states.values() for old in state["states"]}
+        merged = {name for state in states.values() for name in state["appends"]}
+        live = {n: state for n, state in states.items() if n not in replaced}
+        return live, [n for n in names if n.startswith("append-") and n not in merged]
+
+    def _folders(self) -> list[str]:
+        below = Store(self.spark, self.folder).files(self.folder)
+        return [self.folder, *(f"{self.folder}/{name}" for name in below if name.startswith("job-"))]
+
+    def file_count(self) -> int:
+        """Files and states a reader opens now."""
+        return sum(len(part) for folder in self._folders() for part in self._listed(folder))
 
     def records(self) -> DataFrame:
-        if not Store(self.spark, self.folder).files(self.folder):
-            empty = small_frame(self.spark, [], RECORD_SCHEMA)
-            return empty.withColumn("stable_id", stable_id())
-        reader = self.spark.read.option("recursiveFileLookup", True)
-        logged = reader.schema(RECORD_SCHEMA).json(self.folder)
-        return logged.withColumn("stable_id", stable_id())
+        states, appends = [], []
+        for folder in self._folders():
+            live, tail = self._listed(folder)
+            states += [f"{folder}/{name}" for name in live]
+            appends += [f"{folder}/{name}" for name in tail]
+        return self._read(states, appends).withColumn("stable_id", stable_id())
+
+    def _read(self, states: list[str], appends: list[str]) -> DataFrame:
+        reader = self.spark.read.schema(RECORD_SCHEMA)
+        parts = [reader.json(appends)] if appends else []
+        parts += [reader.parquet(*states)] if states else []
+        if not parts:
+            return small_frame(self.spark, [], RECORD_SCHEMA)
+        records = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+        # Two drivers that merged at the same time have some records in both states.
+        return records.dropDuplicates() if len(states) > 1 else records
+
+    def compact(self) -> None:
+        """Merge all appends and states of this job's log into one state.
+
+        Nobody waits: the new state says what it is made of, and readers leave that out.
+        What states were made of that are replaced now is deleted, so that those who listed
+        the log before still find what they listed; what is merged now goes the next time.
+        """
+        store = Store(self.spark, self.folder)
+        live, tail = self._listed(self.folder)
+        if not tail and len(live) < 2:
+            return
+        name = f"state-{uuid.uuid4().hex}"
+        records = self._read([f"{self.folder}/{n}" for n in live], [f"{self.folder}/{n}" for n in tail])
+        count = records.count()
+        records.coalesce(max(1, count // STATE_ROWS)).write.parquet(f"{self.folder}/{name}")
+        made_of = {"states": sorted(live), "appends": sorted(tail)}
+        store.replace_text(f"{self.folder}/{name}/{MERGED}", json.dumps(made_of))
+        for old in live.values():
+            for gone in old["states"] + old["appends"]:
+                store.delete(f"{self.folder}/{gone}")
 
     def states(self, keys: list[dict]) -> list[dict]:
         """The given keys, each with its next attempt and with its last record as ``last_...``."""
@@ -199,3 +258,8 @@ class Manifest:
         if lines:
             store = Store(self.spark, self.folder)
             store.write_text(f"{self.folder}/append-{uuid.uuid4().hex}.json", "\n".join(lines) + "\n")
+            with self._lock:
+                self._appended += 1
+                if self._appended >= self.compact_at:
+                    self._appended = 0
+                    self.compact()

@@ -8,12 +8,12 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tablelift.functions.names import single_target
 from tablelift.operators.incremental import export_new_rows
-from tablelift.operators.manifest import COMMITTED, KEY_FIELDS, Manifest
-from tablelift.operators.sinks import Published, export_frame, export_slices
+from tablelift.operators.manifest import COMMITTED, KEY_FIELDS, Manifest, latest
+from tablelift.operators.sinks import Published, export_frame, export_slices, verify_export
 from tablelift.operators.slices import SLICE_COLUMN, Slice, predicate_hash, single_slice, uncovered_rows
 from tablelift.options import ExportOptions
 from tablelift.plans.tasks import TABLE
@@ -61,6 +61,8 @@ def run_job(
     with ThreadPoolExecutor(max_workers=options.table_concurrency) as pool:
         planned = list(pool.map(job.plan, tasks.collect()))
         job.look_up(planned)
+        if job.manifest and options.resume and job.manifest.file_count() > job.manifest.compact_at:
+            job.manifest.compact()
         rows = [row for done in pool.map(job.run, planned) for row in done]
     return small_frame(spark, rows, RESULT_SCHEMA)
 
@@ -271,6 +273,7 @@ class _Job:
                         slices_hash=predicate_hash(planned.slices),
                         rows_first=out.rows_first,
                         rows_several=out.rows_several,
+                        row_digest=out.digest,
                     )
                     for out in done
                 ]
@@ -314,6 +317,28 @@ class _Job:
             return export_slices(planned.frame, part, task.target_prefix, options, planned.table, numbered)
 
 
+def verify_job(spark: SparkSession, manifest: Manifest, schemas: dict[str, T.StructType], fmt: str) -> DataFrame:
+    """Whether each committed unit of a job can be read back as it was exported.
+
+    One row (object_path, row_count, verified, error) for each; ``schemas`` has the schema
+    of each table or query by its name. Units exported without a digest are not verified.
+    """
+    done = latest(manifest.records()).where(F.col("status") == COMMITTED).collect()
+
+    def check(unit: Row) -> tuple:
+        error = None
+        if unit.row_digest:
+            try:
+                verify_export(spark, unit.object_path, fmt, schemas[unit.table or unit.query_name], unit.row_digest)
+            except Exception as found:
+                error = _message(found)
+        return unit.object_path, unit.row_count, bool(unit.row_digest) and error is None, error
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = list(pool.map(check, done))
+    return small_frame(spark, rows, "object_path string, row_count long, verified boolean, error string")
+
+
 def _task_frames(
     source, task: Row, options: ExportOptions, job_id: str
 ) -> tuple[DataFrame | None, DataFrame]:
