@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablelift.operators.incremental import export_new_rows
 from tablelift.operators.manifest import LEGAL_MOVES, PLANNED_AGAIN, Manifest, illegal_moves, latest
-from tablelift.operators.sinks import export_frame
-from tablelift.operators.slices import predicate_slices
+from tablelift.functions.types import conform, schema_from_nested
+from tablelift.operators.sinks import export_frame, export_slices
+from tablelift.operators.slices import even_slices, predicate_slices
 from tablelift.options import ExportOptions
-from tablelift.plans.job import run_job
+from tablelift.plans.job import raise_on_failure, run_job, verify_job
 from tablelift.plans.queries import lake, table
 from tablelift.plans.tasks import one_table_tasks
 from tablelift.session import fresh_dir, small_frame
+from tablelift.sources.catalog import nested_columns
 from tablelift.sources.readback import read_export
 from tablelift.storage import Store
 
@@ -161,7 +163,102 @@ def query_session_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_export(spark, target, "parquet", rows.schema)
 
 
+def slice_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in slices of even weight by a key whose values thin out, and by one that has
+    half of the rows at one value; sizes are those of the exported files."""
+    home = fresh_dir(spark, "even")
+    keys = {"cubed": "o_orderkey * o_orderkey * o_orderkey", "half": "IF(o_orderkey % 2 = 0, 7, o_orderkey)"}
+    found = []
+    for name, text in keys.items():
+        orders = table(spark, sf_dir, "orders").withColumn("k", F.expr(text))
+        slices = even_slices(orders, "k", 8)
+        done = export_slices(orders, slices, f"{home}/{name}", ExportOptions(target=home), whole=slices)
+        back = read_export(spark, f"{home}/{name}", "parquet", orders.schema)
+        sizes = sorted(p.rows for p in done)
+        alone = back.where("k = 7").count() if name == "half" else 0
+        others = [n for n in sizes if n != alone]
+        found.append((
+            name, sum(sizes), sum(p.rows_first for p in done), back.select("o_orderkey").distinct().count(),
+            max(others) <= 1.5 * sum(others) / len(others), alone == 0 or alone in sizes,
+        ))
+    return small_frame(spark, found, "key string, row_count long, rows_first long, keys_found long, even boolean, alone boolean")
+
+
+def catalog_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings, and orders with arrays, maps and structs, conformed to the schemas of
+    their own catalog rows and exported; what the columns and values are afterwards."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    nested = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.struct(
+            F.col("o_totalprice").cast("decimal(15,2)").alias("price"),
+            F.array(F.struct(F.col("o_custkey").alias("key"), F.lit(None).cast("date").alias("day"))).alias("customers"),
+        ).alias("facts"),
+        F.create_map("o_orderstatus", F.array("o_custkey", F.lit(None))).alias("by_status"),
+    )
+    kept = []
+    for name, df in (("embeddings", embeddings), ("orders", nested)):
+        schema = schema_from_nested(nested_columns(df, "dbo", name))
+        target = fresh_dir(spark, "nested")
+        export_frame(conform(df, schema), target, ExportOptions(target=target))
+        kept.append(read_export(spark, target, "parquet", schema))
+    vectors = kept[0].select(
+        F.lit("embeddings").alias("source"), F.col("vec_id").alias("id"), F.typeof("embedding").alias("type"),
+        F.size("embedding").cast("long").alias("parts"), F.round(F.col("embedding")[0].cast("double"), 6).alias("value"),
+    )
+    facts = kept[1].select(
+        F.lit("orders").alias("source"), F.col("o_orderkey").alias("id"),
+        F.concat_ws(" ", F.typeof("facts"), F.typeof("by_status")).alias("type"),
+        F.element_at(F.map_values("by_status"), 1)[0].alias("parts"),
+        F.round(F.col("facts.price").cast("double"), 2).alias("value"),
+    )
+    return vectors.unionByName(facts)
+
+
+def verify_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliced orders with digests in the manifest, read back: as they are, with a row changed
+    in one slice, and with a row twice in another."""
+    source = lake(spark, sf_dir)
+    home = fresh_dir(spark, "verify")
+    options = ExportOptions(target=home + "/{table}", format="csv", manifest_dir=home + "-m", digest=True)
+    tasks = one_table_tasks(source, "dbo", "orders", options)
+    texts = [f"o_orderkey % 4 = {i}" for i in range(4)]
+    raise_on_failure(run_job(source, tasks, options, lambda task, frame: predicate_slices(texts), "verify"))
+    manifest = Manifest(spark, options.manifest_dir, "verify")
+    schema = source.frame("dbo", "orders").schema
+    found = []
+    for step in ("exported", "tampered"):
+        if step == "tampered":
+            changed = F.when(F.col("o_orderkey") == 5, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))
+            for i, alter in ((1, lambda df: df.withColumn("o_totalprice", changed)), (2, lambda df: df.union(df.where("o_orderkey = 6")))):
+                folder = f"{home}/orders/p{i:08d}"
+                other = fresh_dir(spark, "tampered")
+                alter(read_export(spark, folder, "csv", schema)).select(*schema.names).write.parquet(other)
+                export_frame(spark.read.parquet(other), folder, ExportOptions(target=folder, format="csv"))
+        told = verify_job(spark, manifest, {"orders": schema}, "csv")
+        found.append(told.select(F.lit(step).alias("step"), F.regexp_extract("object_path", r"p\d+$", 0).alias("slice_id"), "row_count", "verified"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def manifest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of what happened to customers, in very many small files: the last state of each
+    before and after they are merged, with records that come in between."""
+    customers = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count("*").alias("n")).collect()
+    manifest = Manifest(spark, fresh_dir(spark, "compacted"), "segments", compact_at=40)
+    for attempt in range(1, 13):
+        for row in sorted(customers, key=lambda r: r.c_mktsegment or ""):
+            key = {"job_id": "segments", "table": "customer", "partition_id": row.c_mktsegment, "file_index": 0}
+            manifest.append([{**key, "status": "running", "attempt": attempt, "row_count": row.n}])
+    files = manifest.file_count()
+    last = latest(manifest.records()).select("partition_id", "attempt", "row_count")
+    return last.withColumn("few_files", F.lit(files <= 45)).withColumn(
+        "records", F.lit(manifest.records().count()).cast("long")
+    )
+
+
 NAMED = (
+    manifest_compacted,
+    slice_even, catalog_nested, verify_exports,
     overwrite_in_place, coverage_balanced, coverage_after_resume, resume_other_predicates,
     pinned_files_changed, watermark_all_null, query_session_zone,
 )
@@ -206,6 +303,29 @@ def _coverage_oracles() -> dict[str, str]:
 ORACLES = {
     "overwrite_in_place": _overwrite_oracle(),
     **_coverage_oracles(),
+    "manifest_compacted": """
+        SELECT c_mktsegment AS partition_id, 12 AS attempt, count(*) AS row_count, true AS few_files,
+            12 * (SELECT count(DISTINCT c_mktsegment) FROM customer) AS records
+        FROM customer GROUP BY c_mktsegment
+    """,
+    "slice_even": """
+        SELECT key, count(*) AS row_count, count(*) AS rows_first, count(DISTINCT o_orderkey) AS keys_found, true AS even, true AS alone
+        FROM orders, (VALUES ('cubed'), ('half')) AS k(key) GROUP BY key
+    """,
+    "catalog_nested": """
+        SELECT 'embeddings' AS source, vec_id AS id, 'array<float>' AS type, len(embedding) AS parts,
+            round(CAST(embedding[1] AS DOUBLE), 6) AS value
+        FROM embeddings
+        UNION ALL SELECT 'orders', o_orderkey,
+            'struct<price:decimal(15,2),customers:array<struct<key:bigint,day:date>>> map<string,array<bigint>>',
+            o_custkey, round(o_totalprice, 2)
+        FROM orders
+    """,
+    "verify_exports": """
+        SELECT step, 'p0000000' || (o_orderkey % 4) AS slice_id, count(*) AS row_count,
+            step = 'exported' OR o_orderkey % 4 IN (0, 3) AS verified
+        FROM orders, (VALUES ('exported'), ('tampered')) AS s(step) GROUP BY step, o_orderkey % 4
+    """,
     "resume_other_predicates": """
         SELECT 'p0000000' || i AS slice_id, CASE i WHEN 0 THEN 'skipped' ELSE 'completed' END AS status,
             i + 1 AS attempt, count(*) AS rows_found, count(DISTINCT o_orderkey) AS keys_found, CAST(0 AS BIGINT) AS illegal_moves

@@ -153,3 +153,117 @@ def test_a_query_runs_under_its_callers_settings(spark, out):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert source.query(text).first().n == 0
+
+
+def unit(i, **facts):
+    return {"job_id": "j", "table": "t", "partition_id": f"p{i}", "file_index": 0, **facts}
+
+
+def test_a_log_of_many_units_is_read_from_few_files(spark, out):
+    manifest = m.Manifest(spark, out, "j", compact_at=20)
+    for i in range(90):
+        manifest.append([unit(i, status="running", attempt=1), unit(i, status="uploaded", attempt=1)])
+        if i % 2:
+            manifest.append([unit(i, status="committed", attempt=1, row_count=i)])
+    assert manifest.file_count() <= 21
+    again = m.Manifest(spark, out, "j")
+    assert again.records().count() == 225
+    work = again.open_work([unit(i) for i in range(91)])
+    assert sorted(int(w["partition_id"][1:]) for w in work) == [*range(0, 90, 2), 90]
+    assert m.Manifest(spark, out).records().count() == 225
+    # Files on disk: the last two generations, and the tail.
+    assert len(Store(spark, out).files(out + "/job-j")) <= 44
+
+
+def test_logs_merged_at_the_same_time_count_once(spark, out, monkeypatch):
+    one, other = (m.Manifest(spark, out, "j", compact_at=1000) for _ in range(2))
+    for i in range(6):
+        one.append([unit(i, status="running", attempt=1)])
+    before = one._listed(one.folder)
+    one.compact()
+    # The other driver has listed the log before that.
+    listed = other._listed
+    monkeypatch.setattr(other, "_listed", lambda folder: before)
+    other.compact()
+    monkeypatch.setattr(other, "_listed", listed)
+    assert len(other._listed(other.folder)[0]) == 2 and other.records().count() == 6
+    other.append([unit(7, status="running", attempt=1)])
+    other.compact()
+    assert one.records().count() == 7 and one.file_count() == 1
+
+
+def test_a_state_that_was_not_finished_does_not_count(spark, out):
+    manifest = m.Manifest(spark, out, "j", compact_at=1000)
+    manifest.append([unit(1, status="running", attempt=1)])
+    manifest.records().drop("stable_id").write.parquet(manifest.folder + "/state-left")
+    assert manifest.records().count() == 1
+
+
+def test_even_slices_of_any_spread(spark):
+    from tablelift.operators.slices import even_slices, slice_report
+
+    frames = {
+        "cubed": spark.range(4000).selectExpr("id * id * id AS k"),
+        "common": spark.range(4000).selectExpr("IF(id % 2 = 0, 7, id) AS k"),
+        "nulls": spark.range(400).selectExpr("IF(id % 3 = 0, NULL, id) AS k"),
+        "one": spark.range(50).selectExpr("5L AS k"),
+        "dates": spark.range(500).selectExpr("date_add(DATE '2024-01-01', CAST(id % 90 AS INT)) AS k"),
+        "instants": spark.range(500).selectExpr("timestamp_micros(id * id * 1000003) AS k"),
+        "decimals": spark.range(500).selectExpr("CAST(id / 7 AS decimal(12,3)) AS k"),
+        "doubles": spark.range(500).selectExpr("IF(id = 3, double('NaN'), sqrt(id)) AS k"),
+    }
+    for name, df in frames.items():
+        slices = even_slices(df, "k", 8)
+        report = slice_report(df, slices, "k").collect()
+        assert {r.slices_hit for r in report} == {1}, name
+        sizes = sorted(r.row_count for r in report)
+        assert sum(sizes) == df.count()
+        if name in ("cubed", "instants", "decimals", "doubles"):
+            assert len(sizes) == 8 and sizes[-1] <= 1.5 * sum(sizes) / 8, (name, sizes)
+    assert even_slices(spark.range(0), "id", 4) == []
+    with pytest.raises(ValueError, match="no ranges"):
+        even_slices(spark.range(3).selectExpr("string(id) AS k"), "k", 2)
+
+
+def test_nested_types_read_back(spark):
+    from tablelift.functions.types import schema_from_nested
+    from tablelift.sources.catalog import nested_columns
+
+    text = (
+        "a array<array<float>>, m map<string, struct<x: decimal(9,3), y: array<date>>>, "
+        "s struct<t: timestamp_ntz, u: binary, v: struct<w: boolean>>, i int NOT NULL"
+    )
+    df = spark.createDataFrame([], text)
+    assert schema_from_nested(nested_columns(df, "dbo", "t")) == df.schema
+    rows = {(r.column_id, r.parent_id, r.part, r.data_type) for r in nested_columns(df, "dbo", "t").collect()}
+    assert {(1, None, "column", "array"), (2, 1, "element", "array"), (3, 2, "element", "real")} <= rows
+
+
+@pytest.mark.parametrize(("fmt", "codec"), KINDS)
+def test_a_changed_or_doubled_row_is_found(spark, out, fmt, codec):
+    from tablelift.operators.digest import digest_of
+    from tablelift.operators.sinks import verify_export
+
+    df = spark.range(40).selectExpr(
+        "id", "IF(id = 3, NULL, CONCAT('t', id)) AS t", "id / 3 AS d", "array(id, NULL) AS a", "map('k', id) AS m"
+    )
+    options = ExportOptions(target=out, format=fmt, compression=codec, digest=True)
+    done = export_frame(df, out, options)
+    verify_export(spark, out, fmt, df.schema, done.digest)
+    assert done.digest == digest_of(df.repartition(7))
+    for other in (
+        df.withColumn("d", F.expr("IF(id = 7, d + 1e-9, d)")), df.union(df.where("id = 1")), df.where("id <> 2"),
+        df.withColumn("m", F.expr("IF(id = 9, map('k', 0), m)")),
+    ):
+        assert digest_of(other) != done.digest
+        export_frame(other, out, ExportOptions(target=out, format=fmt, compression=codec))
+        with pytest.raises(ValueError, match="not those"):
+            verify_export(spark, out, fmt, df.schema, done.digest)
+
+
+def test_digests_of_slices_are_of_their_rows(spark, out):
+    from tablelift.operators.digest import digest_of
+
+    df, slices = spark.range(30), predicate_slices(["id % 3 = 0", "id % 3 > 0"])
+    done = export_slices(df, slices, out, ExportOptions(target=out, digest=True), whole=slices)
+    assert [p.digest for p in done] == [digest_of(df.where(s.predicate)) for s in slices]
