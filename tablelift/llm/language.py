@@ -18,11 +18,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablelift.llm.chains import expectations, marginals
 from tablelift.llm.words import LETTER_BYTES, mix, text_chunks, word_hashes, word_spans
 
-# Texts of each language that the field is trained on, about, and code points of one at most.
+# Texts of each language that the field is trained on, about, and code points of one at most,
+# unless a language has no text that short.
 SAMPLE_TEXTS, SAMPLE_CHARS = 250, 20_000
-# Languages at most; more are refused.
-MAX_LANGUAGES = 256
-SLOTS = 1 << 16
+# Texts in all, about: with very many languages there are fewer of each.
+SAMPLE_IN_ALL = 64_000
+# Languages at most; every one is a row and a column of the transitions.
+MAX_LANGUAGES = 1024
+# Slots of features, and of the features of all languages together: more languages share fewer.
+SLOTS, SLOTS_IN_ALL = 1 << 16, 1 << 24
 AFFIXES = (1, 2, 3)
 GRAMS = (3, 4)
 # A word is in the lexicon if the sample has it so often.
@@ -72,7 +76,7 @@ class Field:
     def scores(self, slots: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         if len(bounds) == 1:
             return np.zeros((0, len(self.languages)))
-        return np.add.reduceat(self.weights[slots], bounds[:-1], axis=0).astype(np.float64)
+        return np.add.reduceat(self.weights[slots & (len(self.weights) - 1)], bounds[:-1], axis=0).astype(np.float64)
 
 
 def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -98,8 +102,10 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Field | None:
     lexicon = np.sort(word_hashes(data, one_start[frequent], one_end[frequent]))
     slots, bounds = word_features(data, one_start, one_end, lexicon)
     n = len(languages)
-    field = Field(languages, lexicon, np.zeros((SLOTS, n), np.float32), np.zeros(n), np.zeros((n, n)))
-    squares, move_squares, start_squares = np.full((SLOTS, n), 1e-6), np.full((n, n), 1e-6), np.full(n, 1e-6)
+    size = min(SLOTS, 1 << (SLOTS_IN_ALL // n).bit_length() - 1)
+    slots &= size - 1
+    field = Field(languages, lexicon, np.zeros((size, n), np.float32), np.zeros(n), np.zeros((n, n)))
+    squares, move_squares, start_squares = np.full((size, n), 1e-6), np.full((n, n), 1e-6), np.full(n, 1e-6)
     y_text = y_of[order]
     for _ in range(EPOCHS):
         for a in range(0, len(texts), BATCH_TEXTS):
@@ -120,7 +126,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Field | None:
             pairs -= np.diag(np.bincount(y, minlength=n) - np.bincount(opened, minlength=n))
             by_word = np.stack([np.bincount(local, single[:, k], len(words)) for k in range(n)], axis=1)
             spread = np.repeat(by_word, sizes, axis=0)
-            step = np.stack([np.bincount(slots[at], spread[:, k], SLOTS) for k in range(n)], axis=1)
+            step = np.stack([np.bincount(slots[at], spread[:, k], size) for k in range(n)], axis=1)
             for value, gradient, square in (
                 (field.weights, step / len(y), squares), (field.move, pairs / len(y), move_squares),
                 (field.start, first / len(y), start_squares),
@@ -132,20 +138,40 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Field | None:
 
 
 def training_sample(docs: DataFrame, chosen: Column, per_language: int, max_chars: int) -> tuple[list[str], list[str]]:
-    """(texts, languages) of about ``per_language`` texts of each language, by a hash of doc_id."""
+    """(texts, languages) of about ``per_language`` texts of each language, by a hash of doc_id.
+
+    Languages are those of all chosen rows. Of a language that has texts of ``max_chars``
+    code points or fewer only those are taken, of another whole longer ones, about as many
+    as make up the same size.
+    """
+    size = F.length("text")
     usable = docs.where(chosen & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    usable = usable.where(F.length("text") <= max_chars)
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
+    counted = usable.groupBy("lang").agg(
+        F.count_if(size <= max_chars).alias("short"), F.count("*").alias("n"), F.avg(size).alias("mean")
+    ).limit(MAX_LANGUAGES + 1).collect()
+    if len(counted) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
+    if not counted:
         return [], []
+    per_language = max(1, min(per_language, SAMPLE_IN_ALL // len(counted)))
     parts = 1_000_000
     place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(parts))
-    limit = F.create_map(*(F.lit(x) for lang, n in counts.items()
-                           for x in (lang, min(parts, -(-parts * per_language // n)))))
-    rows = usable.where(place < limit[F.col("lang")]).select("doc_id", "text", "lang").orderBy("doc_id", "text")
-    found = rows.limit(2 * per_language * len(counts)).toArrow()
+    shares, lengths = [], []
+    for r in counted:
+        wanted, of = (per_language, r.short) if r.short else (max(1, int(per_language * max_chars / r.mean)), r.n)
+        shares += [F.lit(r.lang), F.lit(min(parts, -(-parts * wanted // of)))]
+        lengths += [F.lit(r.lang), F.lit(max_chars if r.short else 1 << 31)]
+    fits = (place < F.create_map(*shares)[F.col("lang")]) & (size <= F.create_map(*lengths)[F.col("lang")])
+    rows = usable.where(fits).select("doc_id", "text", "lang").orderBy("doc_id", "text")
+    found = rows.limit(2 * per_language * len(counted)).toArrow()
+    # By the hash a language may have drawn none of its few texts; then it gets one.
+    drawn = set(found["lang"].to_pylist())
+    missing = [r.lang for r in counted if r.lang not in drawn]
+    if missing:
+        one = usable.where(F.col("lang").isin(missing)).groupBy("lang").agg(
+            F.min_by("text", F.struct(size, F.col("text"))).alias("text")
+        ).select("text", "lang").toArrow()
+        return found["text"].to_pylist() + one["text"].to_pylist(), found["lang"].to_pylist() + one["lang"].to_pylist()
     return found["text"].to_pylist(), found["lang"].to_pylist()
 
 

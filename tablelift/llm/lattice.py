@@ -37,6 +37,7 @@ class Vocabulary:
         self.longest = max((len(p) for p in pieces), default=1)
         self.first = np.full(1 << _SLOT_BITS, self.size, np.int32)
         self.second = np.full(1 << _SLOT_BITS, self.size, np.int32)
+        left = []
         for i in ids:
             key = int(self.keys[i])
             for table, slot in ((self.first, key >> (64 - _SLOT_BITS)), (self.second, key & ((1 << _SLOT_BITS) - 1))):
@@ -44,7 +45,10 @@ class Vocabulary:
                     table[slot] = i
                     break
             else:
-                raise ValueError(f"no room for piece {pieces[i]!r}")
+                left.append(i)
+        # Pieces whose two places are taken are searched for by their keys, in order.
+        left.sort(key=lambda i: int(self.keys[i]))
+        self.left = np.array(left, np.int32)
         self.units = np.array([ord(p) for p in pieces if len(p) == 1], np.int64)
 
     @staticmethod
@@ -62,6 +66,10 @@ class Vocabulary:
         if missed.any():
             other = self.second[(keys[missed] & _U((1 << _SLOT_BITS) - 1)).astype(np.int64)]
             found[missed] = np.where(self.keys[other] == keys[missed], other, self.size)
+        if len(self.left):
+            missed = np.flatnonzero(found == self.size)
+            other = self.left[np.minimum(np.searchsorted(self.keys[self.left], keys[missed]), len(self.left) - 1)]
+            found[missed] = np.where(self.keys[other] == keys[missed], other, self.size)
         return found
 
 
