@@ -21,10 +21,15 @@ NEAR_PERCENT = 80
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity chain does not reject."""
+    """Documents that the toxicity chain does not reject.
+
+    Rows with a null or repeated doc_id are judged each by its text; a null text is judged as
+    an empty one. Columns of any name are returned as they are.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = toxicity_of(docs, labels)
-    return judged.where(~F.col("toxic")).select(*docs.columns)
+    own = {name: f"__own_{name}" for name in docs.columns if name not in ("doc_id", "text")}
+    judged = toxicity_of(docs.withColumnsRenamed(own), labels).where(~F.col("toxic"))
+    return judged.select(*[F.col(f"`{own.get(name, name)}`").alias(name) for name in docs.columns])
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +43,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, sorted in the order of the mix."""
+    """All documents, sorted in the order of the mix; repeated rows and null ids or sources too."""
     return in_mix_order(docs)
 
 
@@ -47,7 +52,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Files are not read in the order they were written in, so the order of the mix, which
     depends on the documents alone, is made again. Each task then packs a range of slots,
-    and sequences are numbered by task.
+    and sequences are numbered by task. A null text is the end id alone.
     """
     return pack(in_mix_order(docs), vocabulary(WORD_VOCABULARY))
 
