@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import logging
 import re
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablelift.operators.layout import steady_numbers
 from tablelift.operators.manifest import COMMITTED, Manifest, latest
-from tablelift.operators.sinks import Published, export_frame
+from tablelift.operators.sinks import Published, export_frame, export_slices
+from tablelift.operators.slices import Slice
 from tablelift.options import ExportOptions
 from tablelift.session import fresh_dir
 from tablelift.storage import Store
 
+log = logging.getLogger("tablelift")
+
 SALTS = 32
 # Missing keys are broadcast up to this many and this size on disk.
 BROADCAST_KEYS = 1_000_000
@@ -23,12 +28,25 @@ BROADCAST_BYTES = 16 * 1024 * 1024
 def export_new_rows(
     df: DataFrame, column: str, target: str, options: ExportOptions, manifest: Manifest, name: str
 ) -> Published | None:
+    """Export the rows above the stored watermark, up to the highest value now; see
+    ``export_new_slices``, of which this is the one without slices."""
+    done = export_new_slices(df, column, target, options, manifest, name)
+    return done[0] if done else None
+
+
+def export_new_slices(
+    df: DataFrame, column: str, target: str, options: ExportOptions, manifest: Manifest, name: str,
+    slicer: Callable[[DataFrame], list[Slice]] | None = None,
+) -> list[Published]:
     """Export the rows above the stored watermark, up to the highest value now.
 
     The upper bound is fixed first, so rows that arrive meanwhile wait for the
     next run and ties at the bound are exported once. Each run owns the folder of
     its number: a run that died before its commit is written over, not repeated.
-    The first run takes rows without a value too. None if there is nothing new.
+    The first run takes rows without a value too. With a ``slicer`` the new rows are cut
+    into its slices, which are exported from one scan and committed together: the watermark
+    moves when all are there, and not if they leave rows out or keep some twice, unless
+    that is allowed. Nothing is returned if there is nothing new.
     """
     number, last = committed_watermark(manifest, name)
     kind = df.schema[column].dataType
@@ -37,21 +55,42 @@ def export_new_rows(
     high = fresh.agg(mark_text(F.max(value), kind).alias("high")).first().high
     # Runs so far tell a first run, which a mark does not: its rows may all have had no value.
     if high is None and number:
-        return None
+        return []
     new = value <= mark_value(high, kind)
     fresh = fresh.where(new if number else new | value.isNull())
     key = {"job_id": name, "table": name, "partition_id": f"increment-{number:05d}", "file_index": 0}
     item = manifest.open_work([key])[0]
     manifest.start([item])
     folder = f"{target.rstrip('/')}/increment-{number:05d}"
+    wanted = replace(options, mode="overwrite")
     try:
-        out = export_frame(fresh, folder, replace(options, mode="overwrite"), df)
+        if slicer is None:
+            done = [export_frame(fresh, folder, wanted, df)]
+        else:
+            # What a run that died has left may be of slices that are no more.
+            Store(df.sparkSession, folder).delete(folder)
+            slices = slicer(fresh)
+            done = export_slices(fresh, slices, folder, wanted, df, whole=slices)
+            _check_coverage(fresh, done, options)
     except Exception as error:
         manifest.append([manifest.failed(item, str(error))])
         raise
-    facts = {"row_count": out.rows, "bytes_compressed": out.bytes, "watermark": high}
+    facts = {
+        "row_count": sum(out.rows for out in done), "bytes_compressed": sum(out.bytes for out in done), "watermark": high,
+    }
     manifest.append(manifest.finish(item, object_path=folder, **facts))
-    return out
+    return done
+
+
+def _check_coverage(fresh: DataFrame, done: list[Published], options: ExportOptions) -> None:
+    total = next((out.rows_of_source for out in done if out.rows_of_source is not None), None)
+    total = fresh.count() if total is None else total
+    none, several = total - sum(out.rows_first for out in done), sum(out.rows_several for out in done)
+    if none or several:
+        text = f"{none} rows are in no slice, {several} in several"
+        if not options.allow_uncovered:
+            raise ValueError(text)
+        log.warning(text)
 
 
 def mark_text(value: Column, kind: T.DataType) -> Column:

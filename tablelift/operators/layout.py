@@ -24,11 +24,14 @@ SIZE_TOLERANCE = 1.25
 SIZE_MARGIN = 0.9
 
 
+def plan_size(df: DataFrame) -> int:
+    """Bytes of a frame as the optimizer sees them."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_one_file(df: DataFrame, options: ExportOptions) -> bool:
     """True if by the optimizer's size of ``df`` one file should hold it."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    growth = GROWTH.get(options.format, TEXT_GROWTH)
-    return int(str(size)) * growth <= options.target_file_bytes
+    return plan_size(df) * GROWTH.get(options.format, TEXT_GROWTH) <= options.target_file_bytes
 
 
 def first_rows(table: DataFrame, rows: int) -> DataFrame:

@@ -18,9 +18,9 @@ from tablelift.operators.slices import even_slices, predicate_slices
 from tablelift.options import ExportOptions
 from tablelift.plans.job import raise_on_failure, run_job, verify_job
 from tablelift.plans.queries import lake, table
-from tablelift.plans.tasks import one_table_tasks
+from tablelift.plans.tasks import one_table_tasks, schema_tasks
 from tablelift.session import fresh_dir, small_frame
-from tablelift.sources.catalog import nested_columns
+from tablelift.sources.catalog import LakeSource, nested_columns
 from tablelift.sources.readback import read_export
 from tablelift.storage import Store
 
@@ -114,7 +114,7 @@ def pinned_files_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
             orders.where("o_orderkey % 2 = 0").coalesce(1).write.parquet(home + "/other")
             store.delete(f"{home}/lake/orders.parquet/{name}")
             store.rename(f"{home}/other/{next(iter(store.files(home + '/other')))}", f"{home}/lake/orders.parquet/{name}")
-        source = _one_table(spark, home + "/lake")
+        source = LakeSource(spark, home + "/lake", names=["orders"])
         results = run_job(
             source, one_table_tasks(source, "dbo", "orders", options), options,
             lambda task, frame: predicate_slices(texts), "pinned",
@@ -125,12 +125,6 @@ def pinned_files_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_frame(spark, found, "step string, results long, status string, row_count long, told string")
 
 
-def _one_table(spark: SparkSession, folder: str):
-    from tablelift.sources.catalog import LakeSource
-
-    return LakeSource(spark, folder, names=["orders"])
-
-
 def watermark_all_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events whose mark is NULL in all rows, exported three times; then some get one."""
     events = table(spark, sf_dir, "events")
@@ -256,7 +250,43 @@ def manifest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def watermark_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sliced high-watermark job, run over a part of the events, over all, and once more."""
+    home = fresh_dir(spark, "watermark-sliced")
+    events = table(spark, sf_dir, "events")
+    options = ExportOptions(
+        target=home + "/out/{table}", consistency="high_watermark", watermark_column="ts", manifest_dir=home + "-manifest",
+    )
+    texts = [f"event_id % 3 = {i}" for i in range(3)]
+    found = []
+    for run, where in enumerate(("ts < TIMESTAMP_NTZ '2024-01-15 00:00:00'", "true", "true"), start=1):
+        folder = f"{home}/lake-{run}"
+        events.where(where).write.parquet(folder + "/events.parquet")
+        source = LakeSource(spark, folder, names=["events"])
+        tasks = one_table_tasks(source, "dbo", "events", options)
+        results = run_job(source, tasks, options, lambda task, frame: predicate_slices(texts), "sliced")
+        found.append(raise_on_failure(results).select(F.lit(run).alias("run"), "slice_id", "status", F.col("rows").alias("row_count")))
+    back = read_export(spark, home + "/out/events", "parquet", events.schema)
+    keys = back.select(F.count_distinct("event_id").alias("keys_found"))
+    return reduce(DataFrame.unionByName, found).crossJoin(F.broadcast(keys))
+
+
+def fanout_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables in the order in which a job starts them, one at a time: the largest first."""
+    source = lake(spark, sf_dir)
+    home = fresh_dir(spark, "order")
+    options = ExportOptions(target=home + "/{table}", manifest_dir=home + "-manifest", table_concurrency=1)
+    tasks = schema_tasks(source, "dbo", options, include=["*.nation", "*.lineitem", "*.orders", "*.region"])
+    raise_on_failure(run_job(source, tasks, options, job_id="order"))
+    started = Manifest(spark, options.manifest_dir, "order").records().where("status = 'running'")
+    rows = started.select("table", "seq").orderBy("seq").collect()
+    counts = {name: source.frame("dbo", name).count() for name in ("nation", "lineitem", "orders", "region")}
+    found = [(place, row.table, counts[row.table]) for place, row in enumerate(rows, start=1)]
+    return small_frame(spark, found, "place long, table_name string, row_count long")
+
+
 NAMED = (
+    watermark_sliced, fanout_order,
     manifest_compacted,
     slice_even, catalog_nested, verify_exports,
     overwrite_in_place, coverage_balanced, coverage_after_resume, resume_other_predicates,
@@ -303,6 +333,18 @@ def _coverage_oracles() -> dict[str, str]:
 ORACLES = {
     "overwrite_in_place": _overwrite_oracle(),
     **_coverage_oracles(),
+    "watermark_sliced": """
+        SELECT run, 'p0000000' || (event_id % 3) AS slice_id, 'completed' AS status, count(*) AS row_count,
+            (SELECT count(DISTINCT event_id) FROM events) AS keys_found
+        FROM (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 1 ELSE 2 END AS run FROM events) GROUP BY run, event_id % 3
+        UNION ALL SELECT 3, 'single', 'skipped', 0, (SELECT count(DISTINCT event_id) FROM events)
+    """,
+    "fanout_order": """
+        SELECT 1 AS place, 'lineitem' AS table_name, count(*) AS row_count FROM lineitem
+        UNION ALL SELECT 2, 'orders', count(*) FROM orders
+        UNION ALL SELECT 3, 'nation', count(*) FROM nation
+        UNION ALL SELECT 4, 'region', count(*) FROM region
+    """,
     "manifest_compacted": """
         SELECT c_mktsegment AS partition_id, 12 AS attempt, count(*) AS row_count, true AS few_files,
             12 * (SELECT count(DISTINCT c_mktsegment) FROM customer) AS records

@@ -11,7 +11,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tablelift.functions.names import single_target
-from tablelift.operators.incremental import export_new_rows
+from tablelift.operators.incremental import export_new_slices
+from tablelift.operators.layout import plan_size
 from tablelift.operators.manifest import COMMITTED, KEY_FIELDS, Manifest, latest
 from tablelift.operators.sinks import Published, export_frame, export_slices, verify_export
 from tablelift.operators.slices import SLICE_COLUMN, Slice, predicate_hash, single_slice, uncovered_rows
@@ -41,12 +42,12 @@ def run_job(
 ) -> DataFrame:
     """Export every task and return one result row per slice.
 
-    Tasks run side by side on their own scheduler pools, and one that fails
-    does not stop the others. With a manifest, committed slices are skipped when
+    Tasks run side by side on their own scheduler pools, the largest first, and one that
+    fails does not stop the others. With a manifest, committed slices are skipped when
     the job is resumed, which needs the job's id. Only the task list is on the driver.
 
     Under ``high_watermark`` each task exports its rows above the job's last watermark,
-    to a folder of this run. A sliced task fails if its slices do not keep each row once.
+    to a folder of this run, where the slices of the new rows have folders of their own. A sliced task fails if its slices do not keep each row once.
     """
     options = options.checked()
     spark = source.spark
@@ -54,8 +55,8 @@ def run_job(
         raise ValueError("a job that goes on from an earlier run needs its job_id")
     if options.consistency == "high_watermark" and not (options.manifest_dir and options.watermark_column):
         raise ValueError("high_watermark needs a manifest_dir and a watermark_column")
-    if slicer and options.consistency == "high_watermark":
-        raise ValueError("high_watermark exports are not sliced")
+    if slicer and options.consistency == "high_watermark" and hasattr(source, "sliced"):
+        raise ValueError("a source that reads slices itself cannot slice what is above a watermark")
     job_id = job_id or uuid.uuid4().hex
     job = _Job(source, options, slicer, job_id)
     with ThreadPoolExecutor(max_workers=options.table_concurrency) as pool:
@@ -63,7 +64,10 @@ def run_job(
         job.look_up(planned)
         if job.manifest and options.resume and job.manifest.file_count() > job.manifest.compact_at:
             job.manifest.compact()
-        rows = [row for done in pool.map(job.run, planned) for row in done]
+        # A large table that starts last would run alone at the end.
+        order = sorted(range(len(planned)), key=lambda i: -planned[i].size)
+        done = dict(zip(order, pool.map(job.run, [planned[i] for i in order])))
+        rows = [row for i in range(len(planned)) for row in done[i]]
     return small_frame(spark, rows, RESULT_SCHEMA)
 
 
@@ -105,6 +109,8 @@ class _Planned:
     frame: DataFrame | None = None
     slices: list[Slice] = field(default_factory=list)
     error: Exception | None = None
+    # Bytes to read, as the optimizer sees them.
+    size: int = 0
     # Manifest entry of each slice still to do.
     open: dict[str, dict | None] = field(default_factory=dict)
     # What each slice was found to cover: (rows no earlier slice keeps, those several keep).
@@ -128,10 +134,11 @@ class _Job:
     def plan(self, task: Row) -> _Planned:
         try:
             table, frame = _task_frames(self.source, task, self.options, self.job_id)
-            slices = self.slicer(task, frame) if self.slicer else single_slice()
+            increments = self.options.consistency == "high_watermark"
+            slices = self.slicer(task, frame) if self.slicer and not increments else single_slice()
             if task.kind == TABLE and hasattr(self.source, "check_slices"):
                 self.source.check_slices(slices)
-            return _Planned(task, table, frame, slices)
+            return _Planned(task, table, frame, slices, size=plan_size(frame))
         except Exception as error:
             return _Planned(task, error=error)
 
@@ -166,7 +173,7 @@ class _Job:
         if planned.error:
             return [_failure(task, None, planned.error)]
         if self.options.consistency == "high_watermark":
-            return [self._increment(planned)]
+            return self._increment(planned)
         todo = [s for s in planned.slices if s.id in planned.open]
         planned.whole = self._whole(planned)
         width = self.options.slices_per_pass
@@ -183,18 +190,19 @@ class _Job:
         ]
         return rows
 
-    def _increment(self, planned: _Planned) -> tuple:
+    def _increment(self, planned: _Planned) -> list[tuple]:
         task = planned.task
+        slicer = None if self.slicer is None else lambda fresh: self.slicer(task, fresh)
         try:
-            out = export_new_rows(
+            done = export_new_slices(
                 planned.frame, self.options.watermark_column, single_target(task.target_prefix),
-                self.options, self.manifest, f"{self.job_id}/{task.task_id}",
+                self.options, self.manifest, f"{self.job_id}/{task.task_id}", slicer,
             )
         except Exception as error:
-            return _failure(task, None, error)
-        if out is None:
-            return (task.task_id, "single", task.target_prefix, SKIPPED, 0, 0, 0, None)
-        return (task.task_id, "single", out.target, COMPLETED, out.rows, out.bytes, out.files, None)
+            return [_failure(task, None, error)]
+        if not done:
+            return [(task.task_id, "single", task.target_prefix, SKIPPED, 0, 0, 0, None)]
+        return [(task.task_id, o.slice_id, o.target, COMPLETED, o.rows, o.bytes, o.files, None) for o in done]
 
     def _uncovered(self, planned: _Planned, rows: list[tuple]) -> list[tuple]:
         """A failed row if the slices leave rows out or keep some twice.

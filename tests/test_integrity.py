@@ -267,3 +267,36 @@ def test_digests_of_slices_are_of_their_rows(spark, out):
     df, slices = spark.range(30), predicate_slices(["id % 3 = 0", "id % 3 > 0"])
     done = export_slices(df, slices, out, ExportOptions(target=out, digest=True), whole=slices)
     assert [p.digest for p in done] == [digest_of(df.where(s.predicate)) for s in slices]
+
+
+def test_a_sliced_increment_is_committed_as_a_whole(spark, out):
+    from tablelift.operators.incremental import committed_watermark, export_new_slices
+
+    options = ExportOptions(target=out)
+    manifest = m.Manifest(spark, out + "-m")
+    df = spark.range(20).selectExpr("id", "IF(id < 2, NULL, id) AS mark")
+    parts = lambda fresh: predicate_slices(["id % 2 = 0", "id % 2 = 1"])
+    lossy = lambda fresh: predicate_slices(["id % 2 = 0", "id % 4 = 1"])
+    with pytest.raises(ValueError, match="5 rows are in no slice"):
+        export_new_slices(df, "mark", out, options, manifest, "t", lossy)
+    assert committed_watermark(manifest, "t") == (0, None)
+    assert [p.rows for p in export_new_slices(df, "mark", out, options, manifest, "t", parts)] == [10, 10]
+    assert committed_watermark(manifest, "t") == (1, "19")
+    assert export_new_slices(df, "mark", out, options, manifest, "t", parts) == []
+    more = df.union(spark.range(20, 25).selectExpr("id", "id AS mark"))
+    assert [p.rows for p in export_new_slices(more, "mark", out, options, manifest, "t", parts)] == [3, 2]
+    assert sorted(r.id for r in read_export(spark, out, "parquet", df.schema).collect()) == list(range(25))
+
+
+def test_tables_start_in_order_of_size_and_results_stay_in_order(spark, lake, out, monkeypatch):
+    from tablelift.plans import job
+    from tablelift.plans.tasks import schema_tasks
+
+    started = []
+    plain = job._Job.run
+    monkeypatch.setattr(job._Job, "run", lambda self, planned: started.append(planned.task.table_name) or plain(self, planned))
+    options = ExportOptions(target=out + "/{table}", table_concurrency=1)
+    tasks = schema_tasks(lake, "dbo", options, include=["*.nation", "*.lineitem", "*.part"])
+    results = run_job(lake, tasks, options).collect()
+    assert started == ["lineitem", "part", "nation"]
+    assert [r.target.rsplit("/", 1)[1] for r in results] == ["lineitem", "nation", "part"]
