@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tablelift.llm.tables import written
 
@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each round gives a node the least label among its own and its neighbours', then the
     label of that label, so chains shorten by powers of two. Only aggregates are
     shuffled, which reduce before they are; each round's table is written, and the number
-    of changed labels is all that the driver sees.
+    of labels changed on the way is all that the driver sees.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = written(both, "component-edges")
@@ -31,11 +31,12 @@ def components(edges: DataFrame) -> DataFrame:
             "node", "component", F.least("component", "near").alias("lower")
         )
         above = labels.select(F.col("node").alias("lower"), F.col("component").alias("top"))
-        jumped = written(
-            least.join(above, "lower").select("node", F.col("component").alias("before"),
-                                              F.least("lower", "top").alias("component")),
-            "component-labels",
+        jumped = least.join(above, "lower").select(
+            "node", F.col("component").alias("before"), F.least("lower", "top").alias("component")
         )
-        labels = jumped.select("node", "component")
-        if jumped.where("component <> before").isEmpty():
+        # Counted as they are written, so that no job is run for it.
+        seen = Observation()
+        jumped = jumped.observe(seen, F.count_if(F.col("component") != F.col("before")).alias("changed"))
+        labels = written(jumped.drop("before"), "component-labels")
+        if not seen.get["changed"]:
             return labels

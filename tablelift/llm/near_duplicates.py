@@ -6,7 +6,8 @@ full shingle sets are alike enough are linked. A bucket of many candidates is no
 pair by pair: its members are first held against one of them, then only members that still
 lie in different components, and have not too many shingles of their own for any link, are
 held against each other. So large groups of copies cost their size, and no link between
-two components is missed.
+two components is missed. Links found are kept as edges between components, and only new
+ones are followed.
 """
 
 from __future__ import annotations
@@ -95,7 +96,11 @@ def _packed_texts(texts: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets share ``percent`` of their union or more."""
+    """The rows of ``pairs`` whose a and b have full shingle sets that share ``percent`` of their union.
+
+    Other columns of ``pairs`` are kept.
+    """
+    kept = pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
@@ -113,15 +118,25 @@ def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
                 alike = [
                     100 * n >= percent * (len(a) + len(b) - n) for n, a, b in zip(shared, *sets)
                 ]
-                chosen = part.filter(pa.array(alike, pa.bool_()))
-                yield pa.RecordBatch.from_arrays([chosen["a"], chosen["b"]], names=["a", "b"])
+                yield part.filter(pa.array(alike, pa.bool_())).select(kept)
 
     def side(name: str) -> DataFrame:
         return bodies.select(
             F.col("node").alias(name), F.col("size").alias(f"{name}_size"), F.col("body").alias(f"{name}_body")
         )
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, pairs.schema)
+
+
+def _joined_labels(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """node, component after ``edges`` (a, b) between components; nodes never linked have no row."""
+    found = components(edges)
+    if labels is None:
+        return found
+    moved = found.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    kept = labels.join(moved, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    fresh = found.join(labels.select("node"), "node", "left_anti").select("node", "component")
+    return written(kept.union(fresh), "labels")
 
 
 def _may_link(n: Column, lone: Column, x_n: Column, x_lone: Column, percent: int) -> Column:
@@ -211,7 +226,7 @@ def near_duplicates(
     wanted = nodes.join(classes, "node").select("node", "c1", "c2")
     bodies = written(_packed_texts(texts.join(wanted, "node")), "candidates")
 
-    links, labels = None, None
+    labels = None
     for hub_round in range(hub_rounds + 1):
         if hub_round:
             members = _plausible(members, labels, bodies, percent)
@@ -240,12 +255,21 @@ def near_duplicates(
             apart = apart & ((F.col("component") == F.col("hub_component")) | (F.col("node") > F.col("x")))
             apart = apart & (F.array_min(F.array_intersect("keys", "x_keys")) == F.col("key"))
         found = now.join(sides, "key").where(apart)
-        pairs = found.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
-        new = written(verified(pairs, bodies, percent), "links")
-        links = new if links is None else links.union(new)
-        if new.isEmpty():
-            continue
-        labels = components(links)
+        if hub_round == 0 < hub_rounds:
+            # Each node against the one hub that it shares most buckets with: most are linked
+            # by that, and in a group of very many copies none by a link for every bucket.
+            alike = found.groupBy("node", "x", "component", "x_component").agg(F.count("*").alias("buckets"))
+            best = F.max_by(F.struct("x", "component", "x_component"), F.struct("buckets", -F.col("x")))
+            found = alike.groupBy("node").agg(best.alias("best")).select("node", "best.*")
+        pairs = found.select(
+            F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"),
+            F.least("component", "x_component").alias("c"), F.greatest("component", "x_component").alias("d"),
+        ).distinct()
+        # What links two components many times over is one edge between them.
+        edges = verified(pairs, bodies, percent).select(F.col("c").alias("a"), F.col("d").alias("b")).distinct()
+        edges = written(edges, "links")
+        if not edges.isEmpty():
+            labels = _joined_labels(labels, edges)
     final = classes.select("c1", "c2", "node")
     final = _labelled(final, labels).select("c1", "c2", "component")
     out = whole.select("doc_id", "n_shingles", "c1", "c2").join(final, ["c1", "c2"], "left")
