@@ -27,6 +27,8 @@ MODEL_WORDS = 512
 FOLDS = 3
 RIDGE = 1.0
 SHARES = 4
+# Rows that are spread out as numbers at a time when a model is fitted.
+FIT_ROWS = 1024
 
 
 def text_features(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
@@ -54,8 +56,8 @@ def text_features(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray], np.n
 
 
 def _presence(docs: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
-    """A row for each document with a one for each chosen word in it."""
-    out = np.zeros((len(docs), len(chosen)), np.float64)
+    """A row of bytes for each document with a one for each chosen word in it."""
+    out = np.zeros((len(docs), len(chosen)), np.uint8)
     if len(chosen):
         words = np.concatenate(docs) if docs else np.zeros(0, np.uint64)
         rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
@@ -85,16 +87,24 @@ def _telling_words(docs: list[np.ndarray], y: np.ndarray, limit: int) -> np.ndar
     return np.sort(vocabulary[good])
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
-    """Weights of a logistic model, the constant last, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
+def _fit(present: np.ndarray, shares: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
+    """Weights of a logistic model, the constant last, by Newton steps.
+
+    Sums over rows are taken block by block, so that only bytes are held for all of them.
+    """
+    size = present.shape[1] + shares.shape[1] + 1
+    w = np.zeros(size)
+    penalty = np.full(size, ridge)
     penalty[-1] = 1e-6
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        v = np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((x * v[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        curve, slope = np.diag(penalty), -penalty * w
+        for a in range(0, len(y), FIT_ROWS):
+            rows = slice(a, a + FIT_ROWS)
+            x = np.hstack([present[rows], shares[rows], np.ones((len(y[rows]), 1))])
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            curve += (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x
+            slope += x.T @ (y[rows] - p)
+        step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-4:
             break
@@ -110,13 +120,14 @@ class Link:
     threshold: float = 0.0
 
     def odds(self, docs: list[np.ndarray], shares: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-        x = np.hstack([_presence(docs, self.words), shares, earlier, np.ones((len(docs), 1))])
-        return np.clip(x @ self.weights, -15, 15)
+        present, other = _presence(docs, self.words), np.hstack([shares, earlier])
+        k = present.shape[1]
+        return np.clip(present @ self.weights[:k] + other @ self.weights[k:-1] + self.weights[-1], -15, 15)
 
 
 def _link(docs, shares, earlier, y, ridge, limit) -> Link:
     words = _telling_words(docs, y, limit) if 0 < y.sum() < len(y) else np.zeros(0, np.uint64)
-    return Link(words, _fit(np.hstack([_presence(docs, words), shares, earlier]), y, ridge))
+    return Link(words, _fit(_presence(docs, words), np.hstack([shares, earlier]), y, ridge))
 
 
 def _threshold(odds: np.ndarray, y: np.ndarray) -> float:
