@@ -32,7 +32,7 @@ from tablelift.operators.slices import (
     with_slice_number,
 )
 from tablelift.operators.textform import read_options, text_lines, text_options, to_text
-from tablelift.operators import pointer, zstd_text
+from tablelift.operators import arrow_files, pointer, zstd_text
 from tablelift.options import ExportOptions
 from tablelift.session import fresh_dir
 from tablelift.sources.readback import read_export
@@ -89,6 +89,8 @@ def export_frame(
     target = hadoop_uri(target, options.azure_account)
     store = Store(spark, target)
     _refuse_existing(store, target, options)
+    if options.arrow_files:
+        return _write_by_arrow(df, store, [target], options)[0]
     cap = rows_per_file(table, options)
     # zstd files are cut as they are written, so there is nothing to fill.
     if not _is_zstd_text(options):
@@ -133,6 +135,8 @@ def export_slices(
     target, options = _named(target, options)
     target = hadoop_uri(target, options.azure_account)
     store = Store(spark, target)
+    if len(slices) > 1 and options.arrow_files:
+        return _slices_by_arrow(df, slices, target, options, store, numbered, whole)
     if len(slices) == 1 or _is_zstd_text(options) or _in_place(store, options):
         done = []
         for s in slices:
@@ -309,6 +313,13 @@ def _write_in_place(df: DataFrame, store: Store, target: str, options: ExportOpt
     except Exception:
         pointer.put_aside(store, target, list(there))
         raise
+    return _moved_to(store, target, before, new, counted, options)
+
+
+def _moved_to(
+    store: Store, target: str, before: list[str], new: set[str], counted: Counted, options: ExportOptions
+) -> Published:
+    """The target's pointer moved to new files, or with an append to these and those before."""
     if not counted.rows:
         new = set()
     stay = sorted(new | set(before)) if options.mode == "append" else sorted(new)
@@ -322,6 +333,63 @@ def _write_in_place(df: DataFrame, store: Store, target: str, options: ExportOpt
     return _covered(out, counted)
 
 
+def _write_by_arrow(df: DataFrame, store: Store, targets: list[str], options: ExportOptions) -> list[Published]:
+    """Rows written by tasks below the targets themselves, then the pointers moved.
+
+    With several targets the last column tells each row's. If the write fails no pointer
+    moves, and what it wrote goes.
+    """
+    targets = [target.rstrip("/") for target in targets]
+    before = [pointer.settle(store, target) for target in targets]
+    there = [list(store.files(target)) for target in targets]
+    several = (SLICE_COLUMN,) if len(targets) > 1 else ()
+    df, found = _counted(df, list(range(len(targets))) if several else [None], options.digest)
+    rows, header = df, ""
+    if options.format != "parquet":
+        rows, header = text_lines(df, options.format, several)
+    elif several:
+        rows = df.select(*[f"`{c}`" for c in df.columns if c not in several], *several)
+    for module in (zstd_text, arrow_files):
+        # The writer travels with the job, so executors need not have this package.
+        cloudpickle.register_pickle_by_value(module)
+    plan = arrow_files.ArrowFiles(
+        folders=tuple(store.qualified(target) for target in targets), parquet=options.format == "parquet",
+        header=header, suffix="." + options.file_name(0).split(".", 1)[1], codec=options.compression,
+        level=options.zstd_level, max_rows=options.max_rows_per_file, max_bytes=options.target_file_bytes,
+        row_group_bytes=options.row_group_bytes, dictionary=options.dictionary,
+    )
+    try:
+        written = rows.mapInArrow(arrow_files.batch_writer(plan), arrow_files.WRITTEN_SCHEMA).collect()
+    except Exception:
+        for target, names in zip(targets, there):
+            pointer.put_aside(store, target, names)
+        raise
+    new: list[set[str]] = [set() for _ in targets]
+    for row in written:
+        new[row.slice_no].add(row.file_name)
+    return [
+        _moved_to(store, target, before[i], new[i], counted, options)
+        for i, (target, counted) in enumerate(zip(targets, found()))
+    ]
+
+
+def _slices_by_arrow(
+    df: DataFrame, slices: list[Slice], target: str, options: ExportOptions, store: Store,
+    numbered: DataFrame | None, whole: list[Slice] | None,
+) -> list[Published]:
+    targets = [slice_target(target, s.id) for s in slices]
+    for folder in targets:
+        _refuse_existing(store, folder, options)
+    total = None
+    if numbered is None:
+        counts, disjoint, total = count_slices(df, slices)
+        numbered = with_slice_number(df, slices, disjoint, whole)
+        tasks = max(len(slices), df.sparkSession.sparkContext.defaultParallelism)
+        numbered = spread_slices(numbered, counts, max(1, math.ceil(sum(counts) / tasks)))
+    done = _write_by_arrow(numbered, store, targets, options)
+    return [replace(out, slice_id=s.id, rows_of_source=total) for out, s in zip(done, slices)]
+
+
 def _covered(out: Published, counted: Counted) -> Published:
     return replace(out, rows_first=counted.first, rows_several=counted.several, digest=counted.digest)
 

@@ -85,16 +85,20 @@ def from_text(df: DataFrame, schema: T.StructType, fmt: str) -> DataFrame:
     return df.select(*columns)
 
 
-def text_lines(df: DataFrame, fmt: str) -> tuple[DataFrame, str]:
-    """Every row as one rendered line with its line end, and the header of a file."""
+def text_lines(df: DataFrame, fmt: str, beside: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """Every row as one rendered line with its line end, and the header of a file.
+
+    Columns ``beside`` are not part of the line and stay columns.
+    """
     shaped = to_text(df, fmt)
-    row = F.struct(*[F.col(f"`{c}`") for c in shaped.columns])
-    options = text_options(fmt, len(shaped.columns))
+    columns = [c for c in shaped.columns if c not in beside]
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    options = text_options(fmt, len(columns))
     if fmt == "json":
-        return shaped.select(F.concat(F.to_json(row, options), F.lit("\n")).alias("line")), ""
+        return shaped.select(F.concat(F.to_json(row, options), F.lit("\n")).alias("line"), *beside), ""
     line = F.concat(F.to_csv(row, options), F.lit("\n"))
-    header = SEPARATORS[fmt].join(_quoted(c, SEPARATORS[fmt]) for c in shaped.columns)
-    return shaped.select(line.alias("line")), header + "\n"
+    header = SEPARATORS[fmt].join(_quoted(c, SEPARATORS[fmt]) for c in columns)
+    return shaped.select(line.alias("line"), *beside), header + "\n"
 
 
 def _quoted(name: str, separator: str) -> str:

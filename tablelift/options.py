@@ -46,6 +46,8 @@ class ExportOptions:
     numbered_files: bool | None = None
     # True writes files where they stay, False moves them there. None: by file system.
     in_place: bool | None = None
+    # Tasks write files themselves and cut them at the bytes they come to; they stay in place.
+    arrow_files: bool = False
     # Take a digest of the rows as they are written, for verify_export.
     digest: bool = False
     # Fill files by a shuffle instead of by merging scan partitions.
