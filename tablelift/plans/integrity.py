@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablelift.operators.incremental import export_new_rows
 from tablelift.operators.manifest import LEGAL_MOVES, PLANNED_AGAIN, Manifest, illegal_moves, latest
 from tablelift.functions.types import conform, schema_from_nested
-from tablelift.operators.sinks import export_frame, export_slices
+from tablelift.operators.sinks import export_frame, export_slices, verify_export
 from tablelift.operators.slices import even_slices, predicate_slices
 from tablelift.options import ExportOptions
 from tablelift.plans.job import raise_on_failure, run_job, verify_job
@@ -285,7 +285,44 @@ def fanout_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_frame(spark, found, "place long, table_name string, row_count long")
 
 
+def files_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in files that tasks cut at the bytes they come to, with nothing renamed."""
+    lines = table(spark, sf_dir, "lineitem")
+    found = []
+    for fmt, codec, size in (("parquet", "zstd", 256 * 1024), ("csv", "zstd", 128 * 1024), ("json", "gzip", 256 * 1024)):
+        target = fresh_dir(spark, "by-bytes")
+        options = ExportOptions(
+            target=target, format=fmt, compression=codec, target_file_bytes=size, arrow_files=True, digest=True
+        )
+        done = export_frame(lines, target, options)
+        verify_export(spark, target, fmt, lines.schema, done.digest)
+        sizes = Store(spark, target).files(target).values()
+        # Each task of the scan may leave one file that is not full.
+        tasks = spark.sparkContext.defaultParallelism + len(lines.inputFiles())
+        found.append((fmt, done.rows, max(sizes) <= 1.25 * size, sum(n < 0.5 * size for n in sizes) <= tasks))
+    return small_frame(spark, found, "format string, row_count long, within boolean, filled boolean")
+
+
+def slices_by_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight slices of orders as zstd text, written where they stay in one scan."""
+    source = lake(spark, sf_dir)
+    home = fresh_dir(spark, "one-scan")
+    options = ExportOptions(target=home + "/{table}/{partition}", format="json", compression="zstd", arrow_files=True)
+    tasks = one_table_tasks(source, "dbo", "orders", options)
+    texts = [f"o_orderkey % 8 = {i}" for i in range(8)]
+    results = raise_on_failure(run_job(source, tasks, options, lambda task, frame: predicate_slices(texts)))
+    schema = source.frame("dbo", "orders").schema
+    parts = [
+        read_export(spark, row.target, "json", schema).agg(
+            F.lit(row.slice_id).alias("slice_id"), F.count(F.lit(1)).alias("row_count"), F.max("o_orderkey").alias("last_key")
+        )
+        for row in results.collect()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 NAMED = (
+    files_by_bytes, slices_by_arrow,
     watermark_sliced, fanout_order,
     manifest_compacted,
     slice_even, catalog_nested, verify_exports,
@@ -333,6 +370,14 @@ def _coverage_oracles() -> dict[str, str]:
 ORACLES = {
     "overwrite_in_place": _overwrite_oracle(),
     **_coverage_oracles(),
+    "files_by_bytes": """
+        SELECT f AS format, count(*) AS row_count, true AS within, true AS filled
+        FROM lineitem, (VALUES ('parquet'), ('csv'), ('json')) AS v(f) GROUP BY f
+    """,
+    "slices_by_arrow": """
+        SELECT 'p0000000' || (o_orderkey % 8) AS slice_id, count(*) AS row_count, max(o_orderkey) AS last_key
+        FROM orders GROUP BY o_orderkey % 8
+    """,
     "watermark_sliced": """
         SELECT run, 'p0000000' || (event_id % 3) AS slice_id, 'completed' AS status, count(*) AS row_count,
             (SELECT count(DISTINCT event_id) FROM events) AS keys_found
