@@ -8,6 +8,7 @@ from tablelift.plans.config import options_of, run, tasks_of
 from tablelift.plans.job import raise_on_failure
 from tablelift.sources.readback import read_export
 
+# The names of a configuration, as plans/config.py has them.
 FULL = """{
     "connection_url": "unused", "target": "/out/{schema}/{table}/", "format": "json",
     "compression": "zstd", "consistency": "high_watermark", "target_file_size": 268435456,
