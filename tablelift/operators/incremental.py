@@ -20,7 +20,7 @@ from tablelift.storage import Store
 log = logging.getLogger("tablelift")
 
 SALTS = 32
-# Missing keys are broadcast up to this many and this size on disk.
+# Missing keys are broadcast up to this many and this size as text.
 BROADCAST_KEYS = 1_000_000
 BROADCAST_BYTES = 16 * 1024 * 1024
 
@@ -141,7 +141,9 @@ def late_rows(
     wanted.join(known, "__key", "left_anti").write.parquet(folder)
     missing = spark.read.parquet(folder)
     columns = [f"`{c}`" for c in source.columns]
-    if missing.count() <= BROADCAST_KEYS and Store(spark, folder).usage(folder)[0] <= BROADCAST_BYTES:
+    # As text, as what they take on disk is less than what they take in memory.
+    size = missing.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json("__key")))).first()
+    if size[0] <= BROADCAST_KEYS and (size[1] or 0) <= BROADCAST_BYTES:
         return (
             below.select("*", key).join(F.broadcast(missing), "__key", "left_semi").select(*columns)
         )
