@@ -13,8 +13,9 @@ from tablelift.llm.mixing import in_mix_order
 from tablelift.llm.near_duplicates import one_of_each
 from tablelift.llm.packing import pack
 from tablelift.llm.queries import WORD_VOCABULARY, vocabulary
-from tablelift.llm.tables import written
+from tablelift.llm.tables import scratch
 from tablelift.llm.toxicity import toxicity_of
+from tablelift.session import fresh_dir
 
 # Documents with this share of their five-word shingles in common, or more, are near copies.
 NEAR_PERCENT = 80
@@ -70,7 +71,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of all stages; what a stage writes on the way goes when it is done."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        folder = fresh_dir(spark, f"pipeline-{name}")
+        with scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(folder)
+        docs = spark.read.schema(found.schema).parquet(folder)
     return docs
