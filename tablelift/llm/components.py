@@ -12,7 +12,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round gives a node the least label among its own and its neighbours', then the
     label of that label, so chains shorten by powers of two. Only aggregates are
-    shuffled, which reduce before they are; each round's table is written, and the number
+    shuffled, which reduce before they are, and joins are merges at every size, as very many
+    small broadcasts add up on the driver; each round's table is written, and the number
     of labels changed on the way is all that the driver sees.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -24,14 +25,14 @@ def components(edges: DataFrame) -> DataFrame:
     )
     while True:
         near = (
-            both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("near")), "b")
+            both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("near")).hint("merge"), "b")
             .groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
         )
-        least = labels.join(near, "node").select(
+        least = labels.join(near.hint("merge"), "node").select(
             "node", "component", F.least("component", "near").alias("lower")
         )
         above = labels.select(F.col("node").alias("lower"), F.col("component").alias("top"))
-        jumped = least.join(above, "lower").select(
+        jumped = least.join(above.hint("merge"), "lower").select(
             "node", F.col("component").alias("before"), F.least("lower", "top").alias("component")
         )
         # Counted as they are written, so that no job is run for it.

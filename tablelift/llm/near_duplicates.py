@@ -125,7 +125,7 @@ def verified(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
             F.col("node").alias(name), F.col("size").alias(f"{name}_size"), F.col("body").alias(f"{name}_body")
         )
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, pairs.schema)
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").mapInArrow(run, pairs.schema)
 
 
 def _joined_labels(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
@@ -134,8 +134,8 @@ def _joined_labels(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     if labels is None:
         return found
     moved = found.select(F.col("node").alias("component"), F.col("component").alias("top"))
-    kept = labels.join(moved, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
-    fresh = found.join(labels.select("node"), "node", "left_anti").select("node", "component")
+    kept = labels.join(moved.hint("merge"), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    fresh = found.join(labels.select("node").hint("merge"), "node", "left_anti").select("node", "component")
     return written(kept.union(fresh), "labels")
 
 
@@ -178,7 +178,7 @@ def _plausible(members: DataFrame, labels: DataFrame | None, bodies: DataFrame,
     spread = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     now = written(members.join(spread.where("low <> high").select("key"), "key"), "open-buckets")
     lone = _unshared(bodies, now.select("node").distinct())
-    counted = now.drop("lone").join(lone, "node", "left").fillna(0, ["lone"])
+    counted = now.drop("lone").join(lone.hint("merge"), "node", "left").fillna(0, ["lone"])
     least = now.groupBy("key").agg(F.min("n").alias("least"))
     shared = F.col("n") - F.col("lone")
     partner = F.greatest(F.col("least"), shared)
@@ -189,7 +189,7 @@ def _plausible(members: DataFrame, labels: DataFrame | None, bodies: DataFrame,
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return members.withColumn("component", F.col("node"))
-    found = members.join(labels, "node", "left")
+    found = members.join(labels.hint("merge"), "node", "left")
     return found.withColumn("component", F.coalesce("component", "node"))
 
 
