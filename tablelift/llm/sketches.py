@@ -15,7 +15,7 @@ from tablelift.llm.words import mix
 
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
-_ROUND_BITS = 10
+_ROUND_BITS = 16
 
 
 def _salt(i: int) -> np.uint64:
