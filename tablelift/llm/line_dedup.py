@@ -36,62 +36,91 @@ def numbered_lines(docs: DataFrame) -> DataFrame:
     ).where("words > 0")
 
 
-def windows(lines: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, body, pos, last, mark, mark_pos, content: the windows of ``least_words`` words.
+def _over(reach: WindowSpec) -> list[Column]:
+    return [
+        F.min("pos").over(reach).alias("first"), F.max("pos").over(reach).alias("last"),
+        F.min(F.struct("hash", "pos")).over(reach).alias("mark"),
+        F.collect_list("hash").over(reach).alias("held"),
+    ]
 
-    ``mark`` is the least line hash of the window, first found at ``mark_pos``, and
-    ``content`` a hash of all of it. There are also the windows that reach back from a
-    line, but for those that are windows of their first line too, and what else it takes
-    to leave no gap in a run.
-    """
-    doc = W.partitionBy("doc_id", "body")
-    # Words before a line: the window of a line is a range of them.
-    before = F.sum("words").over(doc.orderBy("pos").rowsBetween(W.unboundedPreceding, 0)) - F.col("words")
-    whole = F.sum("words").over(doc)
-    counted = lines.dropDuplicates(["doc_id", "body", "pos"]).select(
-        "*", before.alias("before"), whole.alias("whole")
-    )
 
-    def over(reach: WindowSpec) -> list[Column]:
-        return [
-            F.min("pos").over(reach).alias("first"), F.max("pos").over(reach).alias("last"),
-            F.min(F.struct("hash", "pos")).over(reach).alias("mark"),
-            F.collect_list("hash").over(reach).alias("held"),
-        ]
+def _doc() -> WindowSpec:
+    return W.partitionBy("doc_id", "body")
 
+
+def _as_windows(found: DataFrame) -> DataFrame:
+    """doc_id, body, pos, last, mark, mark_pos, content of windows.
+
+    ``mark`` is the least line hash of the window, first found at ``mark_pos``, and
+    ``content`` a hash of all of it.
+    """
     content = F.struct(F.xxhash64("held").alias("c1"), F.xxhash64(F.lit(1), "held").alias("c2"))
-    columns = [
+    return found.select(
         "doc_id", "body", F.col("first").alias("pos"), "last", F.col("mark.hash").alias("mark"),
         F.col("mark.pos").alias("mark_pos"), content.alias("content"),
-    ]
-    ahead = counted.select("doc_id", "body", "whole", "before", *over(doc.orderBy("before").rangeBetween(0, least_words - 1)))
-    found = ahead.where(F.col("whole") - F.col("before") >= least_words).select(*columns)
-    # Words up to the end of a line, and without it, bound the window that reaches back.
-    counted = counted.withColumn("upto", F.col("before") + F.col("words"))
-    back = counted.select(
-        "doc_id", "body", "upto", "before", *over(doc.orderBy("upto").rangeBetween(1 - least_words, 0)),
-        F.min("before").over(doc.orderBy("upto").rangeBetween(1 - least_words, 0)).alias("since"),
     )
+
+
+def _before() -> Column:
+    """Words of a text before a line: the window of a line is a range of them."""
+    return F.sum("words").over(_doc().orderBy("pos").rowsBetween(W.unboundedPreceding, 0)) - F.col("words")
+
+
+def windows_ahead(lines: DataFrame, least_words: int) -> DataFrame:
+    """The windows of ``least_words`` words that reach from each line on."""
+    whole = F.sum("words").over(_doc())
+    counted = lines.select("*", _before().alias("before"), whole.alias("whole"))
+    reach = _doc().orderBy("before").rangeBetween(0, least_words - 1)
+    found = counted.select("doc_id", "body", "whole", "before", *_over(reach))
+    return _as_windows(found.where(F.col("whole") - F.col("before") >= least_words))
+
+
+def windows_back(lines: DataFrame, least_words: int) -> DataFrame:
+    """What else it takes to leave no gap in a run: the windows that reach back from each
+    line, but for those that are windows of their first line too, and pairs of lines that
+    are windows each, with which lines without a word in between go, here or there."""
+    # Words up to the end of a line, and without it, bound the window that reaches back.
+    counted = lines.withColumn("before", _before()).withColumn("upto", F.col("before") + F.col("words"))
+    reach = _doc().orderBy("upto").rangeBetween(1 - least_words, 0)
+    back = counted.select("doc_id", "body", "upto", "before", *_over(reach), F.min("before").over(reach).alias("since"))
     own = (F.col("upto") >= least_words) & (F.col("before") - F.col("since") >= least_words)
-    # Two lines that are windows each: lines without a word in between, here or there, go with them.
-    pair = doc.orderBy("upto").rowsBetween(-1, 0)
-    pairs = counted.select("doc_id", "body", *over(pair), F.min("words").over(pair).alias("least"))
+    pair = _doc().orderBy("upto").rowsBetween(-1, 0)
+    pairs = counted.select("doc_id", "body", *_over(pair), F.min("words").over(pair).alias("least"))
     parted = (F.col("least") >= least_words) & (F.col("last") > F.col("first"))
-    return found.union(back.where(own).select(*columns)).union(pairs.where(parted).select(*columns))
+    return _as_windows(back.where(own)).union(_as_windows(pairs.where(parted)))
 
 
-def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, body, gone: positions of the lines of later repeated runs, by text."""
-    all_windows = written(windows(numbered_lines(docs), least_words), "windows")
+def _matched(found: DataFrame) -> DataFrame:
+    """The windows whose content stands in several places, each with its first place."""
     # Fingerprints with more than one place; windows that share one place see the same.
     place = F.struct("doc_id", "body", "mark_pos")
-    marks = all_windows.groupBy("mark").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+    marks = found.groupBy("mark").agg(F.min(place).alias("one"), F.max(place).alias("other"))
     marks = marks.where("NOT (one <=> other)").select("mark")
-    matched = all_windows.join(marks, "mark").drop("mark", "mark_pos")
+    matched = found.join(marks, "mark").drop("mark", "mark_pos")
     firsts = matched.groupBy("content").agg(
         F.min(F.struct("doc_id", "body", "pos", "last")).alias("first"), F.count("*").alias("places")
     ).where("places > 1").drop("places")
-    places = matched.join(firsts, "content")
+    return matched.join(firsts, "content")
+
+
+def _of_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows whose doc_id and body are among those of ``texts``."""
+    texts = texts.select(F.col("doc_id").alias("__doc_id"), F.col("body").alias("__body"))
+    same = rows["doc_id"].eqNullSafe(F.col("__doc_id")) & (rows["body"] == F.col("__body"))
+    return rows.join(texts, same, "left_semi")
+
+
+def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """doc_id, body, gone: positions of the lines of later repeated runs, by text.
+
+    Every run has the window ahead of its first line, so only texts with such a window in
+    several places are looked at for the ends of runs.
+    """
+    lines = written(numbered_lines(docs).dropDuplicates(["doc_id", "body", "pos"]), "lines")
+    ahead = written(windows_ahead(lines, least_words), "windows")
+    texts = written(_matched(ahead).select("doc_id", "body").distinct(), "matched-texts")
+    found = _of_texts(ahead, texts).union(windows_back(_of_texts(lines, texts), least_words))
+    places = _matched(written(found, "matched-windows"))
     elsewhere = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("body") == F.col("first.body")))
     later = places.where(elsewhere | (F.col("pos") > F.col("first.last")))
     return (
