@@ -29,7 +29,7 @@ CLASSES = 32
 # The share of a sequence that may stay empty before a piece is cut instead.
 SLACK = 0.01
 # Words a worker remembers the ids of; then it starts anew.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 400_000
 # Sequence numbers of one task.
 TASK_SPAN = 1 << 33
 
@@ -71,7 +71,7 @@ class WordTokenizer:
     any other part, is encoded by itself.
     """
 
-    SLOT_BITS = 22
+    SLOT_BITS = 20
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
