@@ -22,6 +22,8 @@ SPARSE_FACTOR = 4
 SIZE_TOLERANCE = 1.25
 # Rows are set a little below the estimate, as rows differ in size.
 SIZE_MARGIN = 0.9
+# What a task takes of a shuffle, as it is in memory, whatever part of a file it fills.
+TASK_BYTES = 256 * 1024 * 1024
 
 
 def plan_size(df: DataFrame) -> int:
@@ -54,6 +56,21 @@ def rows_for_size(bytes_per_row: float, target_bytes: int) -> int:
     return max(1, int(SIZE_MARGIN * target_bytes / max(bytes_per_row, 1e-6)))
 
 
+def rows_per_task(df: DataFrame, table: DataFrame | None) -> int:
+    """Rows of ``df`` that one task takes of a shuffle, where a file may hold any number.
+
+    A few rows of the table, or of a frame that needs no shuffle itself, show how wide a
+    row is: as JSON, and eight bytes a column. Of others only the types tell.
+    """
+    source = df if table is None else table
+    found = None
+    if table is not None or not has_shuffle(df):
+        text = F.to_json(F.struct("*"))
+        found = first_rows(source, SAMPLE_ROWS).agg(F.avg(F.octet_length(text))).first()[0]
+    width = source._jdf.schema().defaultSize() if found is None else found
+    return max(1, int(TASK_BYTES / (width + 8 * len(source.columns))))
+
+
 def has_shuffle(df: DataFrame) -> bool:
     """True if rows come through a shuffle; a broadcast leaves a scan's order alone."""
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -77,7 +94,7 @@ def steady_numbers(df: DataFrame, alias: str) -> DataFrame:
 
 
 def spread_slices(df: DataFrame, slice_rows: list[int], cap: int) -> DataFrame:
-    """Bring each slice's rows together, a large slice over as many tasks as files.
+    """Bring each slice's rows together, a large slice over a task for every ``cap`` rows.
 
     The salt counts rows off one by one, so neither a slice that holds most rows
     nor equal rows in any number end up in one task.

@@ -20,6 +20,7 @@ from tablelift.operators.layout import (
     first_rows,
     fits_one_file,
     rows_for_size,
+    rows_per_task,
     spread_slices,
 )
 from tablelift.functions.names import file_template, slice_target
@@ -136,7 +137,7 @@ def export_slices(
     target = hadoop_uri(target, options.azure_account)
     store = Store(spark, target)
     if len(slices) > 1 and options.arrow_files:
-        return _slices_by_arrow(df, slices, target, options, store, numbered, whole)
+        return _slices_by_arrow(df, slices, target, options, store, table, numbered, whole)
     if len(slices) == 1 or _is_zstd_text(options) or _in_place(store, options):
         done = []
         for s in slices:
@@ -154,7 +155,8 @@ def export_slices(
     if numbered is None:
         counts, disjoint, total = count_slices(df, slices)
         numbered = with_slice_number(df, slices, disjoint, whole)
-        numbered = spread_slices(numbered, counts, cap or max(counts, default=1))
+        most = rows_per_task(df, table)
+        numbered = spread_slices(numbered, counts, min(cap or most, most))
     done = []
     with _Staging(store, targets[0]) as staging:
         counted = _stage(numbered, staging.data, options, cap, list(range(len(slices))))
@@ -375,7 +377,7 @@ def _write_by_arrow(df: DataFrame, store: Store, targets: list[str], options: Ex
 
 def _slices_by_arrow(
     df: DataFrame, slices: list[Slice], target: str, options: ExportOptions, store: Store,
-    numbered: DataFrame | None, whole: list[Slice] | None,
+    table: DataFrame | None, numbered: DataFrame | None, whole: list[Slice] | None,
 ) -> list[Published]:
     targets = [slice_target(target, s.id) for s in slices]
     for folder in targets:
@@ -385,7 +387,8 @@ def _slices_by_arrow(
         counts, disjoint, total = count_slices(df, slices)
         numbered = with_slice_number(df, slices, disjoint, whole)
         tasks = max(len(slices), df.sparkSession.sparkContext.defaultParallelism)
-        numbered = spread_slices(numbered, counts, max(1, math.ceil(sum(counts) / tasks)))
+        even = max(1, math.ceil(sum(counts) / tasks))
+        numbered = spread_slices(numbered, counts, min(even, rows_per_task(df, table)))
     done = _write_by_arrow(numbered, store, targets, options)
     return [replace(out, slice_id=s.id, rows_of_source=total) for out, s in zip(done, slices)]
 
