@@ -120,17 +120,22 @@ def fill_files(
     A whole table is counted from file footers, and its scan partitions are merged
     without a shuffle. A filtered one is counted over the filter's columns, and
     the few rows a selective filter leaves are shuffled together; merging its scan
-    partitions would leave the scan itself to few tasks. ``even_files`` deals the
+    partitions would leave the scan itself to few tasks. No task takes more of a shuffle
+    than TASK_BYTES, so that files of many rows are not full. ``even_files`` deals the
     rows out in any case. What a query or a table without files gives is left as
     it comes, as counting it would read it twice.
     """
     cheap = table is not None and len(table._jdf.inputFiles()) > 0
     if not cap or not (options.even_files or cheap):
         return df
-    wanted = max(1, math.ceil(df.count() / cap))
+    rows = df.count()
+    wanted = max(1, math.ceil(rows / cap))
     if options.even_files:
-        return df.repartition(wanted)
+        return df.repartition(max(wanted, math.ceil(rows / rows_per_task(df, table))))
     if df is table:
         return df.coalesce(wanted)
-    sparse = wanted * SPARSE_FACTOR < df._jdf.rdd().getNumPartitions()
-    return df.repartition(wanted) if sparse else df
+    partitions = df._jdf.rdd().getNumPartitions()
+    if wanted * SPARSE_FACTOR < partitions:
+        tasks = max(wanted, math.ceil(rows / rows_per_task(df, table)))
+        return df.repartition(tasks) if tasks < partitions else df
+    return df

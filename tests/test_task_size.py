@@ -43,6 +43,17 @@ def test_a_slice_is_dealt_to_tasks_of_bounded_size(spark, table, out, small_task
     assert back.select("id").distinct().count() == 3_900 and back.where("more <> id + 1").isEmpty()
 
 
+def test_few_rows_of_a_table_are_dealt_to_tasks_of_bounded_size(spark, table, monkeypatch, small_tasks):
+    options = ExportOptions(target="/x").checked()
+    kept = spark.createDataFrame(table.where("id < 2000").rdd, table.schema).repartition(200)
+    # One file would take all rows; before, so did one task.
+    filled = layout.fill_files(kept, table, ROWS, options)
+    sizes = [r.n for r in filled.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 2_000 and len(sizes) >= 4 and max(sizes) <= 64 * 1024 / 100
+    even = layout.fill_files(table, table, ROWS, ExportOptions(target="/x", even_files=True).checked())
+    assert even.rdd.getNumPartitions() >= 7
+
+
 def test_a_task_for_more_rows_than_fit_is_not_made_at_the_usual_size(spark, table, out):
     slices = predicate_slices(["id < 3900", "id >= 3900"])
     done = export_slices(table, slices, out, ExportOptions(target=out), table)
