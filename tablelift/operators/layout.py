@@ -56,19 +56,18 @@ def rows_for_size(bytes_per_row: float, target_bytes: int) -> int:
     return max(1, int(SIZE_MARGIN * target_bytes / max(bytes_per_row, 1e-6)))
 
 
-def rows_per_task(df: DataFrame, table: DataFrame | None) -> int:
+def rows_per_task(df: DataFrame, table: DataFrame | None, width: float | None = None) -> int:
     """Rows of ``df`` that one task takes of a shuffle, where a file may hold any number.
 
-    A few rows of the table, or of a frame that needs no shuffle itself, show how wide a
-    row is: as JSON, and eight bytes a column. Of others only the types tell.
+    A few rows of the table show how wide a row is: as JSON, and eight bytes a column.
+    Without a table it is the given width, or what the types tell.
     """
-    source = df if table is None else table
-    found = None
-    if table is not None or not has_shuffle(df):
+    if table is not None:
         text = F.to_json(F.struct("*"))
-        found = first_rows(source, SAMPLE_ROWS).agg(F.avg(F.octet_length(text))).first()[0]
-    width = source._jdf.schema().defaultSize() if found is None else found
-    return max(1, int(TASK_BYTES / (width + 8 * len(source.columns))))
+        width = first_rows(table, SAMPLE_ROWS).agg(F.avg(F.octet_length(text))).first()[0]
+    if width is None:
+        width = df._jdf.schema().defaultSize()
+    return max(1, int(TASK_BYTES / (width + 8 * len(df.columns))))
 
 
 def has_shuffle(df: DataFrame) -> bool:

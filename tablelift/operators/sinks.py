@@ -30,6 +30,7 @@ from tablelift.operators.slices import (
     Slice,
     count_slices,
     cover_code,
+    measure_slices,
     with_slice_number,
 )
 from tablelift.operators.textform import read_options, text_lines, text_options, to_text
@@ -153,9 +154,8 @@ def export_slices(
     cap = rows_per_file(table, options)
     total = None
     if numbered is None:
-        counts, disjoint, total = count_slices(df, slices)
+        counts, disjoint, total, most = _slice_sizes(df, slices, table)
         numbered = with_slice_number(df, slices, disjoint, whole)
-        most = rows_per_task(df, table)
         numbered = spread_slices(numbered, counts, min(cap or most, most))
     done = []
     with _Staging(store, targets[0]) as staging:
@@ -384,15 +384,25 @@ def _slices_by_arrow(
         _refuse_existing(store, folder, options)
     total = None
     if numbered is None:
-        counts, disjoint, total = count_slices(df, slices)
+        counts, disjoint, total, most = _slice_sizes(df, slices, table)
         numbered = with_slice_number(df, slices, disjoint, whole)
         tasks = max(len(slices), df.sparkSession.sparkContext.defaultParallelism)
         even = max(1, math.ceil(sum(counts) / tasks))
-        numbered = spread_slices(numbered, counts, min(even, rows_per_task(df, table)))
+        numbered = spread_slices(numbered, counts, min(even, most))
     done = _write_by_arrow(numbered, store, targets, options)
     return [replace(out, slice_id=s.id, rows_of_source=total) for out, s in zip(done, slices)]
 
 
+def _slice_sizes(
+    df: DataFrame, slices: list[Slice], table: DataFrame | None
+) -> tuple[list[int], bool, int, int]:
+    """Rows of every slice, whether no row is in two, all rows, and those that one task takes."""
+    if table is not None:
+        return *count_slices(df, slices), rows_per_task(df, table)
+    *counts, width = measure_slices(df, slices)
+    return *counts, rows_per_task(df, table, width)
+
+
 def _covered(out: Published, counted: Counted) -> Published:
     return replace(out, rows_first=counted.first, rows_several=counted.several, digest=counted.digest)
 
