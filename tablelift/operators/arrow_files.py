@@ -22,8 +22,11 @@ from pyarrow import fs as pafs
 from tablelift.operators.zstd_text import FRAME_BYTES, SMALL_FRAME_BYTES, _bytes_of, filesystem_of
 
 WRITTEN_SCHEMA = "slice_no int, file_name string, row_count long, byte_count long"
-# A row group, or a run of lines, is at most this part of a file.
+# A row group, or a run of lines, comes to about this part of a file, and before it is
+# compressed to at most LEAST_PARTS of one: rows that do not shrink like those before them
+# must not run far past the limit.
 PARTS_OF_FILE = 16
+LEAST_PARTS = 5
 # What a Parquet footer takes for a column of a row group, about.
 LEAF_BYTES = 100
 
@@ -43,8 +46,12 @@ class ArrowFiles:
     row_group_bytes: int
     dictionary: bool
 
-    def part_bytes(self, most: int) -> int:
-        return most if not self.max_bytes else max(SMALL_FRAME_BYTES, min(most, self.max_bytes // PARTS_OF_FILE))
+    def part_bytes(self, most: int, shrunk: float) -> int:
+        """Bytes that are compressed at once, of rows that shrink to this share of them."""
+        if not self.max_bytes:
+            return most
+        part = min(self.max_bytes / PARTS_OF_FILE / max(shrunk, 1e-3), self.max_bytes / LEAST_PARTS)
+        return max(SMALL_FRAME_BYTES, min(most, int(part)))
 
 
 class _Lines:
@@ -61,7 +68,7 @@ class _Lines:
         data = _bytes_of(rows.column(0))
         self._pending.append(data)
         self._pending_bytes += len(data)
-        if self._pending_bytes >= self._plan.part_bytes(FRAME_BYTES):
+        if self._pending_bytes >= self._plan.part_bytes(FRAME_BYTES, self._shrunk):
             self._flush()
 
     def _flush(self) -> None:
@@ -113,7 +120,7 @@ class _Parquet:
     def write(self, rows: pa.RecordBatch) -> None:
         self._pending.append(rows)
         self._pending_bytes += rows.nbytes
-        if self._pending_bytes >= self._plan.part_bytes(self._plan.row_group_bytes):
+        if self._pending_bytes >= self._plan.part_bytes(self._plan.row_group_bytes, self._shrunk):
             self._flush()
 
     def _flush(self) -> None:
@@ -179,7 +186,7 @@ def batch_writer(plan: ArrowFiles) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 if plan.max_bytes:
                     each = max(1e-9, part.nbytes / part.num_rows)
                     # Not more at once than makes a part, so that what it comes to is known.
-                    count = min(count, max(1, int(plan.part_bytes(plan.row_group_bytes) / each)))
+                    count = min(count, max(1, int(plan.part_bytes(plan.row_group_bytes, out.shrunk()) / each)))
                     room = plan.max_bytes - out.written()
                     count = min(count, max(1, int(room / (each * out.shrunk()))))
                 out.write(part.slice(0, count))
